@@ -1,0 +1,3 @@
+"""Streaming: the reference has no stream processing (whole-file batch reads
+only), so nothing is registered here. Batch operators accept any DataFrame,
+so a ``foreachBatch`` sink can apply them to micro-batches if ever needed."""
