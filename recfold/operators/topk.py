@@ -3,10 +3,11 @@
 ``top_k`` scores every catalogue item for every requested user without ever
 materialising the user x item pairs as rows. The catalogue (ids, item terms,
 factors) is broadcast after a size check; each task scores a batch of users
-as one NumPy block (``mu + b_u + b_i + P Q^T``), masks the user's seen items
-and keeps only k rows per user. A catalogue over the bound is cut into blocks
-that are broadcast one after another; per-block winners are merged with a
-``row_number() <= k`` window (k rows per user and block, so bounded).
+as one NumPy block (``mu + b_u + b_i + P Q^T`` per model, optionally blended),
+masks the user's seen items and keeps only k rows per user. A catalogue over
+the bound is cut into blocks that are broadcast one after another; per-block
+winners are merged with a ``row_number() <= k`` window (k rows per user and
+block, so bounded).
 
 Ties are broken by ascending movie id, the reference's stable sort over an
 ascending catalogue.
@@ -14,6 +15,8 @@ ascending catalogue.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -34,6 +37,17 @@ MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 _USER_CHUNK = 256
 
 
+@dataclass
+class Blend:
+    """Weighted sum of model scores, then clip and round."""
+
+    models: list
+    weights: list
+    lo: float | None = 1.0
+    hi: float | None = 5.0
+    digits: int | None = 9
+
+
 def _select_top(row: np.ndarray, k: int) -> np.ndarray:
     """Indices of the k best finite scores; ties by ascending index."""
     n = row.shape[0]
@@ -50,27 +64,35 @@ def _select_top(row: np.ndarray, k: int) -> np.ndarray:
     return top[np.isfinite(row[top])]
 
 
-def _make_scorer(model: RatingModel, mu: float, k: int, exclude_seen: bool, bc):
-    rank = model.rank
-    lo, hi, digits = model.finish_params()
+def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
+    """specs: per component (weight, mu, rank, lo, hi, digits)."""
 
     def run(batches):
         cat = bc.value
-        ids, i_term = cat["ids"], cat["i_term"]
-        q = cat.get("q")
+        ids = cat["ids"]
         for pdf in batches:
             out_u, out_r, out_i, out_s = [], [], [], []
             for start in range(0, len(pdf), _USER_CHUNK):
                 ch = pdf.iloc[start:start + _USER_CHUNK]
-                base = (mu + ch["u_term"].to_numpy(dtype=np.float64))[:, None] + i_term[None, :]
-                if rank > 0:
-                    p = np.stack([np.asarray(v, dtype=np.float64) for v in ch["p"]])
-                    base = base + p @ q.T
-                s = numpy_finish(base, lo, hi, digits)
+                total = None
+                for c, (w, mu, rank, lo, hi, digits) in enumerate(specs):
+                    base = ((mu + ch[f"u{c}"].to_numpy(dtype=np.float64))[:, None]
+                            + cat[f"i{c}"][None, :])
+                    if rank > 0:
+                        p = np.stack([np.asarray(v, dtype=np.float64) for v in ch[f"p{c}"]])
+                        base = base + p @ cat[f"q{c}"].T
+                    s = numpy_finish(base, lo, hi, digits)
+                    if outer is not None:
+                        s = w * s
+                        total = s if total is None else total + s
+                    else:
+                        total = s
+                if outer is not None:
+                    total = numpy_finish(total, *outer)
                 users = ch["user_id"].to_numpy()
                 seen_col = ch["seen"] if exclude_seen else None
                 for j in range(len(ch)):
-                    row = s[j]
+                    row = total[j]
                     if seen_col is not None:
                         seen = seen_col.iloc[j]
                         if seen is not None and len(seen):
@@ -100,61 +122,74 @@ def _scalar_value(df: DataFrame | None) -> float:
     return 0.0 if v is None else float(v)
 
 
-def _catalogue_items(model: RatingModel, catalogue: DataFrame) -> DataFrame:
+def _catalogue_items(models: list[RatingModel], catalogue: DataFrame) -> DataFrame:
     items = catalogue.select("movie_id").distinct()
-    i_fill = model._scalar(model.i_fill)
-    if model.items is not None:
-        items = items.join(model.items, "movie_id", "left")
-        items = items.withColumn("i_term", F.coalesce(F.col("i_term"), i_fill))
-    else:
-        items = items.withColumn("i_term", i_fill)
-    cols = ["movie_id", "i_term"]
-    if model.rank > 0:
-        zero = F.array_repeat(F.lit(0.0), model.rank)
-        items = items.withColumn("q", F.coalesce(F.col("q").cast("array<double>"), zero))
-        cols.append("q")
+    cols = ["movie_id"]
+    for c, model in enumerate(models):
+        i_fill = model._scalar(model.i_fill)
+        if model.items is not None:
+            sel = [F.col("movie_id"), F.col("i_term").alias(f"i{c}")]
+            if model.rank > 0:
+                sel.append(F.col("q").alias(f"q{c}"))
+            items = items.join(model.items.select(*sel), "movie_id", "left")
+            items = items.withColumn(f"i{c}", F.coalesce(F.col(f"i{c}"), i_fill))
+        else:
+            items = items.withColumn(f"i{c}", i_fill)
+        cols.append(f"i{c}")
+        if model.rank > 0:
+            zero = F.array_repeat(F.lit(0.0), model.rank)
+            items = items.withColumn(f"q{c}", F.coalesce(F.col(f"q{c}").cast("array<double>"), zero))
+            cols.append(f"q{c}")
     return items.select(*cols)
 
 
-def _user_rows(model: RatingModel, users: DataFrame, seen: DataFrame | None) -> DataFrame:
+def _user_rows(models: list[RatingModel], users: DataFrame, seen: DataFrame | None) -> DataFrame:
     u = users.select("user_id").distinct()
-    u_fill = model._scalar(model.u_fill)
-    if model.users is not None:
-        u = u.join(model.users, "user_id", "left")
-        u = u.withColumn("u_term", F.coalesce(F.col("u_term"), u_fill))
-    else:
-        u = u.withColumn("u_term", u_fill)
-    cols = ["user_id", "u_term"]
-    if model.rank > 0:
-        zero = F.array_repeat(F.lit(0.0), model.rank)
-        u = u.withColumn("p", F.coalesce(F.col("p").cast("array<double>"), zero))
-        cols.append("p")
+    cols = ["user_id"]
+    for c, model in enumerate(models):
+        u_fill = model._scalar(model.u_fill)
+        if model.users is not None:
+            sel = [F.col("user_id"), F.col("u_term").alias(f"u{c}")]
+            if model.rank > 0:
+                sel.append(F.col("p").alias(f"p{c}"))
+            u = u.join(model.users.select(*sel), "user_id", "left")
+            u = u.withColumn(f"u{c}", F.coalesce(F.col(f"u{c}"), u_fill))
+        else:
+            u = u.withColumn(f"u{c}", u_fill)
+        cols.append(f"u{c}")
+        if model.rank > 0:
+            zero = F.array_repeat(F.lit(0.0), model.rank)
+            u = u.withColumn(f"p{c}", F.coalesce(F.col(f"p{c}").cast("array<double>"), zero))
+            cols.append(f"p{c}")
     if seen is not None:
         # A user's seen list is bounded by the catalogue, which is size-checked.
         lists = seen.groupBy("user_id").agg(F.collect_list("movie_id").alias("seen"))
         u = u.join(lists, "user_id", "left")
-        cols.append("seen")
     else:
         u = u.withColumn("seen", F.lit(None).cast("array<bigint>"))
-        cols.append("seen")
+    cols.append("seen")
     return u.select(*cols)
 
 
-def top_k(model: RatingModel, users: DataFrame, catalogue: DataFrame,
+def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
           seen: DataFrame | None = None, k: int = 10,
           max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """(user_id, rank, movie_id, score) for every user in ``users``.
-
-    ``seen`` (user_id, movie_id) rows are excluded (T1); pass None for the
-    model-level form without exclusion (T2).
-    """
+    """(user_id, rank, movie_id, score) for every user in
+    ``users`` over the ``catalogue`` items. ``seen`` (user_id, movie_id) rows
+    are excluded (T1); None keeps them (T2, model-level form)."""
     if k <= 0:
         raise ValueError("k must be positive")
     spark = users.sparkSession
-    mu = _scalar_value(model.mu)
-    items = _catalogue_items(model, catalogue)
-    rows = _user_rows(model, users, seen)
-    bytes_per_item = 8 * (2 + model.rank)
+    if isinstance(model, Blend):
+        models, weights = list(model.models), list(model.weights)
+        outer = (model.lo, model.hi, model.digits)
+    else:
+        models, weights, outer = [model], [1.0], None
+    specs = [(float(w), _scalar_value(m.mu), m.rank, *m.finish_params())
+             for m, w in zip(models, weights)]
+    items = _catalogue_items(models, catalogue)
+    rows = _user_rows(models, users, seen)
+    bytes_per_item = 8 * (1 + sum(1 + m.rank for m in models))
     block_rows = max(1, max_broadcast_bytes // bytes_per_item)
     n_items = items.count()
     if n_items <= block_rows:
@@ -169,13 +204,14 @@ def top_k(model: RatingModel, users: DataFrame, catalogue: DataFrame,
     parts = []
     for blk in blocks:
         pdf = blk.toPandas().sort_values("movie_id", kind="stable")
-        cat = {"ids": pdf["movie_id"].to_numpy(dtype=np.int64),
-               "i_term": pdf["i_term"].to_numpy(dtype=np.float64)}
-        if model.rank > 0:
-            cat["q"] = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["q"]]) \
-                if len(pdf) else np.zeros((0, model.rank))
+        cat = {"ids": pdf["movie_id"].to_numpy(dtype=np.int64)}
+        for c, m in enumerate(models):
+            cat[f"i{c}"] = pdf[f"i{c}"].to_numpy(dtype=np.float64)
+            if m.rank > 0:
+                cat[f"q{c}"] = (np.stack([np.asarray(v, dtype=np.float64) for v in pdf[f"q{c}"]])
+                                if len(pdf) else np.zeros((0, m.rank)))
         bc = spark.sparkContext.broadcast(cat)
-        fn = _make_scorer(model, mu, k, seen is not None, bc)
+        fn = _make_scorer(specs, outer, k, seen is not None, bc)
         parts.append(rows.mapInPandas(fn, REC_SCHEMA))
     if len(parts) == 1:
         return parts[0]

@@ -1,4 +1,7 @@
-"""Registered queries: name -> (Spark callable, DuckDB oracle SQL or None)."""
+"""Registered queries: name -> (Spark callable, DuckDB oracle SQL or None).
+
+This module holds the top-K family and imports the other plan modules so
+that importing it registers everything."""
 
 from __future__ import annotations
 
@@ -12,17 +15,7 @@ from recfold.operators import topk as TK
 from recfold.plans import oracle_views as O
 from recfold.plans.common import Base, normalize
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
+from recfold.plans.registry import ORACLES, QUERIES, register  # noqa: F401
 
 
 # --------------------------------------------------------------------------
@@ -65,3 +58,7 @@ FROM recs r LEFT JOIN titles t ON t.movie_id = r.movie_id""")
 def q_t3_topk_titles(spark, d):
     b = Base(spark, d)
     return normalize(TK.with_titles(bias_recs(b), b.titles()))
+
+
+# the other families register themselves on import
+from recfold.plans import q_prep  # noqa: E402,F401
