@@ -61,3 +61,16 @@ def validate_ratios(*ratios: float, tol: float = 1e-6) -> None:
     total = sum(ratios)
     if abs(total - 1.0) > tol:
         raise ValueError(f"Ratios must sum to 1.0, got {total}")
+
+
+def sql_round(c: str | Column, digits: int) -> Column:
+    """Round half away from zero on the binary value scaled by 10^digits (the
+    rule SQL engines use for DOUBLE), not on the shortest decimal form as
+    Spark's ``round`` does: both agree except on values whose shortest form
+    ends in a 5 right after the kept digits, which rational metrics (means of
+    small integers) produce often. Large or non-finite values pass through."""
+    x = _col(c)
+    scale = 10.0 ** digits
+    big = F.abs(x) * scale >= F.lit(4503599627370496.0)  # 2^52: already integral
+    r = F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
+    return F.when(F.isnan(x) | big, x).otherwise(r)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recfold.functions.portable import require_columns
+from recfold.functions.portable import require_columns, sql_round
 
 # Damping of the bias baseline (ours, SURVEY 7.4) and rating scale.
 ITEM_DAMPING = 25.0
@@ -83,7 +83,7 @@ class RatingModel:
         if self.lo is not None:
             s = F.least(F.greatest(s, F.lit(self.lo)), F.lit(self.hi))
         if self.digits is not None:
-            s = F.round(s, self.digits)
+            s = sql_round(s, self.digits)
         return s
 
     # -- vectorised scoring for the top-K engine ---------------------------

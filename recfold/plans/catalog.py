@@ -46,13 +46,13 @@ def bias_recs(b: Base, k: int = 10) -> DataFrame:
     return TK.top_k(M.fit_bias(b.train), b.users(), b.catalogue(), seen=b.train, k=k)
 
 
-@register("t1_topk_bias", topk_sql() + "SELECT user_id, rank, movie_id, round(score, 6) AS score FROM recs")
+@register("t1_topk_bias", topk_sql() + "SELECT user_id, rank, movie_id, score FROM recs")
 def q_t1_topk_bias(spark, d):
     return normalize(bias_recs(Base(spark, d)))
 
 
 @register("t3_topk_titles", topk_sql(O.TITLES) + """
-SELECT r.user_id, r.rank, r.movie_id, round(r.score, 6) AS score,
+SELECT r.user_id, r.rank, r.movie_id, r.score,
        coalesce(t.title, 'Unknown') AS title, coalesce(CAST(t.year AS VARCHAR), '?') AS year
 FROM recs r LEFT JOIN titles t ON t.movie_id = r.movie_id""")
 def q_t3_topk_titles(spark, d):
@@ -61,4 +61,4 @@ def q_t3_topk_titles(spark, d):
 
 
 # the other families register themselves on import
-from recfold.plans import q_prep, q_stats  # noqa: E402,F401
+from recfold.plans import q_eval, q_prep, q_stats  # noqa: E402,F401

@@ -6,19 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recfold.functions.portable import sql_round
 from recfold.operators import models as M
 from recfold.operators.splits import split_temporal_per_user
 from recfold.plans import views as V
 
 
+# Columns that already hold values rounded to 9 decimals (model scores): a
+# second rounding to 6 would turn their exact 7th-digit halves into ties that
+# engines break differently, so they are passed through unchanged.
+PRE_ROUNDED = ("score", "predicted_rating")
+
+
 def normalize(df: DataFrame, digits: int = 6) -> DataFrame:
     """Output convention shared with the oracles: floating columns rounded to
-    ``digits``, integral columns as BIGINT."""
+    ``digits`` (except pre-rounded score columns), integral columns as BIGINT."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits)
+        if f.name in PRE_ROUNDED or f.name.startswith("pred_"):
+            c = c.cast("double")
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            c = sql_round(c.cast("double"), digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

@@ -103,7 +103,7 @@ cand AS (
 
 
 @register("f2_exclude_seen", _T2_SQL + """
-SELECT c.user_id, c.rank, c.movie_id, round(c.score, 6) AS score FROM cand c
+SELECT c.user_id, c.rank, c.movie_id, c.score FROM cand c
 WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = c.user_id AND t.movie_id = c.movie_id)""")
 def q_f2(spark, d):
     b = Base(spark, d)
@@ -111,7 +111,7 @@ def q_f2(spark, d):
     return normalize(P.exclude_seen(cand, b.train))
 
 
-@register("t2_topk_no_exclusion", _T2_SQL + "SELECT user_id, rank, movie_id, round(score, 6) AS score FROM cand")
+@register("t2_topk_no_exclusion", _T2_SQL + "SELECT user_id, rank, movie_id, score FROM cand")
 def q_t2(spark, d):
     b = Base(spark, d)
     return normalize(TK.top_k(M.fit_bias(b.train), b.users(), b.catalogue(), seen=None, k=20))
