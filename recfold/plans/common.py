@@ -10,6 +10,7 @@ from recfold.functions.portable import sql_round
 from recfold.operators import models as M
 from recfold.operators.splits import split_temporal_per_user
 from recfold.plans import views as V
+from recfold.session import ensure_checkpoint_dir
 
 
 # Columns that already hold values rounded to 9 decimals (model scores): a
@@ -37,11 +38,17 @@ def normalize(df: DataFrame, digits: int = 6) -> DataFrame:
 class Base:
     """ratings -> per-user temporal split (0.7/0.1/0.2) and its three slices."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
         self.ratings = V.ratings(spark, sf_dir)
         self.split = split_temporal_per_user(self.ratings, 0.7, 0.1, 0.2)
+        if materialize:
+            # queries that run several jobs over the split (iterative graph
+            # work) write it once to the checkpoint folder instead of
+            # recomputing the ratings join and the split window per job
+            ensure_checkpoint_dir(spark)
+            self.split = self.split.checkpoint()
         cols = ["user_id", "movie_id", "rating", "date"]
         self.train = self.split.where(F.col("split") == "train").select(cols)
         self.val = self.split.where(F.col("split") == "val").select(cols)
