@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recfold.functions.portable import clip
+from recfold.functions.portable import clip, sql_round
 
 
 def normalise_weights(weights: DataFrame | None, models: list[str] | None = None) -> DataFrame:
@@ -31,20 +31,27 @@ def normalise_weights(weights: DataFrame | None, models: list[str] | None = None
                           .otherwise(F.col("weight") / total).alias("weight"))
 
 
-def blend(preds: DataFrame, weights: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
-    """sum_m w_m * pred_m per (user, movie), then clip to [lo, hi]. The
-    weight table has one row per model (a handful), so it is broadcast."""
+def blend(preds: DataFrame, weights: DataFrame, lo: float = 1.0, hi: float = 5.0,
+          digits: int | None = 9) -> DataFrame:
+    """sum_m w_m * pred_m per (user, movie), then clip to [lo, hi] (and
+    the score rounding of the models). The weight table has one row per model
+    (a handful), so it is broadcast."""
     j = preds.join(F.broadcast(weights.select("model", "weight")), "model")
     g = j.groupBy("user_id", "movie_id").agg(
         F.sum(F.col("weight") * F.col("predicted_rating")).alias("_s"))
-    return g.select("user_id", "movie_id", clip("_s", lo, hi).alias("predicted_rating"))
+    s = clip("_s", lo, hi)
+    if digits is not None:
+        s = sql_round(s, digits)
+    return g.select("user_id", "movie_id", s.alias("predicted_rating"))
 
 
-def average(preds: DataFrame) -> DataFrame:
+def average(preds: DataFrame, digits: int | None = 9) -> DataFrame:
     """Plain mean over models per (user, movie), no clip (joined by key,
     not by row position)."""
-    return preds.groupBy("user_id", "movie_id").agg(
-        F.avg("predicted_rating").alias("predicted_rating"))
+    s = F.avg("predicted_rating")
+    if digits is not None:
+        s = sql_round(s, digits)
+    return preds.groupBy("user_id", "movie_id").agg(s.alias("predicted_rating"))
 
 
 def wide(preds: DataFrame, models: list[str]) -> DataFrame:

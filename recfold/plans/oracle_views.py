@@ -59,18 +59,24 @@ def clip9(expr: str) -> str:
 
 BIAS_SCORE = clip9("(SELECT mu FROM mu) + coalesce(u.u_term, CAST(0 AS DOUBLE)) + coalesce(i.i_term, CAST(0 AS DOUBLE))")
 
-# preds(model, user_id, movie_id, predicted_rating): three deterministic models on test
-PREDS = """preds AS (
+def preds_cte(src: str = "test", name: str = "preds") -> str:
+    """preds(model, user_id, movie_id, predicted_rating): the three
+    deterministic models fitted on train, scored on ``src``."""
+    return name + """ AS (
   SELECT 'item_mean' AS model, t.user_id, t.movie_id,
          """ + clip9("CAST(0 AS DOUBLE) + CAST(0 AS DOUBLE) + coalesce(im.i_term, (SELECT mu FROM mu))") + """ AS predicted_rating
-  FROM test t LEFT JOIN item_means im ON im.movie_id = t.movie_id
+  FROM """ + src + """ t LEFT JOIN item_means im ON im.movie_id = t.movie_id
   UNION ALL
   SELECT 'user_mean', t.user_id, t.movie_id,
          """ + clip9("CAST(0 AS DOUBLE) + coalesce(um.u_term, (SELECT mu FROM mu)) + CAST(0 AS DOUBLE)") + """
-  FROM test t LEFT JOIN user_means um ON um.user_id = t.user_id
+  FROM """ + src + """ t LEFT JOIN user_means um ON um.user_id = t.user_id
   UNION ALL
   SELECT 'bias', t.user_id, t.movie_id, """ + BIAS_SCORE + """
-  FROM test t LEFT JOIN bias_users u ON u.user_id = t.user_id LEFT JOIN bias_items i ON i.movie_id = t.movie_id)"""
+  FROM """ + src + """ t LEFT JOIN bias_users u ON u.user_id = t.user_id LEFT JOIN bias_items i ON i.movie_id = t.movie_id)"""
+
+
+PREDS = preds_cte("test", "preds")
+PREDS_VAL = preds_cte("val", "vpreds")
 
 BASE = [RATINGS, SPLIT, TRAIN, VAL, TEST]
 MODELS = [MU, BIAS_ITEMS, BIAS_USERS, ITEM_MEAN, USER_MEAN]
