@@ -48,12 +48,12 @@ def cases(recs: DataFrame, test: DataFrame, n: int = 20, threshold: float = HIT)
     """20 success cases (by n_hits desc) and 20 failure cases (no hit, by
     n_misses desc); ties by user id. (case, case_rank, user_id, n_hits, n_misses)."""
     c = case_table(recs, test, threshold)
-    c = c.withColumn("case", F.when(F.col("n_hits") > 0, "success").otherwise("failure"))
-    ws = Window.partitionBy("case").orderBy(
-        F.when(F.col("case") == "success", -F.col("n_hits")).otherwise(-F.col("n_misses")), "user_id")
+    c = c.withColumn("case_type", F.when(F.col("n_hits") > 0, "success").otherwise("failure"))
+    ws = Window.partitionBy("case_type").orderBy(
+        F.when(F.col("case_type") == "success", -F.col("n_hits")).otherwise(-F.col("n_misses")), "user_id")
     # a top-n per case: Catalyst plans this as a WindowGroupLimit
     return (c.withColumn("case_rank", F.row_number().over(ws)).where(F.col("case_rank") <= n)
-            .select("case", "case_rank", "user_id", "n_hits", "n_misses"))
+            .select("case_type", "case_rank", "user_id", "n_hits", "n_misses"))
 
 
 def case_items(recs: DataFrame, test: DataFrame, titles: DataFrame | None, n: int = 20,
@@ -62,7 +62,7 @@ def case_items(recs: DataFrame, test: DataFrame, titles: DataFrame | None, n: in
     actual_rating) for the first 5 hits / misses of each listed case."""
     top = cases(recs, test, n, threshold)
     t = _last_test(test)
-    r = recs.join(top.select("case", "user_id"), "user_id").join(t, ["user_id", "movie_id"], "left")
+    r = recs.join(top.select("case_type", "user_id"), "user_id").join(t, ["user_id", "movie_id"], "left")
     kind = F.when(F.col("actual_rating") >= threshold, "hit").when(F.col("actual_rating").isNotNull(), "miss")
     r = r.withColumn("kind", kind).where(F.col("kind").isNotNull())
     r = r.withColumn("pos", F.row_number().over(Window.partitionBy("user_id", "kind").orderBy("rank")))
@@ -71,7 +71,7 @@ def case_items(recs: DataFrame, test: DataFrame, titles: DataFrame | None, n: in
         r = r.join(titles.select("movie_id", "title"), "movie_id", "left")
     else:
         r = r.withColumn("title", F.lit(None).cast("string"))
-    return r.select("case", "user_id", "kind", F.col("pos").cast("bigint").alias("pos"), "movie_id",
+    return r.select("case_type", "user_id", "kind", F.col("pos").cast("bigint").alias("pos"), "movie_id",
                     F.coalesce("title", F.lit("N/A")).alias("title"),
                     F.when(F.col("kind") == "miss", F.col("actual_rating")).alias("actual_rating"))
 
