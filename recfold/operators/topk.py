@@ -48,20 +48,62 @@ class Blend:
     digits: int | None = 9
 
 
-def _select_top(row: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k best finite scores; ties by ascending index."""
-    n = row.shape[0]
+def _top_rows(S: np.ndarray, k: int):
+    """Per row of S the k best finite entries, ties by ascending column.
+
+    Vectorised over the block: one partition per row finds the k-th largest
+    value, every entry at or above it is a candidate (more than k only with
+    ties), and one lexsort orders the candidates by (row, -score, column)."""
+    B, n = S.shape
+    m = min(k, n)
+    if m <= 0 or B == 0:
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.int32),)
+    if m < n:
+        kth = np.partition(S, n - m, axis=1)[:, n - m]
+        rows, cols = np.nonzero(S >= kth[:, None])
+    else:
+        rows, cols = np.nonzero(np.ones_like(S, dtype=bool))
+    vals = S[rows, cols]
+    ok = np.isfinite(vals)
+    rows, cols, vals = rows[ok], cols[ok], vals[ok]
+    order = np.lexsort((cols, -vals, rows))
+    rows, cols = rows[order], cols[order]
+    # rank inside each row; keep the first m
+    starts = np.searchsorted(rows, np.arange(B))
+    rank = np.arange(rows.shape[0]) - starts[rows] + 1
+    keep = rank <= m
+    return rows[keep], cols[keep], rank[keep].astype(np.int32)
+
+
+def _top_rows_finished(raw: np.ndarray, k: int, lo, hi, digits):
+    """Top k of finish(raw) per row (ties by column) without finishing the
+    whole block: finish (clip, round) is monotone, so every entry that can
+    tie or beat the k-th after finishing lies within one rounding step of the
+    k-th raw value, or anywhere when the k-th sits on the lower clip bound.
+    Only those candidates are finished and ranked exactly."""
+    B, n = raw.shape
     m = min(k, n)
-    if m <= 0:
-        return np.empty(0, dtype=np.int64)
+    if m <= 0 or B == 0:
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.int32), np.empty(0))
     if m < n:
-        kth = np.partition(row, n - m)[n - m]
-        cand = np.flatnonzero(row >= kth)
+        kth = np.partition(raw, n - m, axis=1)[:, n - m]
+        eps = 0.0 if digits is None else 2.0 * 10.0 ** (-digits)
+        thr = kth.copy()
+        if lo is not None:
+            thr = np.minimum(thr, hi)
+            thr = np.where(kth <= lo + eps, -np.inf, thr)
+        rows, cols = np.nonzero(raw >= (thr - eps)[:, None])
     else:
-        cand = np.arange(n)
-    order = np.lexsort((cand, -row[cand]))
-    top = cand[order][:m]
-    return top[np.isfinite(row[top])]
+        rows, cols = np.nonzero(np.ones_like(raw, dtype=bool))
+    vals = numpy_finish(raw[rows, cols], lo, hi, digits)
+    ok = np.isfinite(raw[rows, cols])
+    rows, cols, vals = rows[ok], cols[ok], vals[ok]
+    order = np.lexsort((cols, -vals, rows))
+    rows, cols, vals = rows[order], cols[order], vals[order]
+    starts = np.searchsorted(rows, np.arange(B))
+    rank = np.arange(rows.shape[0]) - starts[rows] + 1
+    keep = rank <= m
+    return rows[keep], cols[keep], rank[keep].astype(np.int32), vals[keep]
 
 
 def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
@@ -70,8 +112,9 @@ def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
     def run(batches):
         cat = bc.value
         ids = cat["ids"]
+        n = ids.shape[0]
         for pdf in batches:
-            out_u, out_r, out_i, out_s = [], [], [], []
+            out = []
             for start in range(0, len(pdf), _USER_CHUNK):
                 ch = pdf.iloc[start:start + _USER_CHUNK]
                 total = None
@@ -81,37 +124,31 @@ def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
                     if rank > 0:
                         p = np.stack([np.asarray(v, dtype=np.float64) for v in ch[f"p{c}"]])
                         base = base + p @ cat[f"q{c}"].T
-                    s = numpy_finish(base, lo, hi, digits)
-                    if outer is not None:
-                        s = w * s
-                        total = s if total is None else total + s
+                    if outer is None:
+                        total, fin = base, (lo, hi, digits)  # finished lazily below
                     else:
-                        total = s
+                        sc = w * numpy_finish(base, lo, hi, digits)
+                        total = sc if total is None else total + sc
                 if outer is not None:
-                    total = numpy_finish(total, *outer)
-                users = ch["user_id"].to_numpy()
-                seen_col = ch["seen"] if exclude_seen else None
-                for j in range(len(ch)):
-                    row = total[j]
-                    if seen_col is not None:
-                        seen = seen_col.iloc[j]
-                        if seen is not None and len(seen):
-                            sv = np.asarray(seen, dtype=np.int64)
-                            pos = np.searchsorted(ids, sv)
-                            ok = pos < ids.shape[0]
-                            pos = pos[ok]
-                            pos = pos[ids[pos] == sv[ok]]
-                            row = row.copy()
-                            row[pos] = -np.inf
-                    top = _select_top(row, k)
-                    out_u.append(np.full(top.shape[0], users[j], dtype=np.int64))
-                    out_r.append(np.arange(1, top.shape[0] + 1, dtype=np.int32))
-                    out_i.append(ids[top])
-                    out_s.append(row[top])
-            if out_u:
-                yield pd.DataFrame({
-                    "user_id": np.concatenate(out_u), "rank": np.concatenate(out_r),
-                    "movie_id": np.concatenate(out_i), "score": np.concatenate(out_s)})
+                    fin = outer
+                if exclude_seen:
+                    lists = [np.asarray(v, dtype=np.int64) if v is not None else np.empty(0, np.int64)
+                             for v in ch["seen"]]
+                    lens = np.array([len(v) for v in lists])
+                    if lens.sum():
+                        sv = np.concatenate(lists)
+                        rr = np.repeat(np.arange(len(lists)), lens)
+                        pos = np.searchsorted(ids, sv)
+                        ok = pos < n
+                        rr, pos, sv = rr[ok], pos[ok], sv[ok]
+                        hit = ids[pos] == sv
+                        total[rr[hit], pos[hit]] = -np.inf
+                rows, cols, rk, vals = _top_rows_finished(total, k, *fin)
+                out.append(pd.DataFrame({
+                    "user_id": ch["user_id"].to_numpy(dtype=np.int64)[rows], "rank": rk,
+                    "movie_id": ids[cols], "score": vals}))
+            if out:
+                yield pd.concat(out, ignore_index=True)
     return run
 
 
@@ -191,19 +228,31 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
     rows = _user_rows(models, users, seen)
     bytes_per_item = 8 * (1 + sum(1 + m.rank for m in models))
     block_rows = max(1, max_broadcast_bytes // bytes_per_item)
-    n_items = items.count()
-    if n_items <= block_rows:
-        blocks = [items]
+    # Size check and fetch in one job: at most block_rows + 1 rows reach the
+    # driver; a larger catalogue switches to the blocked plan.
+    head = items.limit(block_rows + 1).toPandas()
+    if len(head) <= block_rows:
+        fetched = [head]
+        blocks = None
     else:
         from recfold.operators.prep import dense_ids
         idx = dense_ids(items, "movie_id")
         keyed = items.join(idx.withColumnRenamed("orig_id", "movie_id"), "movie_id")
+        n_items = idx.count()
         n_blocks = (n_items + block_rows - 1) // block_rows
         keyed = keyed.withColumn("_b", F.floor(F.col("idx") / block_rows)).drop("idx")
         blocks = [keyed.where(F.col("_b") == b).drop("_b") for b in range(n_blocks)]
+        fetched = None
+    # Scoring is CPU-bound while the user rows are small in bytes, so AQE would
+    # coalesce them into a few tasks; an explicit hash repartition (which AQE
+    # keeps) spreads users over every slot.
+    n_parts = max(spark.sparkContext.defaultParallelism,
+                  int(spark.conf.get("spark.sql.shuffle.partitions")))
+    scoring_rows = rows.repartition(n_parts, "user_id")
     parts = []
-    for blk in blocks:
-        pdf = blk.toPandas().sort_values("movie_id", kind="stable")
+    for blk in (fetched if blocks is None else blocks):
+        pdf = blk if blocks is None else blk.toPandas()  # one block on the driver at a time
+        pdf = pdf.sort_values("movie_id", kind="stable")
         cat = {"ids": pdf["movie_id"].to_numpy(dtype=np.int64)}
         for c, m in enumerate(models):
             cat[f"i{c}"] = pdf[f"i{c}"].to_numpy(dtype=np.float64)
@@ -212,7 +261,7 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
                                 if len(pdf) else np.zeros((0, m.rank)))
         bc = spark.sparkContext.broadcast(cat)
         fn = _make_scorer(specs, outer, k, seen is not None, bc)
-        parts.append(rows.mapInPandas(fn, REC_SCHEMA))
+        parts.append(scoring_rows.mapInPandas(fn, REC_SCHEMA))
     if len(parts) == 1:
         return parts[0]
     merged = parts[0]

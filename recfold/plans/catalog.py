@@ -48,7 +48,7 @@ def bias_recs(b: Base, k: int = 10) -> DataFrame:
 
 @register("t1_topk_bias", topk_sql() + "SELECT user_id, rank, movie_id, score FROM recs")
 def q_t1_topk_bias(spark, d):
-    return normalize(bias_recs(Base(spark, d)))
+    return normalize(bias_recs(Base(spark, d, materialize=True)))
 
 
 @register("t3_topk_titles", topk_sql(O.TITLES) + """
@@ -56,7 +56,7 @@ SELECT r.user_id, r.rank, r.movie_id, r.score,
        coalesce(t.title, 'Unknown') AS title, coalesce(CAST(t.year AS VARCHAR), '?') AS year
 FROM recs r LEFT JOIN titles t ON t.movie_id = r.movie_id""")
 def q_t3_topk_titles(spark, d):
-    b = Base(spark, d)
+    b = Base(spark, d, materialize=True)
     return normalize(TK.with_titles(bias_recs(b), b.titles()))
 
 

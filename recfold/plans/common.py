@@ -10,7 +10,7 @@ from recfold.functions.portable import sql_round
 from recfold.operators import models as M
 from recfold.operators.splits import split_temporal_per_user
 from recfold.plans import views as V
-from recfold.session import ensure_checkpoint_dir
+from recfold.session import materialize as write_table
 
 
 # Columns that already hold values rounded to 9 decimals (model scores): a
@@ -47,8 +47,7 @@ class Base:
             # queries that run several jobs over the split (iterative graph
             # work) write it once to the checkpoint folder instead of
             # recomputing the ratings join and the split window per job
-            ensure_checkpoint_dir(spark)
-            self.split = self.split.checkpoint()
+            self.split = write_table(self.split, "split")
         cols = ["user_id", "movie_id", "rating", "date"]
         self.train = self.split.where(F.col("split") == "train").select(cols)
         self.val = self.split.where(F.col("split") == "val").select(cols)

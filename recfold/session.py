@@ -48,3 +48,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="recfold-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def materialize(df, label: str = "table"):
+    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` (the data lives in the shared
+    folder the cluster names, so a lost executor does not recompute it) but
+    stores columnar files: later reads prune columns and push filters down,
+    which the serialized rows of an RDD checkpoint cannot do.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
