@@ -87,25 +87,23 @@ def propagate(weighted_edges: DataFrame, emb0: DataFrame, layers: int = 3,
     """E(k) = A_hat E(k-1); final = sum of layers 0..L / (L+1) per (node,
     dim). An isolated node keeps only its layer-0 row, hence sum / (L+1).
 
-    With ``materialize`` the weighted edges and every layer are checkpointed
-    to the session's checkpoint folder: each layer is computed once, the plan
-    of layer k does not contain layers 0..k-1, and a lost executor only
-    recomputes the current layer."""
-    from recfold.session import ensure_checkpoint_dir
-    if materialize:
-        ensure_checkpoint_dir(emb0.sparkSession)
+    With ``materialize`` the weighted edges and every layer are written as
+    Parquet to the session's checkpoint folder: each layer is computed once,
+    the plan of layer k does not contain layers 0..k-1, and a lost executor
+    only recomputes the current layer."""
+    from recfold.session import materialize as write_table
     cur = emb0.select("node", "dim", "val")
     w = weighted_edges.select("src", F.col("dst").alias("node"), "weight")
     if materialize:
-        cur = cur.checkpoint()
-        w = w.checkpoint()
+        cur = write_table(cur, "layer")
+        w = write_table(w, "edges")
     acc = cur
     for _ in range(layers):
         cur = (w.join(cur, "node")
                .groupBy(F.col("src").alias("node"), "dim")
                .agg(F.sum(F.col("weight") * F.col("val")).alias("val")))
         if materialize:
-            cur = cur.checkpoint()
+            cur = write_table(cur, "layer")
         acc = acc.unionByName(cur)
     return acc.groupBy("node", "dim").agg((F.sum("val") / F.lit(float(layers + 1))).alias("val"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recfold.functions.portable import portable_hash, require_columns
-from recfold.session import ensure_checkpoint_dir
+from recfold.session import materialize
 
 _ID_BUCKET_SHIFT = 16
 
@@ -105,10 +105,9 @@ def k_core(df: DataFrame, min_user: int = 5, min_movie: int = 5,
     """repeat (users with >= min_user rows, then movies with >= min_movie
     rows) until the row count is stable. The fixpoint is the unique maximal
     (m, n)-core. Each pass is two aggregate + left-semi joins; the pass result
-    is checkpointed into the session's checkpoint folder so the lineage stays
-    one pass deep and a lost executor recomputes one pass only."""
+    is written as Parquet into the session's checkpoint folder so the lineage
+    stays one pass deep and a lost executor recomputes one pass only."""
     require_columns(df, ["user_id", "movie_id"], "ratings")
-    ensure_checkpoint_dir(df.sparkSession)
     cur = df
     prev = None
     for _ in range(max_iter):
@@ -118,7 +117,7 @@ def k_core(df: DataFrame, min_user: int = 5, min_movie: int = 5,
         mcount = cur.groupBy("movie_id").agg(F.count(F.lit(1)).alias("_n"))
         cur = cur.join(mcount.where(F.col("_n") >= min_movie).select("movie_id"),
                        "movie_id", "left_semi")
-        cur = cur.checkpoint(eager=True)
+        cur = materialize(cur, "kcore")
         n = cur.count()
         if n == prev:
             break

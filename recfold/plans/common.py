@@ -25,7 +25,8 @@ def normalize(df: DataFrame, digits: int = 6) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if f.name in PRE_ROUNDED or f.name.startswith("pred_"):
+        numeric = isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))
+        if numeric and (f.name in PRE_ROUNDED or f.name.startswith("pred_")):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             c = sql_round(c.cast("double"), digits)
