@@ -61,4 +61,4 @@ def q_t3_topk_titles(spark, d):
 
 
 # the other families register themselves on import
-from recfold.plans import q_analysis, q_ensemble, q_eval, q_graph, q_io, q_prep, q_stats  # noqa: E402,F401
+from recfold.plans import q_analysis, q_ensemble, q_eval, q_graph, q_io, q_models, q_prep, q_stats  # noqa: E402,F401
