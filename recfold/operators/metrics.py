@@ -26,8 +26,12 @@ def rating_metrics(test: DataFrame, preds: DataFrame, by: tuple[str, ...] = ())
         preds.select("user_id", "movie_id", "predicted_rating", *by), ["user_id", "movie_id"])
     e = F.col("rating") - F.col("predicted_rating")
     g = j.groupBy(*by) if by else j
-    return g.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-                 F.count(F.lit(1)).alias("n_predictions"))
+    out = g.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+                F.count(F.lit(1)).alias("n_predictions"))
+    # no overlapping pair is an error, raised lazily by the aggregate itself
+    bad = F.raise_error(F.lit("No overlapping (user_id, movie_id) pairs between test and predictions"))
+    return out.select(*by, F.when(F.col("n_predictions") == 0, bad.cast("double"))
+                      .otherwise(F.col("rmse")).alias("rmse"), "mae", "n_predictions")
 
 
 def ranking_per_user(recs: DataFrame, relevant: DataFrame, eval_users: DataFrame | None = None,
@@ -69,6 +73,13 @@ def ranking_per_user(recs: DataFrame, relevant: DataFrame, eval_users: DataFrame
         (F.col("_hits_all") > 0).cast("int").alias("hit"))
 
 
+def map_at_k(recs: DataFrame, relevant: DataFrame, eval_users: DataFrame | None = None,
+             k: int = K) -> DataFrame:
+    """V6: mean AP over users with a list and >= 1 relevant item; 0 if none."""
+    per = ranking_per_user(recs, relevant, eval_users, k)
+    return per.agg(F.coalesce(F.avg("ap"), F.lit(0.0)).alias("map_at_k"))
+
+
 def coverage(recs: DataFrame, items: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """V8: distinct recommended items (whole lists) / distinct catalogue items."""
     n_total = items.select(F.countDistinct("movie_id")).scalar()
