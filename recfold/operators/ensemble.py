@@ -12,7 +12,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ def normalise_weights(weights: DataFrame | None, models: list[str] | None = None
     if weights is None:
         if not models:
             raise ValueError("need weights or model names")
-        spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+        spark = SparkSession.getActiveSession()
         return spark.createDataFrame([(m, 1.0 / len(models)) for m in models], "model string, weight double")
     total = weights.select(F.sum("weight")).scalar()
     return weights.select("model", F.when(total == 0, F.raise_error(F.lit("weights sum to zero")))

@@ -83,18 +83,20 @@ def to_long(vecs: DataFrame, node: str, emb: str = "emb", dims: int | None = Non
 
 
 def propagate(weighted_edges: DataFrame, emb0: DataFrame, layers: int = 3,
-              materialize: bool = True) -> DataFrame:
+              materialize: bool = True, inputs_written: bool = False) -> DataFrame:
     """E(k) = A_hat E(k-1); final = sum of layers 0..L / (L+1) per (node,
     dim). An isolated node keeps only its layer-0 row, hence sum / (L+1).
 
     With ``materialize`` the weighted edges and every layer are written as
     Parquet to the session's checkpoint folder: each layer is computed once,
     the plan of layer k does not contain layers 0..k-1, and a lost executor
-    only recomputes the current layer."""
+    only recomputes the current layer. ``inputs_written`` says the edges and
+    layer 0 already are such tables (training loops), so they are not
+    written again."""
     from recfold.session import materialize as write_table
     cur = emb0.select("node", "dim", "val")
     w = weighted_edges.select("src", F.col("dst").alias("node"), "weight")
-    if materialize:
+    if materialize and not inputs_written:
         cur = write_table(cur, "layer")
         w = write_table(w, "edges")
     acc = cur
@@ -132,8 +134,15 @@ def sample_negatives(pos: DataFrame, n_items: int, seed: int = 42, draws: int =
         else:
             cand = cand.where(F.col("neg") != F.col("i"))
         best = cand.groupBy("u", "i").agg(F.min_by("neg", "d").alias("neg"))
+        if rounds > 1 and reject == "all":
+            # each round's winners are written once, so later rounds (which
+            # anti-join them) do not recompute the earlier rounds
+            from recfold.session import materialize
+            best = materialize(best, "negatives")
         found = best if found is None else found.unionByName(best)
         todo = todo.join(best.select("u", "i"), ["u", "i"], "left_anti")
+        if rounds > 1 and reject == "all" and r + 1 < rounds and todo.limit(1).count() == 0:
+            break  # every pair has its negative: skip the remaining rounds
     out = pos.join(found.withColumnRenamed("u", user).withColumnRenamed("i", item),
                    [user, item], "left")
     return out

@@ -53,7 +53,7 @@ def ranking_ctes(recs: str, eval_users: str, k: int = 10, thr: float = 3.5) -> l
              coalesce(p.ap, 0) / least(n.n_relevant, {k}) AS ap,
              coalesce(p.dcg, 0) / list_sum(list_transform(range(1, CAST(least(n.n_relevant, {k}) AS BIGINT) + 1),
                                                           lambda i: 1 / log2(i + 1))) AS ndcg,
-             CASE WHEN coalesce(p.hits_all, 0) > 0 THEN 1 ELSE 0 END AS hit
+             CAST(CASE WHEN coalesce(p.hits_all, 0) > 0 THEN 1 ELSE 0 END AS BIGINT) AS hit
            FROM (SELECT DISTINCT model, user_id FROM {eval_users}) e
            JOIN nrel n ON n.user_id = e.user_id
            LEFT JOIN per p ON p.model = e.model AND p.user_id = e.user_id)""",

@@ -29,7 +29,7 @@ cases AS (SELECT case_type, CAST(rk AS BIGINT) AS case_rank, user_id, n_hits, n_
 
 @register("n1_cases", topk_sql() + "," + CT + "\nSELECT * FROM cases")
 def q_n1(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.cases(bias_recs(b), b.test, 20))
 
 
@@ -43,31 +43,31 @@ SELECT x.case_type, x.user_id, x.kind, CAST(x.pos AS BIGINT) AS pos, x.movie_id,
        CASE WHEN x.kind = 'miss' THEN CAST(x.rating AS BIGINT) END AS actual_rating
 FROM ranked x LEFT JOIN titles ti ON ti.movie_id = x.movie_id WHERE x.pos <= 5""")
 def q_n1i(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.case_items(bias_recs(b), b.test, b.titles(), 20))
 
 
 @register("n1_summary", topk_sql() + "," + CT.split(",\ncases AS")[0] + """
 SELECT count(*) AS n_users, avg(n_hits / n_recs) AS avg_hit_ratio FROM ct""")
 def q_n1s(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.case_summary(bias_recs(b), b.test))
 
 
 HITS = """hits AS (SELECT r.user_id, r.rank, r.movie_id, r.score, CAST(t.rating AS BIGINT) AS actual_rating,
-          CASE WHEN t.rating >= 4 THEN 1 ELSE 0 END AS is_hit
+          CAST(CASE WHEN t.rating >= 4 THEN 1 ELSE 0 END AS BIGINT) AS is_hit
         FROM recs r LEFT JOIN test t ON t.user_id = r.user_id AND t.movie_id = r.movie_id)"""
 
 
 @register("n2_hit_table", topk_sql() + "," + HITS + "\nSELECT * FROM hits")
 def q_n2(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.hit_table(bias_recs(b), b.test))
 
 
 @register("n2_user_hit_rates", topk_sql() + "," + HITS + "\nSELECT user_id, avg(is_hit) AS hit_rate FROM hits GROUP BY user_id")
 def q_n2u(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.user_hit_rates(N.hit_table(bias_recs(b), b.test)))
 
 
@@ -83,7 +83,7 @@ SELECT bw.grp, bw.user_id, bw.hit_rate, coalesce(st.n_train, 0) AS n_train, st.a
               WHEN st.avg_rating > 4.5 THEN 'POSITIVE BIAS' ELSE 'NICHE TASTE' END END AS diagnosis
 FROM bw LEFT JOIN st ON st.user_id = bw.user_id""")
 def q_n3(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.best_worst_users(N.hit_table(bias_recs(b), b.test), b.train))
 
 
@@ -96,7 +96,7 @@ recs AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY user_id OR
 SELECT count(DISTINCT movie_id) AS n_unique, count(*) AS n_recs, (SELECT count(*) FROM cat) AS n_items,
        count(DISTINCT movie_id) / (SELECT count(*) FROM cat) AS coverage FROM recs""")
 def q_n5(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     users = N.most_active(b.train, 500)
     recs = TK.top_k(M.fit_bias(b.train), users, b.catalogue(), seen=b.train, k=10)
     return normalize(N.catalogue_coverage(recs, b.catalogue()))
@@ -107,7 +107,7 @@ SELECT f.movie_id, f.times_recommended, coalesce(t.title, '?') AS title FROM
   (SELECT movie_id, count(*) AS times_recommended FROM recs GROUP BY movie_id
    ORDER BY times_recommended DESC, movie_id LIMIT 20) f LEFT JOIN titles t ON t.movie_id = f.movie_id""")
 def q_n6(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.rec_frequency(bias_recs(b), b.titles(), 20))
 
 
@@ -119,7 +119,7 @@ SELECT CAST(th.top_t AS BIGINT) AS top_t, count(*) FILTER (WHERE rp.pop_rank < t
        count(*) FILTER (WHERE rp.pop_rank < th.top_t) / count(*) * 100 AS pct_of_recs
 FROM th, rp GROUP BY th.top_t""")
 def q_n7(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.popularity_bias(bias_recs(b), b.train))
 
 
@@ -129,7 +129,7 @@ SELECT (SELECT quantile_cont(ln(1 + CAST(n AS DOUBLE)), 0.5) FROM pop) AS median
        (SELECT quantile_cont(ln(1 + CAST(coalesce(p.n, 0) AS DOUBLE)), 0.5) FROM recs r
           LEFT JOIN pop p ON p.movie_id = r.movie_id) AS median_log_pop_recs""")
 def q_n8(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.popularity_compare(bias_recs(b), b.train))
 
 
@@ -141,7 +141,7 @@ ht AS (SELECT h.is_hit, CASE WHEN a.n > 0 AND a.n <= 20 THEN 'Cold (<20)' WHEN a
        FROM hits h LEFT JOIN act a ON a.user_id = h.user_id)
 SELECT tier, avg(is_hit) AS hit_rate, count(*) AS n_recs FROM ht WHERE tier IS NOT NULL GROUP BY tier""")
 def q_n9(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(N.hit_rate_by_tier(N.hit_table(bias_recs(b), b.test), b.train))
 
 

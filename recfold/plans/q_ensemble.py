@@ -126,7 +126,7 @@ SELECT s.config, s.w_item_mean, s.w_user_mean, s.w_bias,
        sqrt(avg(power(s.w_item_mean * wt.pi + s.w_user_mean * wt.pu + s.w_bias * wt.pb - wt.y, 2))) AS rmse
 FROM sets s, wt GROUP BY s.config, s.w_item_mean, s.w_user_mean, s.w_bias""")
 def q_e7(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(E.ablation(b.preds(), b.test, _weights_dict(b)))
 
 
@@ -151,7 +151,7 @@ def q_e8(spark, d):
 
 
 def _stack(spark, d, kind: str):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     vp = M.predict_long(b.models(), b.val)
     feats = E.meta_features(vp, b.val, b.val, NAMES)
     va, model = E.fit_stack(feats, b.val, NAMES, kind)
@@ -191,7 +191,7 @@ SELECT user_id, CAST(rk AS BIGINT) AS rank, movie_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rk FROM scored) r
 WHERE rk <= 10""")
 def q_e11(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     wts = _weights_dict(b)
     blend = TK.Blend(b.models(), [wts[n] for n in NAMES])
     return normalize(TK.top_k(blend, b.users(), b.catalogue(), seen=b.train, k=10))

@@ -59,7 +59,7 @@ def _all_eval_users(b: Base):
 @register("v3_v7_ranking_per_user", W(*_RECS_ALL, *ranking_ctes("recs", "ev")) + """
 SELECT model, user_id, n_relevant, precision, recall, ap, ndcg, hit FROM per_user""")
 def q_v3(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     rel = V.relevant_items(b.test, 3.5)
     return normalize(V.ranking_per_user(_bias_recs_long(b), rel, _all_eval_users(b), 10, by=("model",)))
 
@@ -67,13 +67,13 @@ def q_v3(spark, d):
 @register("v8_coverage", W(*_RECS_ALL) + """
 SELECT model, count(DISTINCT movie_id) / (SELECT count(*) FROM cat) AS coverage FROM recs GROUP BY model""")
 def q_v8(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(V.coverage(_bias_recs_long(b), b.catalogue(), by=("model",)))
 
 
 @register("v11_ranking_report", W(*_RECS_ALL, *ranking_ctes("recs", "ev")) + report_select("recs"))
 def q_v11(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(V.ranking_report(_bias_recs_long(b), b.test, _all_eval_users(b), 10, 3.5, by=("model",)))
 
 
@@ -95,7 +95,7 @@ SELECT n.user_id, n.n_items,
          AS diversity
 FROM n""")
 def q_v9(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(V.diversity(_bias_recs_long(b).drop("model"), vectors_view(spark, d)))
 
 
@@ -116,7 +116,7 @@ SELECT rating.*, rep.map_at_k, rep.precision_at_k, rep.recall_at_k, rep.ndcg_at_
        rep.n_users_evaluated, rep.coverage
 FROM rating LEFT JOIN rep ON rep.model = rating.model""")
 def q_v12(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(full_report(b.models(), b.train, b.test, b.catalogue(), 10, 500))
 
 

@@ -75,7 +75,7 @@ def q_s6(spark, d):
 @register("s7_k2_split_load", W(*O.BASE) + "SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date FROM test")
 def q_s7(spark, d):
     root = _scratch(spark, "splits")
-    K.write_splits(Base(spark, d).split, root)
+    K.write_splits(Base(spark, d, materialize=False).split, root)
     return normalize(SF.read_split(spark, f"{root}/splits", "test").select("user_id", "movie_id", "rating", "date"))
 
 
@@ -94,7 +94,7 @@ SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHER
        count(*) FILTER (WHERE split = 'test') AS n_test, count(DISTINCT user_id) AS n_users,
        count(DISTINCT movie_id) AS n_movies FROM split""")
 def q_k3(spark, d):
-    b = Base(spark, d)
+    b = Base(spark, d, materialize=False)
     root = _scratch(spark, "csvsplits")
     K.write_splits_csv(b.split, root)
     return normalize(spark.read.json(f"{root}/stats.json").select("n_train", "n_val", "n_test", "n_users", "n_movies"))
@@ -103,7 +103,7 @@ def q_k3(spark, d):
 @register("k4_recs_csv", topk_sql() + """
 SELECT user_id, rank, movie_id, printf('%.6f', score) AS score FROM recs""")
 def q_k4(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     path = _scratch(spark, "recs")
     K.write_recs(bias_recs(b), path)
     back = spark.read.option("header", True).schema(
@@ -115,7 +115,7 @@ def q_k4(spark, d):
 SELECT r.user_id, r.rank, r.movie_id, printf('%.6f', r.score) AS predicted_score,
        coalesce(t.title, 'Unknown') AS title FROM recs r LEFT JOIN titles t ON t.movie_id = r.movie_id""")
 def q_k5(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     path = _scratch(spark, "export")
     K.write_export(bias_recs(b), b.titles(), path)
     back = spark.read.option("header", True).schema(
@@ -133,3 +133,40 @@ def q_k8(spark, d):
     K.save_model(fit_bias(b.train), path)
     m = K.load_model(spark, path)
     return normalize(m.score(b.test.select("user_id", "movie_id")))
+
+
+@register("k6_results_json", W(*O.BASE, *O.MODELS, O.PREDS) + """
+SELECT p.model, 'rmse' AS metric, sqrt(avg((t.rating - p.predicted_rating) * (t.rating - p.predicted_rating))) AS value
+FROM test t JOIN preds p ON p.user_id = t.user_id AND p.movie_id = t.movie_id GROUP BY p.model
+UNION ALL
+SELECT p.model, 'mae', avg(abs(t.rating - p.predicted_rating))
+FROM test t JOIN preds p ON p.user_id = t.user_id AND p.movie_id = t.movie_id GROUP BY p.model""")
+def q_k6(spark, d):
+    from recfold.operators import metrics as V
+    b = Base(spark, d)
+    r = V.rating_metrics(b.test, b.preds(), by=("model",))
+    long = r.select("model", F.expr("stack(2, 'rmse', rmse, 'mae', mae) AS (metric, value)"))
+    path = _scratch(spark, "results")
+    K.write_results(long, path, "json")
+    return normalize(spark.read.schema("model STRING, metric STRING, value DOUBLE").json(path))
+
+
+@register("k7_eda_report_json", W(O.RATINGS) + """,
+ua AS (SELECT user_id, count(*) AS n FROM ratings GROUP BY user_id),
+ma AS (SELECT movie_id, count(*) AS n FROM ratings GROUP BY movie_id),
+ru AS (SELECT n, row_number() OVER (ORDER BY n DESC, user_id) AS rn FROM ua),
+rm AS (SELECT n, row_number() OVER (ORDER BY n DESC, movie_id) AS rn FROM ma)
+SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT movie_id) AS n_movies,
+       1 - count(*) / (count(DISTINCT user_id) * count(DISTINCT movie_id)) AS sparsity,
+       avg(CAST(rating AS DOUBLE)) AS rating_mean, stddev_samp(CAST(rating AS DOUBLE)) AS rating_std,
+       (SELECT sum(n) FILTER (WHERE rn <= floor((SELECT count(*) FROM ua) * CAST(0.1 AS DOUBLE))) / sum(n) FROM ru)
+         AS top_user_share,
+       (SELECT sum(n) FILTER (WHERE rn <= 100) / sum(n) FROM rm) AS top_movie_share
+FROM ratings""")
+def q_k7(spark, d):
+    from recfold.operators import stats as A
+    path = _scratch(spark, "eda")
+    K.write_results(A.key_figures(ratings_view(spark, d)), path, "json")
+    schema = ("n_ratings BIGINT, n_users BIGINT, n_movies BIGINT, sparsity DOUBLE, rating_mean DOUBLE, "
+              "rating_std DOUBLE, top_user_share DOUBLE, top_movie_share DOUBLE")
+    return normalize(spark.read.schema(schema).json(path))

@@ -67,13 +67,13 @@ SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT movie_id) AS n_movies,
 FROM (SELECT user_id, movie_id FROM train UNION ALL SELECT user_id, movie_id FROM val
       UNION ALL SELECT user_id, movie_id FROM test) u""")
 def q_p5(spark, d):
-    b = Base(spark, d)
+    b = Base(spark, d, materialize=False)
     return normalize(P.universe_counts(b.train, b.val, b.test))
 
 
 @register("p6_catalogue", W(*O.BASE) + "SELECT movie_id FROM train UNION SELECT movie_id FROM test")
 def q_p6(spark, d):
-    b = Base(spark, d)
+    b = Base(spark, d, materialize=False)
     return normalize(P.catalogue(b.train, b.test))
 
 
@@ -106,20 +106,20 @@ cand AS (
 SELECT c.user_id, c.rank, c.movie_id, c.score FROM cand c
 WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = c.user_id AND t.movie_id = c.movie_id)""")
 def q_f2(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     cand = TK.top_k(M.fit_bias(b.train), b.users(), b.catalogue(), seen=None, k=20)
     return normalize(P.exclude_seen(cand, b.train))
 
 
 @register("t2_topk_no_exclusion", _T2_SQL + "SELECT user_id, rank, movie_id, score FROM cand")
 def q_t2(spark, d):
-    b = Base(spark, d, materialize=True)
+    b = Base(spark, d)
     return normalize(TK.top_k(M.fit_bias(b.train), b.users(), b.catalogue(), seen=None, k=20))
 
 
 @register("f3_relevant", W(*O.BASE) + "SELECT DISTINCT user_id, movie_id FROM test WHERE rating >= 3.5")
 def q_f3(spark, d):
-    return normalize(P.relevant(Base(spark, d).test, 3.5))
+    return normalize(P.relevant(Base(spark, d, materialize=False).test, 3.5))
 
 
 @register("f4_sample_users", W(O.RATINGS) + f"""
@@ -156,7 +156,7 @@ def q_f6(spark, d):
 
 @register("w1_split_temporal_per_user", W(O.RATINGS, O.SPLIT) + "SELECT * FROM split")
 def q_w1(spark, d):
-    return normalize(Base(spark, d).split)
+    return normalize(Base(spark, d, materialize=False).split)
 
 
 @register("w2_split_temporal_global", W(O.RATINGS) + """
@@ -196,7 +196,7 @@ SELECT split, count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(D
        count(*) / (count(DISTINCT user_id) * count(DISTINCT movie_id)) * 100 AS density_pct
 FROM split GROUP BY split""")
 def q_w5(spark, d):
-    return normalize(S.split_summary(Base(spark, d).split))
+    return normalize(S.split_summary(Base(spark, d, materialize=False).split))
 
 
 @register("w6_split_integrity", W(O.RATINGS, O.SPLIT) + """
@@ -206,4 +206,4 @@ SELECT (SELECT count(*) FROM (SELECT user_id, max(CASE WHEN split = 'train' THEN
        (SELECT count(*) FROM (SELECT user_id, movie_id FROM split GROUP BY user_id, movie_id
                               HAVING count(DISTINCT split) > 1) y) AS n_shared_pairs""")
 def q_w6(spark, d):
-    return normalize(S.split_integrity(Base(spark, d).split))
+    return normalize(S.split_integrity(Base(spark, d, materialize=False).split))

@@ -169,3 +169,21 @@ def test_lorenz_cut_matches_numpy(spark, ratings_a1):
     idx = int(np.searchsorted(cum, 80))
     assert got["position"] == idx
     assert got["top_entity_pct"] == pytest.approx((idx + 1) / len(act) * 100)
+
+
+def test_validation(spark, ratings_a1):
+    from recfold.functions.portable import require_columns, validate_ratios
+    with pytest.raises(ValueError):
+        validate_ratios(0.7, 0.2, 0.2)
+    validate_ratios(0.7, 0.1, 0.2)
+    with pytest.raises(ValueError):
+        require_columns(ratings_a1, ["user_id", "nope"])
+    with pytest.raises(ValueError):
+        S.split_temporal_per_user(ratings_a1, 0.5, 0.1, 0.1)
+
+
+def test_monthly_filled_has_gaps_as_zero(spark, ratings_a1):
+    m = A.monthly_filled(ratings_a1).toPandas()
+    # Jan 2001 .. Jan 2004 = 37 month ends, most of them empty
+    assert len(m) == 37 and m.n_ratings.sum() == 10 and (m.n_ratings == 0).sum() == 37 - 8
+    assert str(m.month_end.min()) == "2001-01-31"
