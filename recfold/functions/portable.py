@@ -74,3 +74,25 @@ def sql_round(c: str | Column, digits: int) -> Column:
     big = F.abs(x) * scale >= F.lit(4503599627370496.0)  # 2^52: already integral
     r = F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
     return F.when(F.isnan(x) | big, x).otherwise(r)
+
+
+EXACT_SCALE = 1e12
+
+
+def exact_avg(c: str | Column) -> Column:
+    """Mean of non-negative per-entity metrics that is independent of the
+    summation order: each value is fixed to 12 decimals as a BIGINT, the
+    integers are summed exactly and divided once. Means of rationals with
+    small denominators (MAP, precision) often sit exactly on a rounding half,
+    where a last-bit difference between engines would change the printed
+    digit; this makes every engine produce the same double."""
+    x = _col(c)
+    n = F.count(x)
+    s = F.sum(F.floor(x * EXACT_SCALE + 0.5).cast("bigint"))
+    return F.when(n > 0, s / n / EXACT_SCALE)
+
+
+def exact_avg_sql(x: str) -> str:
+    """SQL twin of ``exact_avg``."""
+    return (f"(CASE WHEN count({x}) > 0 THEN sum(CAST(floor({x} * 1e12 + 0.5) AS BIGINT)) "
+            f"/ count({x}) / 1e12 END)")

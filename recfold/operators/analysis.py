@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recfold.functions.portable import portable_hash
+from recfold.functions.portable import exact_avg, portable_hash
 from recfold.operators.graph import position_within
 from recfold.operators.stats import exact_quantiles
 
@@ -80,7 +80,7 @@ def case_summary(recs: DataFrame, test: DataFrame, threshold: float = HIT) -> Da
     """N1 summary: users analysed and mean of hits / list length (0 without hit)."""
     c = case_table(recs, test, threshold)
     return c.agg(F.count(F.lit(1)).alias("n_users"),
-                 F.avg(F.col("n_hits") / F.col("n_recs")).alias("avg_hit_ratio"))
+                 exact_avg(F.col("n_hits") / F.col("n_recs")).alias("avg_hit_ratio"))
 
 
 def hit_table(recs: DataFrame, test: DataFrame, threshold: float = HIT_NOTEBOOK) -> DataFrame:

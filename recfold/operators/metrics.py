@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recfold.functions.portable import require_columns
+from recfold.functions.portable import exact_avg, require_columns
 from recfold.operators.prep import relevant as relevant_items
 
 RELEVANCE = 3.5
@@ -77,7 +77,7 @@ def map_at_k(recs: DataFrame, relevant: DataFrame, eval_users: DataFrame | None
              k: int = K) -> DataFrame:
     """V6: mean AP over users with a list and >= 1 relevant item; 0 if none."""
     per = ranking_per_user(recs, relevant, eval_users, k)
-    return per.agg(F.coalesce(F.avg("ap"), F.lit(0.0)).alias("map_at_k"))
+    return per.agg(F.coalesce(exact_avg("ap"), F.lit(0.0)).alias("map_at_k"))
 
 
 def coverage(recs: DataFrame, items: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -95,11 +95,11 @@ def ranking_report(recs: DataFrame, test: DataFrame, eval_users: DataFrame | Non
     rel = relevant_items(test, threshold)
     per = ranking_per_user(recs, rel, eval_users, k, by)
     g = per.groupBy(*by) if by else per
-    agg = g.agg(F.coalesce(F.avg("ap"), F.lit(0.0)).alias("map_at_k"),
-                F.coalesce(F.avg("precision"), F.lit(0.0)).alias("precision_at_k"),
-                F.coalesce(F.avg("recall"), F.lit(0.0)).alias("recall_at_k"),
-                F.coalesce(F.avg("ndcg"), F.lit(0.0)).alias("ndcg_at_k"),
-                F.coalesce(F.avg("hit"), F.lit(0.0)).alias("hit_rate"),
+    agg = g.agg(F.coalesce(exact_avg("ap"), F.lit(0.0)).alias("map_at_k"),
+                F.coalesce(exact_avg("precision"), F.lit(0.0)).alias("precision_at_k"),
+                F.coalesce(exact_avg("recall"), F.lit(0.0)).alias("recall_at_k"),
+                F.coalesce(exact_avg("ndcg"), F.lit(0.0)).alias("ndcg_at_k"),
+                F.coalesce(exact_avg("hit"), F.lit(0.0)).alias("hit_rate"),
                 F.count(F.lit(1)).alias("n_users_evaluated"))
     cov = coverage(recs, test, by)
     if by:

@@ -70,3 +70,10 @@ class Base:
     def preds(self) -> DataFrame:
         """preds(model, user_id, movie_id, predicted_rating) on test."""
         return M.predict_long(self.models(), self.test)
+
+
+def ratings_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings view written once for a query that scans it several times
+    (scalar subqueries, several aggregates): later scans read Parquet instead
+    of repeating the orders x lineitem join and dedup."""
+    return write_table(V.ratings(spark, sf_dir), "ratings")

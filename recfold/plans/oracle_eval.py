@@ -3,6 +3,7 @@ and the ranking report."""
 
 from __future__ import annotations
 
+from recfold.functions.portable import exact_avg_sql as XA
 from recfold.plans import oracle_views as O
 
 _JOINS = {
@@ -65,9 +66,9 @@ def report_select(recs: str) -> str:
     return f"""
 SELECT a.model, a.map_at_k, a.precision_at_k, a.recall_at_k, a.ndcg_at_k, a.hit_rate, a.n_users_evaluated,
        c.coverage
-FROM (SELECT model, coalesce(avg(ap), 0) AS map_at_k, coalesce(avg(precision), 0) AS precision_at_k,
-             coalesce(avg(recall), 0) AS recall_at_k, coalesce(avg(ndcg), 0) AS ndcg_at_k,
-             coalesce(avg(hit), 0) AS hit_rate, count(*) AS n_users_evaluated
+FROM (SELECT model, coalesce({XA("ap")}, 0) AS map_at_k, coalesce({XA("precision")}, 0) AS precision_at_k,
+             coalesce({XA("recall")}, 0) AS recall_at_k, coalesce({XA("ndcg")}, 0) AS ndcg_at_k,
+             coalesce({XA("hit")}, 0) AS hit_rate, count(*) AS n_users_evaluated
       FROM per_user GROUP BY model) a
 FULL JOIN (SELECT model, count(DISTINCT movie_id) / (SELECT count(DISTINCT movie_id) FROM test) AS coverage
            FROM {recs} GROUP BY model) c ON a.model = c.model"""

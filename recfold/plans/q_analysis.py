@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recfold.functions.portable import portable_hash_sql
+from recfold.functions.portable import exact_avg_sql, portable_hash_sql
 from recfold.operators import analysis as N
 from recfold.operators import models as M
 from recfold.operators import topk as TK
@@ -48,7 +48,7 @@ def q_n1i(spark, d):
 
 
 @register("n1_summary", topk_sql() + "," + CT.split(",\ncases AS")[0] + """
-SELECT count(*) AS n_users, avg(n_hits / n_recs) AS avg_hit_ratio FROM ct""")
+SELECT count(*) AS n_users, """ + exact_avg_sql("n_hits / n_recs") + """ AS avg_hit_ratio FROM ct""")
 def q_n1s(spark, d):
     b = Base(spark, d)
     return normalize(N.case_summary(bias_recs(b), b.test))

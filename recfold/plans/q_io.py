@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from recfold.operators import prep as P
 from recfold.plans import oracle_views as O
 from recfold.plans.catalog import bias_recs, topk_sql
-from recfold.plans.common import Base, normalize
+from recfold.plans.common import Base, normalize, ratings_once
 from recfold.plans.registry import register
 from recfold.plans.views import ratings as ratings_view
 from recfold.plans.views import titles as titles_view
@@ -166,7 +166,7 @@ FROM ratings""")
 def q_k7(spark, d):
     from recfold.operators import stats as A
     path = _scratch(spark, "eda")
-    K.write_results(A.key_figures(ratings_view(spark, d)), path, "json")
+    K.write_results(A.key_figures(ratings_once(spark, d)), path, "json")
     schema = ("n_ratings BIGINT, n_users BIGINT, n_movies BIGINT, sparsity DOUBLE, rating_mean DOUBLE, "
               "rating_std DOUBLE, top_user_share DOUBLE, top_movie_share DOUBLE")
     return normalize(spark.read.schema(schema).json(path))

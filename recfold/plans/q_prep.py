@@ -79,12 +79,12 @@ def q_p6(spark, d):
 
 # ---- F1 - F6 ----------------------------------------------------------------
 
-@register("f1_kcore_8_30", W(O.RATINGS, *core_sql(8, 30)) + "SELECT user_id, movie_id, rating, date FROM core")
+@register("f1_kcore_8_30", W(O.RATINGS, *core_sql(8, 30)) + "SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date FROM core")
 def q_f1(spark, d):
     return normalize(P.k_core(ratings_view(spark, d), 8, 30))
 
 
-@register("f1_kcore_5_5", W(O.RATINGS, *core_sql(5, 5)) + "SELECT user_id, movie_id, rating, date FROM core")
+@register("f1_kcore_5_5", W(O.RATINGS, *core_sql(5, 5)) + "SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date FROM core")
 def q_f1b(spark, d):
     return normalize(P.k_core(ratings_view(spark, d), 5, 5))
 
@@ -154,13 +154,13 @@ def q_f6(spark, d):
 
 # ---- W1 - W6 ----------------------------------------------------------------
 
-@register("w1_split_temporal_per_user", W(O.RATINGS, O.SPLIT) + "SELECT * FROM split")
+@register("w1_split_temporal_per_user", W(O.RATINGS, O.SPLIT) + "SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date, split FROM split")
 def q_w1(spark, d):
     return normalize(Base(spark, d, materialize=False).split)
 
 
 @register("w2_split_temporal_global", W(O.RATINGS) + """
-SELECT user_id, movie_id, rating, date,
+SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date,
        CASE WHEN pos < floor(n * (CAST(1 AS DOUBLE) - CAST(0.1 AS DOUBLE) - CAST(0.1 AS DOUBLE))) THEN 'train'
             WHEN pos < floor(n * (CAST(1 AS DOUBLE) - CAST(0.1 AS DOUBLE))) THEN 'val' ELSE 'test' END AS split
 FROM (SELECT *, row_number() OVER (ORDER BY date, user_id, movie_id) - 1 AS pos, count(*) OVER () AS n
@@ -170,7 +170,7 @@ def q_w2(spark, d):
 
 
 @register("w3_split_random_global", W(O.RATINGS) + f"""
-SELECT user_id, movie_id, rating, date,
+SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date,
        CASE WHEN pos < floor(n * CAST(0.7 AS DOUBLE)) THEN 'train'
             WHEN pos < floor(n * (CAST(0.7 AS DOUBLE) + CAST(0.1 AS DOUBLE))) THEN 'val' ELSE 'test' END AS split
 FROM (SELECT *, row_number() OVER (ORDER BY {H_UM}, user_id, movie_id) - 1 AS pos, count(*) OVER () AS n
@@ -180,7 +180,7 @@ def q_w3(spark, d):
 
 
 @register("w4_split_random_per_user", W(O.RATINGS) + f"""
-SELECT user_id, movie_id, rating, date,
+SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date,
        CASE WHEN pos < nt THEN 'test' WHEN pos < nt + nv THEN 'val' ELSE 'train' END AS split
 FROM (SELECT *, greatest(CAST(1 AS BIGINT), floor(n * CAST(0.1 AS DOUBLE))) AS nt,
              greatest(CAST(1 AS BIGINT), floor(n * CAST(0.1 AS DOUBLE))) AS nv

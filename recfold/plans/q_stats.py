@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from recfold.operators import graph as G
 from recfold.operators import stats as A
 from recfold.plans import oracle_views as O
-from recfold.plans.common import Base, normalize
+from recfold.plans.common import Base, normalize, ratings_once
 from recfold.plans.registry import register
 from recfold.plans.views import ratings as ratings_view
 from recfold.plans.views import titles as titles_view
@@ -43,7 +43,7 @@ def q_a3(spark, d):
 SELECT CAST(rating AS BIGINT) AS rating, count(*) AS n, count(*) / (SELECT count(*) FROM ratings) * 100 AS pct
 FROM ratings GROUP BY rating""")
 def q_a4(spark, d):
-    return normalize(A.rating_distribution(ratings_view(spark, d)))
+    return normalize(A.rating_distribution(ratings_once(spark, d)))
 
 
 def _describe_sql(src: str, col: str, name: str) -> str:
@@ -59,7 +59,7 @@ ma AS (SELECT movie_id, count(*) AS n FROM ratings GROUP BY movie_id)
 """ + _describe_sql("ratings", "rating", "rating") + "\nUNION ALL\n" + _describe_sql("ua", "n", "user_activity")
           + "\nUNION ALL\n" + _describe_sql("ma", "n", "movie_popularity"))
 def q_a5(spark, d):
-    r = ratings_view(spark, d)
+    r = ratings_once(spark, d)
     parts = [A.describe(r, "rating").withColumn("variable", F.lit("rating")),
              A.describe(A.activity(r, "user_id"), "n").withColumn("variable", F.lit("user_activity")),
              A.describe(A.activity(r, "movie_id"), "n").withColumn("variable", F.lit("movie_popularity"))]
@@ -86,12 +86,12 @@ SELECT bin, pow({D(10)}, bin * (SELECT step FROM st)) AS bin_lo, pow({D(10)}, (b
 
 @register("a7_log_histogram_users", _loghist_sql("user_id"))
 def q_a7u(spark, d):
-    return normalize(A.log_histogram(ratings_view(spark, d), "user_id"))
+    return normalize(A.log_histogram(ratings_once(spark, d), "user_id"))
 
 
 @register("a7_log_histogram_movies", _loghist_sql("movie_id"))
 def q_a7m(spark, d):
-    return normalize(A.log_histogram(ratings_view(spark, d), "movie_id"))
+    return normalize(A.log_histogram(ratings_once(spark, d), "movie_id"))
 
 
 def _eqhist_sql(src: str, col: str, bins: int) -> str:
@@ -109,7 +109,7 @@ FROM b GROUP BY bin"""
 @register("a8_equal_width_activity", W(O.RATINGS) + """,
 ua AS (SELECT user_id, count(*) AS n FROM ratings GROUP BY user_id)""" + _eqhist_sql("ua", "n", 100))
 def q_a8a(spark, d):
-    return normalize(A.equal_width_histogram(A.activity(ratings_view(spark, d), "user_id"), "n", 100))
+    return normalize(A.equal_width_histogram(A.activity(ratings_once(spark, d), "user_id"), "n", 100))
 
 
 @register("a8_equal_width_residuals", W(*O.BASE, *O.MODELS, O.PREDS) + """,
@@ -134,7 +134,7 @@ r AS (SELECT n, n_entities, sum(n_entities) OVER (ORDER BY n DESC) AS ce,
 @register("a9_lorenz_curve", _LORENZ + """
 SELECT n, n_entities, ce / nn * 100 AS entity_pct, cr / tt * 100 AS rating_pct FROM r""")
 def q_a9c(spark, d):
-    return normalize(A.lorenz_curve(ratings_view(spark, d), "user_id"))
+    return normalize(A.lorenz_curve(ratings_once(spark, d), "user_id"))
 
 
 @register("a9_lorenz_cut", _LORENZ + f""",
@@ -142,7 +142,7 @@ c AS (SELECT *, ce - n_entities AS eb, cr - n * n_entities AS rb, {D(80)} * tt /
 p AS (SELECT eb + greatest(ceil((need - rb) / n) - 1, 0) AS pos, nn FROM c WHERE cr >= need AND rb < need)
 SELECT CAST(pos AS BIGINT) AS position, (pos + 1) / nn * 100 AS top_entity_pct FROM p""")
 def q_a9x(spark, d):
-    return normalize(A.lorenz_cut(ratings_view(spark, d), "user_id"))
+    return normalize(A.lorenz_cut(ratings_once(spark, d), "user_id"))
 
 
 @register("a10_top_movies", W(O.RATINGS, O.TITLES) + """,
@@ -197,4 +197,4 @@ SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT
        (SELECT sum(n) FILTER (WHERE rn <= 100) / sum(n) FROM rm) AS top_movie_share
 FROM ratings""")
 def q_a14(spark, d):
-    return normalize(A.key_figures(ratings_view(spark, d)))
+    return normalize(A.key_figures(ratings_once(spark, d)))
