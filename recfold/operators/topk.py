@@ -107,7 +107,7 @@ def _top_rows_finished(raw: np.ndarray, k: int, lo, hi, digits):
 
 
 def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
-    """specs: per component (weight, mu, rank, lo, hi, digits)."""
+    """specs: per component (weight, mu, rank, lo, hi, digits, u_const, i_const)."""
 
     def run(batches):
         cat = bc.value
@@ -118,9 +118,19 @@ def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
             for start in range(0, len(pdf), _USER_CHUNK):
                 ch = pdf.iloc[start:start + _USER_CHUNK]
                 total = None
-                for c, (w, mu, rank, lo, hi, digits) in enumerate(specs):
-                    base = ((mu + ch[f"u{c}"].to_numpy(dtype=np.float64))[:, None]
-                            + cat[f"i{c}"][None, :])
+                for c, (w, mu, rank, lo, hi, digits, u_const, i_const) in enumerate(specs):
+                    u = ch[f"u{c}"].to_numpy(dtype=np.float64)
+                    if outer is not None and rank == 0 and (u_const or i_const):
+                        # a component constant along users (or items) is
+                        # finished once as a vector, then broadcast
+                        if u_const:
+                            sc = numpy_finish((mu + u[:1])[:, None] + cat[f"i{c}"][None, :], lo, hi, digits)
+                        else:
+                            sc = numpy_finish((mu + u)[:, None] + cat[f"i{c}"][None, :1], lo, hi, digits)
+                        sc = w * sc
+                        total = (np.broadcast_to(sc, (len(ch), n)).copy() if total is None else total + sc)
+                        continue
+                    base = (mu + u)[:, None] + cat[f"i{c}"][None, :]
                     if rank > 0:
                         p = np.stack([np.asarray(v, dtype=np.float64) for v in ch[f"p{c}"]])
                         base = base + p @ cat[f"q{c}"].T
@@ -222,7 +232,9 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
         outer = (model.lo, model.hi, model.digits)
     else:
         models, weights, outer = [model], [1.0], None
-    specs = [(float(w), _scalar_value(m.mu), m.rank, *m.finish_params())
+    # u_const / i_const: the model has no per-user (per-item) table, so its
+    # term is the same fill value for every user (item)
+    specs = [(float(w), _scalar_value(m.mu), m.rank, *m.finish_params(), m.users is None, m.items is None)
              for m, w in zip(models, weights)]
     items = _catalogue_items(models, catalogue)
     rows = _user_rows(models, users, seen)

@@ -62,7 +62,9 @@ class Base:
         return self.train.select("movie_id").unionByName(self.test.select("movie_id")).distinct()
 
     def users(self) -> DataFrame:
-        return self.ratings.select("user_id").distinct()
+        # the split holds every rating row, so its users are all users; read
+        # from the (possibly materialised) split instead of re-deriving ratings
+        return self.split.select("user_id").distinct()
 
     def models(self) -> list[M.RatingModel]:
         return [M.fit_item_mean(self.train), M.fit_user_mean(self.train), M.fit_bias(self.train)]
