@@ -238,8 +238,12 @@ def fit_stack(feats: DataFrame, truth: DataFrame, models: list[str], kind: str =
     va = VectorAssembler(inputCols=_features(models), outputCol="features", handleInvalid="keep")
     d = va.transform(data)
     if kind == "gbt":
+        # the boosting state is checkpointed every 10 trees into the session's
+        # checkpoint folder, so 300 trees do not build a 300-deep lineage
+        from recfold.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(feats.sparkSession)
         est = GBTRegressor(maxIter=max_iter, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
-                           featureSubsetStrategy="0.8", seed=seed)
+                           featureSubsetStrategy="0.8", seed=seed, checkpointInterval=10)
     elif kind in ("ridge", "linear"):
         n = d.count()
         est = LinearRegression(regParam=(alpha / n) if kind == "ridge" else 0.0,
