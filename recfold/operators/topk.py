@@ -253,6 +253,12 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
         n_items = idx.count()
         n_blocks = (n_items + block_rows - 1) // block_rows
         keyed = keyed.withColumn("_b", F.floor(F.col("idx") / block_rows)).drop("idx")
+        # written once, partitioned by block: each block fetch reads its own files
+        from recfold.session import ensure_checkpoint_dir
+        import uuid
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/catalogue-{uuid.uuid4().hex}"
+        keyed.write.partitionBy("_b").parquet(path)
+        keyed = spark.read.parquet(path)
         blocks = [keyed.where(F.col("_b") == b).drop("_b") for b in range(n_blocks)]
         fetched = None
     # Scoring is CPU-bound while the user rows are small in bytes, so AQE would
