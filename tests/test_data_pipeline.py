@@ -187,3 +187,30 @@ def test_monthly_filled_has_gaps_as_zero(spark, ratings_a1):
     # Jan 2001 .. Jan 2004 = 37 month ends, most of them empty
     assert len(m) == 37 and m.n_ratings.sum() == 10 and (m.n_ratings == 0).sum() == 37 - 8
     assert str(m.month_end.min()) == "2001-01-31"
+
+
+def test_kcore_matches_python_loop(spark):
+    df, pdf = _brute_ratings(spark, 120, 60, 11)
+    got = {(r.user_id, r.movie_id) for r in P.k_core(df, 6, 7).collect()}
+    cur = pdf
+    prev = -1
+    while len(cur) != prev:
+        prev = len(cur)
+        uc = cur.user_id.value_counts()
+        cur = cur[cur.user_id.isin(uc[uc >= 6].index)]
+        mc = cur.movie_id.value_counts()
+        cur = cur[cur.movie_id.isin(mc[mc >= 7].index)]
+    assert got == set(zip(cur.user_id, cur.movie_id))
+
+
+def test_temporal_split_matches_pandas(spark):
+    df, pdf = _brute_ratings(spark, 80, 50, 5)
+    got = S.split_temporal_per_user(df).toPandas()
+    want = {}
+    for u, g in pdf.sort_values(["user_id", "date", "movie_id"]).groupby("user_id"):
+        n = len(g)
+        te = max(1, int(n * 0.7))
+        ve = max(te + 1, int(n * (0.7 + 0.1)))
+        for pos, m in enumerate(g.movie_id):
+            want[(u, m)] = "train" if pos < te else ("val" if pos < ve else "test")
+    assert dict(zip(zip(got.user_id, got.movie_id), got.split)) == want
