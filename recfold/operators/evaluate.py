@@ -15,12 +15,9 @@ from recfold.operators.topk import top_k
 
 def model_recs(models: list[RatingModel], users: DataFrame, catalogue: DataFrame,
                seen: DataFrame | None, k: int = 10) -> DataFrame:
-    """Top-K lists of several models in long form (model, user_id, rank, movie_id, score)."""
-    out = None
-    for m in models:
-        r = top_k(m, users, catalogue, seen=seen, k=k).withColumn("model", F.lit(m.name))
-        out = r if out is None else out.unionByName(r)
-    return out.select("model", "user_id", "rank", "movie_id", "score")
+    """Top-K lists of several models in long form (model, user_id, rank,
+    movie_id, score), ranked in one pass over the user rows."""
+    return top_k(list(models), users, catalogue, seen=seen, k=k)
 
 
 def full_report(models: list[RatingModel], train: DataFrame, test: DataFrame,

@@ -106,6 +106,52 @@ def _top_rows_finished(raw: np.ndarray, k: int, lo, hi, digits):
     return rows[keep], cols[keep], rank[keep].astype(np.int32), vals[keep]
 
 
+def _make_many_scorer(specs: list, k: int, exclude_seen: bool, bc):
+    """Separate top-K lists for several models in one pass over the users
+    (one task reads a user batch once and ranks it for every model)."""
+
+    def run(batches):
+        cat = bc.value
+        ids = cat["ids"]
+        n = ids.shape[0]
+        for pdf in batches:
+            out = []
+            for start in range(0, len(pdf), _USER_CHUNK):
+                ch = pdf.iloc[start:start + _USER_CHUNK]
+                mask_r = mask_c = None
+                if exclude_seen:
+                    lists = [np.asarray(v, dtype=np.int64) if v is not None else np.empty(0, np.int64)
+                             for v in ch["seen"]]
+                    lens = np.array([len(v) for v in lists])
+                    if lens.sum():
+                        sv = np.concatenate(lists)
+                        rr = np.repeat(np.arange(len(lists)), lens)
+                        pos = np.searchsorted(ids, sv)
+                        ok = pos < n
+                        rr, pos, sv = rr[ok], pos[ok], sv[ok]
+                        hit = ids[pos] == sv
+                        mask_r, mask_c = rr[hit], pos[hit]
+                users = ch["user_id"].to_numpy(dtype=np.int64)
+                for c, (w, mu, rank, lo, hi, digits, u_const, i_const) in enumerate(specs):
+                    base = ((mu + ch[f"u{c}"].to_numpy(dtype=np.float64))[:, None]
+                            + cat[f"i{c}"][None, :])
+                    if rank > 0:
+                        p = np.stack([np.asarray(v, dtype=np.float64) for v in ch[f"p{c}"]])
+                        base = base + p @ cat[f"q{c}"].T
+                    if mask_r is not None:
+                        base[mask_r, mask_c] = -np.inf
+                    rows, cols, rk, vals = _top_rows_finished(base, k, lo, hi, digits)
+                    out.append(pd.DataFrame({"component": np.full(rows.shape[0], c, dtype=np.int32),
+                                             "user_id": users[rows], "rank": rk,
+                                             "movie_id": ids[cols], "score": vals}))
+            if out:
+                yield pd.concat(out, ignore_index=True)
+    return run
+
+
+MANY_SCHEMA = T.StructType([T.StructField("component", T.IntegerType())] + REC_SCHEMA.fields)
+
+
 def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
     """specs: per component (weight, mu, rank, lo, hi, digits, u_const, i_const)."""
 
@@ -223,11 +269,16 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
           max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """(user_id, rank, movie_id, score) for every user in
     ``users`` over the ``catalogue`` items. ``seen`` (user_id, movie_id) rows
-    are excluded (T1); None keeps them (T2, model-level form)."""
+    are excluded (T1); None keeps them (T2, model-level form). A list of
+    models gives each model's own lists in one pass over the users, with a
+    leading ``model`` column."""
     if k <= 0:
         raise ValueError("k must be positive")
     spark = users.sparkSession
-    if isinstance(model, Blend):
+    many = isinstance(model, (list, tuple))
+    if many:
+        models, weights, outer = list(model), [1.0] * len(model), None
+    elif isinstance(model, Blend):
         models, weights = list(model.models), list(model.weights)
         outer = (model.lo, model.hi, model.digits)
     else:
@@ -278,13 +329,25 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
                 cat[f"q{c}"] = (np.stack([np.asarray(v, dtype=np.float64) for v in pdf[f"q{c}"]])
                                 if len(pdf) else np.zeros((0, m.rank)))
         bc = spark.sparkContext.broadcast(cat)
-        fn = _make_scorer(specs, outer, k, seen is not None, bc)
-        parts.append(scoring_rows.mapInPandas(fn, REC_SCHEMA))
-    if len(parts) == 1:
-        return parts[0]
+        if many:
+            fn = _make_many_scorer(specs, k, seen is not None, bc)
+            parts.append(scoring_rows.mapInPandas(fn, MANY_SCHEMA))
+        else:
+            fn = _make_scorer(specs, outer, k, seen is not None, bc)
+            parts.append(scoring_rows.mapInPandas(fn, REC_SCHEMA))
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
+    if many:
+        names = F.element_at(F.array(*[F.lit(m.name) for m in models]), F.col("component") + 1)
+        merged = merged.withColumn("model", names).drop("component")
+        if len(parts) > 1:
+            w = Window.partitionBy("model", "user_id").orderBy(F.col("score").desc(), F.col("movie_id"))
+            merged = (merged.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                      .withColumn("rank", F.col("rank").cast("int")))
+        return merged.select("model", "user_id", "rank", "movie_id", "score")
+    if len(parts) == 1:
+        return parts[0]
     return rank_top(merged, k)
 
 

@@ -144,3 +144,16 @@ def test_blend_topk_matches_relational(spark, planted):
     key = ["user_id", "rank"]
     g, wnt = got.sort_values(key).reset_index(drop=True), want.sort_values(key).reset_index(drop=True)
     assert list(g.movie_id) == list(wnt.movie_id)
+
+
+def test_many_models_one_pass_equals_separate(spark, planted):
+    tr, va, te = planted
+    models = [M.fit_item_mean(tr), M.fit_user_mean(tr), M.fit_bias(tr)]
+    users = te.select("user_id").distinct()
+    items = tr.select("movie_id").distinct()
+    many = TK.top_k(models, users, items, seen=tr, k=5).toPandas()
+    for m in models:
+        one = TK.top_k(m, users, items, seen=tr, k=5).toPandas().sort_values(["user_id", "rank"])
+        sub = many[many.model == m.name].sort_values(["user_id", "rank"])
+        assert list(sub.movie_id) == list(one.movie_id)
+        assert np.allclose(sub.score, one.score)
