@@ -1,6 +1,5 @@
 """Writers. All write directories of part files from the
-executors; nothing is gathered on the driver except the one-document id-map
-JSON export, whose size is that of the id maps."""
+executors; nothing is gathered on the driver or into one task."""
 
 from __future__ import annotations
 
@@ -47,18 +46,14 @@ def write_splits(split_df: DataFrame, root: str, user_map: DataFrame | None = No
 
 
 def write_id_maps_json(user_map: DataFrame, movie_map: DataFrame, path: str) -> None:
-    """K2 JSON form: one document {"user2idx": {"<id>": idx}, "movie2idx": ...,
-    "n_users": n, "n_movies": m}, string keys as the reference writes them.
-    The document is one row by definition, so its size is the id maps'."""
-    def as_map(m: DataFrame, name: str) -> DataFrame:
-        return m.agg(F.map_from_entries(F.collect_list(F.struct(
-            F.col("orig_id").cast("string"), F.col("idx")))).alias(name),
-            F.count(F.lit(1)).alias("n"))
-    u = as_map(user_map, "user2idx").withColumnRenamed("n", "n_users")
-    m = as_map(movie_map, "movie2idx").withColumnRenamed("n", "n_movies")
-    doc = u.select("user2idx", "n_users", m.select("movie2idx").scalar().alias("movie2idx"),
-                   m.select("n_movies").scalar().alias("n_movies"))
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    """K2 JSON form, re-aimed for scale: JSON Lines written by every task,
+    one line per entry ``{"map": "user2idx", "key": "<id>", "idx": n}`` (string
+    keys as the reference writes them). The reference's single document would
+    put every id of both maps into one row and one task; the counts
+    ``n_users`` / ``n_movies`` are the line counts per map."""
+    u = user_map.select(F.lit("user2idx").alias("map"), F.col("orig_id").cast("string").alias("key"), "idx")
+    m = movie_map.select(F.lit("movie2idx").alias("map"), F.col("orig_id").cast("string").alias("key"), "idx")
+    u.unionByName(m).write.mode("overwrite").json(path)
 
 
 def write_splits_csv(split_df: DataFrame, root: str, user_map: DataFrame | None = None,

@@ -96,8 +96,22 @@ ID_MAP_SCHEMA = ("user2idx MAP<STRING, BIGINT>, movie2idx MAP<STRING, BIGINT>, "
 
 
 def read_id_maps(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``id_mappings.json`` to two map tables (orig_id, idx) with integer
-    keys restored; the reverse map is the same table joined on idx."""
+    """Id maps to two tables (orig_id, idx) with integer keys restored
+    (the reverse map is the same table joined on idx). Reads the JSON Lines
+    written by ``write_id_maps_json`` in parallel."""
+    lines = spark.read.schema("map STRING, key STRING, idx BIGINT").json(path)
+
+    def one(name: str) -> DataFrame:
+        return lines.where(F.col("map") == name).select(
+            F.col("key").try_cast("bigint").alias("orig_id"), "idx")
+    return one("user2idx"), one("movie2idx")
+
+
+def read_id_maps_document(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S8, the reference's single-document ``id_mappings.json``
+    ({"user2idx": {"<id>": idx}, "movie2idx": {...}, "n_users", "n_movies"}).
+    A JSON document is not splittable, so this is for importing existing
+    files; ``write_id_maps_json`` writes the parallel form."""
     doc = spark.read.option("multiLine", True).schema(ID_MAP_SCHEMA).json(path)
 
     def explode(col: str) -> DataFrame:

@@ -117,11 +117,16 @@ def test_splits_maps_roundtrip(spark, tmp_dir, ratings_a1):
     test = SF.read_split(spark, f"{tmp_dir}/splits", "test")
     assert test.count() == sp.where("split = 'test'").count()
     K.write_id_maps_json(um, mm, f"{tmp_dir}/ids")
-    (jf,) = [f for f in os.listdir(f"{tmp_dir}/ids") if f.endswith(".json")]
-    doc = json.load(open(f"{tmp_dir}/ids/{jf}"))
-    assert doc["user2idx"] == {"1": 0, "2": 1, "3": 2} and doc["n_movies"] == 5
     users, movies = SF.read_id_maps(spark, f"{tmp_dir}/ids")
     assert sorted((r.orig_id, r.idx) for r in users.collect()) == [(1, 0), (2, 1), (3, 2)]
+    assert movies.count() == 5
+    # the reference's single-document file
+    with open(f"{tmp_dir}/id_mappings.json", "w") as f:
+        json.dump({"user2idx": {"1": 0, "2": 1, "3": 2}, "movie2idx": {"10": 0, "20": 1},
+                   "n_users": 3, "n_movies": 2}, f, indent=2)
+    du, dm = SF.read_id_maps_document(spark, f"{tmp_dir}/id_mappings.json")
+    assert sorted((r.orig_id, r.idx) for r in du.collect()) == [(1, 0), (2, 1), (3, 2)]
+    assert sorted((r.orig_id, r.idx) for r in dm.collect()) == [(10, 0), (20, 1)]
     stats = K.write_splits_csv(sp, f"{tmp_dir}/csv", um, mm).first()
     assert stats["n_train"] + stats["n_val"] + stats["n_test"] == 10
     back = SF.read_split(spark, f"{tmp_dir}/csv", "train")
