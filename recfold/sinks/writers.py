@@ -1,5 +1,6 @@
 """Writers. All write directories of part files from the
-executors; nothing is gathered on the driver or into one task."""
+executors; only small result tables (metric rows, one-row reports) are
+coalesced into a single file."""
 
 from __future__ import annotations
 
