@@ -285,8 +285,12 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
         models, weights, outer = [model], [1.0], None
     # u_const / i_const: the model has no per-user (per-item) table, so its
     # term is the same fill value for every user (item)
-    specs = [(float(w), _scalar_value(m.mu), m.rank, *m.finish_params(), m.users is None, m.items is None)
-             for m, w in zip(models, weights)]
+    # every model's global offset in one job (scalar subqueries of one row)
+    mus = [m.mu.scalar().cast("double") if m.mu is not None else F.lit(0.0) for m in models]
+    mu_row = spark.range(1).select(*[c.alias(f"mu{i}") for i, c in enumerate(mus)]).first()
+    mu_vals = [0.0 if v is None else float(v) for v in mu_row]
+    specs = [(float(w), mu, m.rank, *m.finish_params(), m.users is None, m.items is None)
+             for m, w, mu in zip(models, weights, mu_vals)]
     items = _catalogue_items(models, catalogue)
     rows = _user_rows(models, users, seen)
     bytes_per_item = 8 * (1 + sum(1 + m.rank for m in models))
