@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from recfold.llm import decontaminate as D6
+from recfold.llm import lattice_lm as D10
+from recfold.llm import simhash as D8
+from recfold.llm import suffix_dedup as D7
+from recfold.llm import warc as D5
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +53,32 @@ FROM dw d LEFT JOIN words x ON x.doc_id = d.doc_id LEFT JOIN found f ON f.doc_id
 @register("op6_benchmark_decontamination", SQL_6)
 def op6(spark, d):
     return D6.report(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@register("op8_simhash_near_dedup")
+def op8(spark, d):
+    return D8.report(table(spark, d, "documents"))
+
+
+@register("op10_lattice_likelihood")
+def op10(spark, d):
+    return D10.score(table(spark, d, "documents"))
+
+
+SQL_5 = """
+WITH p AS (SELECT page_id, url, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT digest, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY digest)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN f.first IS NULL OR f.first = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to, p.url
+FROM p LEFT JOIN f ON f.digest = p.digest"""
+
+
+@register("op5_warc_normaliser", SQL_5)
+def op5(spark, d):
+    return D5.round_trip(table(spark, d, "pages"))
+
+
+@register("op7_suffix_array_dedup")
+def op7(spark, d):
+    return D7.report(table(spark, d, "documents"))
