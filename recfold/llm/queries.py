@@ -6,6 +6,7 @@ from recfold.llm import decontaminate as D6
 from recfold.llm import lattice_lm as D10
 from recfold.llm import simhash as D8
 from recfold.llm import suffix_dedup as D7
+from recfold.llm import toxicity as D3
 from recfold.llm import warc as D5
 
 QUERIES: dict = {}
@@ -82,3 +83,8 @@ def op5(spark, d):
 @register("op7_suffix_array_dedup")
 def op7(spark, d):
     return D7.report(table(spark, d, "documents"))
+
+
+@register("op3_toxicity_string_kernel")
+def op3(spark, d):
+    return D3.report(table(spark, d, "documents"), table(spark, d, "labels"))

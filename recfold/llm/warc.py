@@ -102,7 +102,7 @@ def write_monolithic(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
                 if sink is None or raw >= file_bytes:
                     close()
                     paths.append(f"{folder}/{uuid.uuid4().hex}.mono.warc.gz")
-                    sink, z, raw = fs.open_output_stream(f"{root}/{paths[-1].rsplit('/', 1)[1]}"), zlib.compressobj(level, zlib.DEFLATED, 31), 0
+                    sink, z, raw = fs.open_output_stream(f"{root}/{paths[-1].rsplit("/", 1)[1]}", compression=None), zlib.compressobj(level, zlib.DEFLATED, 31), 0
                 payload = (html.as_py() or "").encode()
                 raw += len(payload)
                 sink.write(z.compress(record(page.as_py(), url.as_py(), payload, digest.as_py(), refers.as_py())))
@@ -172,7 +172,7 @@ def normalise_file(path: str, level: int = 4) -> tuple[str, list[dict]]:
     stem = f"{path.removesuffix('.mono.warc.gz')}-{uuid.uuid4().hex[:8]}"
     local = f"{at.removesuffix('.mono.warc.gz')}{stem[-9:]}"
     entries, offset = [], 0
-    with fs.open_input_stream(at) as source, fs.open_output_stream(f"{local}.warc.gz") as sink:
+    with fs.open_input_stream(at, compression=None) as source, fs.open_output_stream(f"{local}.warc.gz", compression=None) as sink:
         stream = _Inflate(source)
         while (head := stream.until(b"\r\n\r\n")) is not None:
             fields, z = _headers(head), zlib.compressobj(level, zlib.DEFLATED, 31)
