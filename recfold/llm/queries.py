@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from recfold.llm import decontaminate as D6
 from recfold.llm import lattice_lm as D10
+from recfold.llm import mixing as D4
+from recfold.llm import pii as D9
 from recfold.llm import simhash as D8
 from recfold.llm import suffix_dedup as D7
 from recfold.llm import toxicity as D3
@@ -88,3 +90,62 @@ def op7(spark, d):
 @register("op3_toxicity_string_kernel")
 def op3(spark, d):
     return D3.report(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@register("op9_pii_surrogates")
+def op9(spark, d):
+    return D9.replace_all(table(spark, d, "documents"), count="n_entities")
+
+
+def _case(column: str, weights: dict[str, int]) -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in sorted(weights.items())) + f" ELSE {D4.DEFAULT} END"
+
+
+def _share_sql(name: str, level: int) -> str:
+    """The split of one level of the tree, from ``up`` budgets, as CTEs."""
+    path, node = D4.LEVELS[:level], D4.LEVELS[level]
+    part = "PARTITION BY " + (", ".join(path) if path else "1")
+    keys = ", ".join([*path, node])
+    join = f"JOIN given{level - 1} USING ({', '.join(path)})" if path else "CROSS JOIN root"
+    return f"""
+n{level} AS (
+  SELECT * FROM (SELECT {keys}, CAST(sum(cap) AS HUGEINT) AS cap, CAST(max(w_{node}) AS HUGEINT) AS w FROM caps GROUP BY {keys}) {join}),
+p{level} AS (
+  SELECT *, coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c,
+         sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS s
+  FROM n{level} WINDOW o AS ({part} ORDER BY CASE WHEN w > 0 THEN CAST(cap AS DOUBLE) / CAST(w AS DOUBLE) END NULLS LAST, {node})),
+f{level} AS (SELECT *, w > 0 AND cap * s <= (budget - c) * w AS is_full FROM p{level}),
+r{level} AS (SELECT *, budget - sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ({part}) AS rest,
+                    sum(CASE WHEN is_full THEN 0 ELSE w END) OVER ({part}) AS free FROM f{level}),
+g{level} AS (SELECT *, CASE WHEN is_full THEN cap WHEN free > 0 THEN (rest * w) // free ELSE 0 END AS lo FROM r{level}),
+given{level} AS (
+  SELECT {keys}, lo + CASE WHEN NOT is_full AND w > 0 AND
+      sum(CASE WHEN NOT is_full AND w > 0 THEN 1 ELSE 0 END) OVER ({part} ORDER BY {node} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      <= rest - sum(CASE WHEN NOT is_full AND w > 0 THEN lo ELSE 0 END) OVER ({part}) THEN 1 ELSE 0 END AS budget
+  FROM g{level}),"""
+
+
+SQL_4 = rf"""
+WITH d AS (
+  SELECT *, coalesce(lang, '') AS l, coalesce(source, '') AS s, len(regexp_extract_all(coalesce(text, ''), '{D4.TOKEN}')) AS n_tokens,
+         CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1) = '' THEN 'other'
+              ELSE 'domain' || CAST(CAST(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INT) % 3 AS VARCHAR) END AS domain,
+         coalesce(CAST(doc_id AS VARCHAR), '#' || md5(coalesce(text, ''))) AS k FROM documents),
+leaves AS (SELECT domain, l AS lang, s AS source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY ALL),
+caps AS (SELECT *, tokens * {D4.MAX_EPOCHS} AS cap, {_case("domain", D4.DOMAIN_WEIGHTS)} AS w_domain,
+                {_case("lang", D4.LANG_WEIGHTS)} AS w_lang, 1 AS w_source FROM leaves),
+root AS (SELECT least(sum(tokens) * {D4.BUDGET[0]} // {D4.BUDGET[1]}, sum(cap)) AS budget FROM caps),
+{"".join(_share_sql("g", i) for i in range(3))}
+plan AS (SELECT *, CAST(budget // tokens AS INT) AS epochs, budget % tokens AS rest FROM leaves JOIN given2 USING (domain, lang, source) WHERE tokens > 0),
+o AS (SELECT d.*, p.epochs, p.rest, md5('{D4.SEED}/' || p.epochs || '/' || d.k) AS h
+      FROM d JOIN plan p ON p.domain = d.domain AND p.lang = d.l AND p.source = d.s),
+c AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, l, s ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM o),
+stops AS (SELECT domain, l, s, min(h) AS stop FROM c WHERE upto > rest GROUP BY ALL)
+SELECT o.doc_id, o.domain, o.lang, o.source, CAST(o.n_tokens AS BIGINT) AS n_tokens,
+       unnest(range(0, CAST(o.epochs + CASE WHEN o.rest > 0 AND (t.stop IS NULL OR o.h < t.stop) THEN 1 ELSE 0 END AS BIGINT)))::INT AS epoch
+FROM o LEFT JOIN stops t ON t.domain = o.domain AND t.l = o.l AND t.s = o.s"""
+
+
+@register("op4_hierarchical_mixing", SQL_4)
+def op4(spark, d):
+    return D4.report(table(spark, d, "documents"))
