@@ -303,6 +303,8 @@ def _lay_out(shape: str, kind: str, value: str) -> str:
         if shape.isupper():
             return value.upper()
         return "-".join(x[:1].upper() + x[1:] for x in value.split("-"))
+    if kind == "secret" and shape.isupper():
+        return value.upper()
     out = []
     for c, v in zip(shape, value):
         out.append(v.upper() if c.isupper() and len(v.upper()) == 1 else v)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from recfold.llm import decontaminate as D6
 from recfold.llm import lattice_lm as D10
 from recfold.llm import mixing as D4
@@ -10,6 +11,7 @@ from recfold.llm import simhash as D8
 from recfold.llm import suffix_dedup as D7
 from recfold.llm import toxicity as D3
 from recfold.llm import warc as D5
+from recfold.llm import wrappers as D2
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +151,13 @@ FROM o LEFT JOIN stops t ON t.domain = o.domain AND t.l = o.l AND t.s = o.s"""
 @register("op4_hierarchical_mixing", SQL_4)
 def op4(spark, d):
     return D4.report(table(spark, d, "documents"))
+
+
+@register("op2_wrapper_main_text")
+def op2(spark, d):
+    return D2.extract(table(spark, d, "pages"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)
