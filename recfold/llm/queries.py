@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from recfold.llm import ann as D1
 from recfold.llm import decontaminate as D6
 from recfold.llm import lattice_lm as D10
 from recfold.llm import mixing as D4
@@ -161,3 +162,8 @@ def op2(spark, d):
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
+
+
+@register("op1_rotated_bit_codes")
+def op1(spark, d):
+    return D1.report(table(spark, d, "embeddings"))
