@@ -92,8 +92,8 @@ class Pieces:
     """Vocabulary pieces with natural-log probabilities."""
 
     def __init__(self, names: list[str], byte_ids: dict[int, int], end_id: int, counts: np.ndarray):
-        total = counts.sum() + ALPHA * (len(byte_ids) + len([x for x in names if x]) + 1)
-        logp = np.log((counts + ALPHA) / total)
+        used = np.array([i for i, p in enumerate(names) if p] + [*byte_ids.values(), end_id])
+        logp = np.log((counts + ALPHA) / (counts[used].sum() + ALPHA * len(used)))
         self.logp = {p: float(logp[i]) for i, p in enumerate(names) if p}
         self.byte = {b: float(logp[i]) for b, i in byte_ids.items()}
         self.end = float(logp[end_id])

@@ -171,6 +171,7 @@ def _tokens(texts: pa.Array):
     Single letters in a row make one more token."""
     lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
     words, row = lists.flatten(), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    n_words = np.bincount(row[pc.binary_length(words).to_numpy(zero_copy_only=False) > 0], minlength=len(texts))
     ends = pc.match_substring_regex(words, r"[.!?]$").to_numpy(zero_copy_only=False)
     words = pc.utf8_trim(words, _TRIM)
     size = pc.utf8_length(words).to_numpy(zero_copy_only=False)
@@ -194,8 +195,7 @@ def _tokens(texts: pa.Array):
     index = np.concatenate((keep, np.array(at, np.int64))).astype(np.int64)
     words = pa.concat_arrays([words.take(pa.array(keep)).cast(pa.large_string()), pa.array(joined, pa.large_string())])
     enc = words.dictionary_encode()
-    return (enc.dictionary.to_pylist(), enc.indices.to_numpy(), row[index], sentence[index],
-            np.bincount(row, minlength=len(texts)))
+    return enc.dictionary.to_pylist(), enc.indices.to_numpy(), row[index], sentence[index], n_words
 
 
 def _same_row(row, a, b):

@@ -305,7 +305,7 @@ def main_slots(slots: list[list]) -> list[bool]:
     if not weight:
         return free
     home = max(weight, key=lambda p: (weight[p], p))
-    return [f and (s[0] + "/").startswith(home + "/") for s, f in zip(slots, free)]
+    return [f and (not home or (s[0] + "/").startswith(home + "/")) for s, f in zip(slots, free)]
 
 
 def _digest(texts: list[str]) -> str:
