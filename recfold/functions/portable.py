@@ -28,9 +28,10 @@ def _col(c: str | Column) -> Column:
 
 
 def portable_hash(a: str | Column, b: str | Column | int = 0, seed: int = 42) -> Column:
-    """Deterministic BIGINT hash of two non-negative ids and a seed."""
-    a_ = _col(a).cast("bigint")
-    b_ = F.lit(b).cast("bigint") if isinstance(b, int) else _col(b).cast("bigint")
+    """Deterministic BIGINT hash of two ids and a seed. Ids are reduced modulo
+    P first, so that no product overflows."""
+    a_ = F.pmod(_col(a).cast("bigint"), F.lit(_P).cast("bigint"))
+    b_ = F.lit(b % _P).cast("bigint") if isinstance(b, int) else F.pmod(_col(b).cast("bigint"), F.lit(_P).cast("bigint"))
     x = (a_ * _A + b_ * _B + F.lit(seed * _S + _C)) % _P
     x = (x * _M1) % _P
     return ((x + b_) * _M2) % _P
@@ -38,8 +39,7 @@ def portable_hash(a: str | Column, b: str | Column | int = 0, seed: int = 42) ->
 
 def portable_hash_sql(a: str, b: str | int = 0, seed: int = 42) -> str:
     """The same hash as SQL text (for the DuckDB oracles)."""
-    a_ = f"CAST({a} AS BIGINT)"
-    b_ = f"CAST({b} AS BIGINT)"
+    a_, b_ = (f"((CAST({v} AS BIGINT) % {_P} + {_P}) % {_P})" for v in (a, b))
     x = f"(({a_} * {_A} + {b_} * {_B} + {seed * _S + _C}) % {_P})"
     x = f"(({x} * {_M1}) % {_P})"
     return f"((({x} + {b_}) * {_M2}) % {_P})"
@@ -85,10 +85,11 @@ def exact_avg(c: str | Column) -> Column:
     integers are summed exactly and divided once. Means of rationals with
     small denominators (MAP, precision) often sit exactly on a rounding half,
     where a last-bit difference between engines would change the printed
-    digit; this makes every engine produce the same double."""
+    digit; this makes every engine produce the same double. The sum is a
+    128-bit integer, so it has room for any number of entities."""
     x = _col(c)
     n = F.count(x)
-    s = F.sum(F.floor(x * EXACT_SCALE + 0.5).cast("bigint"))
+    s = F.sum(F.floor(x * EXACT_SCALE + 0.5).cast("bigint").cast("decimal(38,0)")).cast("double")
     return F.when(n > 0, s / n / EXACT_SCALE)
 
 

@@ -15,15 +15,17 @@ from recfold.operators.stats import exact_quantiles
 
 HIT = 3.5
 HIT_NOTEBOOK = 4.0
-TIER_EDGES = (0, 20, 100, 500, 99999)
+# fixed values: tier edges and labels, popularity thresholds
+TIER_EDGES = (0, 20, 100, 500, float("inf"))
 TIER_LABELS = ("Cold (<20)", "Light (20-100)", "Regular (100-500)", "Power (500+)")
 POP_THRESHOLDS = (50, 100, 200, 500, 1000, 2000, 5000)
 
 
 def _last_test(test: DataFrame) -> DataFrame:
-    # duplicate (user, movie) test rows: the last one wins; with unique pairs
-    # this is the row itself
-    return test.groupBy("user_id", "movie_id").agg(F.last("rating").alias("actual_rating"))
+    # duplicate (user, movie) test rows: the latest date wins, then the larger
+    # rating; with unique pairs this is the row itself
+    rank = F.struct("date", "rating") if "date" in test.columns else F.struct("rating")
+    return test.groupBy("user_id", "movie_id").agg(F.max_by("rating", rank).alias("actual_rating"))
 
 
 def case_table(recs: DataFrame, test: DataFrame, threshold: float = HIT) -> DataFrame:

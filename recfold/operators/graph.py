@@ -1,10 +1,10 @@
 """Interaction matrix and bipartite-graph operators.
 
-Embeddings are kept in long form (node, dim, val): one propagation layer is a
-join of the edge list with the previous layer on the target node and a
-``groupBy(src, dim).sum`` whose partial aggregation runs before the shuffle,
-so a hub node with millions of edges is summed map-side rather than in one
-task. Nothing collects a node's neighbour list.
+Embeddings come and go in long form (node, dim, val); inside a propagation a
+row holds 16 dimensions of a node, a layer is a join of the edge list
+with the previous layer on the target node and a grouped sum whose partial
+aggregation runs before the shuffle, so a hub node with millions of edges is
+summed map-side rather than in one task. Nothing collects a node's neighbour list.
 """
 
 from __future__ import annotations
@@ -82,70 +82,87 @@ def to_long(vecs: DataFrame, node: str, emb: str = "emb", dims: int | None = Non
                        F.posexplode(e).alias("dim", "val"))
 
 
+#: Dimensions in one row of a propagation. More sums in one aggregate make a
+#: generated method that the JVM does not compile.
+BLOCK = 16
+_COLS = [f"v{k}" for k in range(BLOCK)]
+
+
+def _blocks(long_df: DataFrame) -> DataFrame:
+    """(node, dim, val) -> (node, blk, v0..v15), absent entries 0."""
+    at = F.col("dim") % BLOCK
+    return long_df.groupBy("node", F.floor(F.col("dim") / BLOCK).cast("int").alias("blk")).agg(
+        *[F.sum(F.when(at == k, F.col("val")).otherwise(0.0)).alias(c) for k, c in enumerate(_COLS)])
+
+
 def propagate(weighted_edges: DataFrame, emb0: DataFrame, layers: int = 3,
               materialize: bool = True, inputs_written: bool = False) -> DataFrame:
     """E(k) = A_hat E(k-1); final = sum of layers 0..L / (L+1) per (node,
     dim). An isolated node keeps only its layer-0 row, hence sum / (L+1).
 
+    A layer is one join per edge and block of 16 dimensions, and one grouped
+    aggregate of 16 sums whose partial aggregation runs before the shuffle, so
+    a hub is summed map-side.
+
     With ``materialize`` the weighted edges and every layer are written as
     Parquet to the session's checkpoint folder: each layer is computed once,
     the plan of layer k does not contain layers 0..k-1, and a lost executor
-    only recomputes the current layer. ``inputs_written`` says the edges and
-    layer 0 already are such tables (training loops), so they are not
-    written again."""
+    only recomputes the current layer. ``inputs_written`` says the edges
+    already are such a table (training loops)."""
     from recfold.session import materialize as write_table
-    cur = emb0.select("node", "dim", "val")
     w = weighted_edges.select("src", F.col("dst").alias("node"), "weight")
-    if materialize and not inputs_written:
+    cur = _blocks(emb0.select("node", "dim", "val"))
+    if materialize:
         cur = write_table(cur, "layer")
-        w = write_table(w, "edges")
+        w = w if inputs_written else write_table(w, "edges")
     acc = cur
     for _ in range(layers):
-        cur = (w.join(cur, "node")
-               .groupBy(F.col("src").alias("node"), "dim")
-               .agg(F.sum(F.col("weight") * F.col("val")).alias("val")))
+        cur = (w.join(cur, "node").groupBy(F.col("src").alias("node"), "blk")
+               .agg(*[F.sum(F.col("weight") * F.col(c)).alias(c) for c in _COLS]))
         if materialize:
             cur = write_table(cur, "layer")
         acc = acc.unionByName(cur)
-    return acc.groupBy("node", "dim").agg((F.sum("val") / F.lit(float(layers + 1))).alias("val"))
-
-
-def sample_negatives(pos: DataFrame, n_items: int, seed: int = 42, draws: int = 8,
-                     rounds: int = 4, reject: str = "all", user: str = "user_id",
-                     item: str = "movie_id") -> DataFrame:
-    """One negative item in [0, n_items) per positive row.
-
-    Draw d of a (user, item) pair is ``hash(user, item*64 + d) % n_items``.
-    ``reject='all'``: the lowest draw the user never interacted with (anti join
-    on the positives), tried in rounds of ``draws`` up to ``draws*rounds``
-    draws; a user who rated everything gets null instead of looping forever.
-    ``reject='same'``: the lowest draw different from the positive item.
-    """
-    pairs = pos.select(F.col(user).alias("u"), F.col(item).alias("i")).distinct()
-    seen = pairs.select(F.col("u"), F.col("i").alias("neg"))
-    found = None
-    todo = pairs
-    for r in range(rounds if reject == "all" else 1):
-        ds = F.sequence(F.lit(r * draws), F.lit((r + 1) * draws - 1))
-        cand = todo.select("u", "i", F.explode(ds).alias("d"))
-        cand = cand.withColumn("neg", portable_hash("u", F.col("i") * 64 + F.col("d"), seed) % n_items)
-        if reject == "all":
-            cand = cand.join(seen, ["u", "neg"], "left_anti")
-        else:
-            cand = cand.where(F.col("neg") != F.col("i"))
-        best = cand.groupBy("u", "i").agg(F.min_by("neg", "d").alias("neg"))
-        if rounds > 1 and reject == "all":
-            # each round's winners are written once, so later rounds (which
-            # anti-join them) do not recompute the earlier rounds
-            from recfold.session import materialize
-            best = materialize(best, "negatives")
-        found = best if found is None else found.unionByName(best)
-        todo = todo.join(best.select("u", "i"), ["u", "i"], "left_anti")
-        if rounds > 1 and reject == "all" and r + 1 < rounds and todo.limit(1).count() == 0:
-            break  # every pair has its negative: skip the remaining rounds
-    out = pos.join(found.withColumnRenamed("u", user).withColumnRenamed("i", item),
-                   [user, item], "left")
-    return out
+    out = acc.groupBy("node", "blk").agg(*[(F.sum(c) / F.lit(float(layers + 1))).alias(c) for c in _COLS])
+    dims = emb0.agg(F.max("dim")).first()[0]
+    return (out.select("node", "blk", F.posexplode(F.array(*_COLS)).alias("k", "val"))
+            .select("node", (F.col("blk") * BLOCK + F.col("k")).cast("int").alias("dim"), "val")
+            .where(F.col("dim") <= (dims if dims is not None else -1)))
+
+
+def _nth_unseen(draws: DataFrame, seen: DataFrame) -> DataFrame:
+    """(u, i, neg): the ``j``-th (from 0) item that ``u`` has not seen, by ascending
+    id. The r-th seen item s leaves s - r unseen ones below it, so neg is j plus
+    the number of seen items with s - r <= j: a running count over both, sorted
+    together per user (at most twice a user's items)."""
+    pos = F.row_number().over(Window.partitionBy("u").orderBy("s")) - 1
+    marks = seen.select("u", F.lit(None).cast("bigint").alias("i"), (F.col("s") - pos).alias("at"), F.lit(0).alias("kind"))
+    asks = draws.select("u", "i", F.col("j").alias("at"), F.lit(1).alias("kind"))
+    run = Window.partitionBy("u").orderBy("at", "kind").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    both = marks.unionByName(asks).withColumn("below", F.sum(F.lit(1) - F.col("kind")).over(run))
+    return both.where("kind = 1").select("u", "i", (F.col("at") + F.col("below")).alias("neg"))
+
+
+def sample_negatives(pos: DataFrame, n_items: int, seed: int = 42, reject: str = "all",
+                     user: str = "user_id", item: str = "movie_id") -> DataFrame:
+    """One negative item in [0, n_items) per positive row, drawn without
+    rejection rounds, so it is found whenever there is one.
+
+    With h = hash(user, item): ``reject='all'`` takes the (h mod n)-th of the n
+    items the user never interacted with; ``reject='same'`` the (h mod
+    (n_items - 1))-th item other than the positive. Null only if there is no
+    such item."""
+    pairs = pos.select(F.col(user).cast("bigint").alias("u"), F.col(item).cast("bigint").alias("i")).distinct()
+    h = portable_hash("u", "i", seed)
+    if reject == "all":
+        seen = pairs.where((F.col("i") >= 0) & (F.col("i") < n_items)).select("u", F.col("i").alias("s"))
+        left = seen.groupBy("u").agg((F.lit(n_items) - F.count(F.lit(1))).alias("n"))
+        open_ = pairs.join(left, "u", "left").withColumn("n", F.coalesce("n", F.lit(n_items).cast("bigint")))
+        found = _nth_unseen(open_.where("n > 0").select("u", "i", (h % F.col("n")).alias("j")), seen)
+    else:
+        j = h % max(n_items - 1, 1)
+        found = pairs.select("u", "i", (j + F.when(j >= F.col("i"), 1).otherwise(0)).alias("neg"))
+        found = found if n_items > 1 else found.where(F.lit(False))
+    return pos.join(found.select(F.col("u").alias(user), F.col("i").alias(item), "neg"), [user, item], "left")
 
 
 def bpr_loss(triples: DataFrame, final_emb: DataFrame, emb0: DataFrame, reg: float = 1e-4,

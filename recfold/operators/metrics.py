@@ -129,8 +129,8 @@ def diversity(recs: DataFrame, vectors: DataFrame, by: tuple[str, ...] = ()) ->
 
 def compare(results_long: DataFrame) -> DataFrame:
     """Long (model, metric, value) to one row per model, a column per
-    metric (first value wins when a key repeats)."""
-    return results_long.groupBy("model").pivot("metric").agg(F.first("value"))
+    metric (the smallest value when a key repeats)."""
+    return results_long.groupBy("model").pivot("metric").agg(F.min("value"))
 
 
 def best_and_improvement(results_long: DataFrame, baseline: str) -> DataFrame:

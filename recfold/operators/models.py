@@ -125,14 +125,15 @@ def fit_bias(train: DataFrame, item_damping: float = ITEM_DAMPING,
              user_damping: float = USER_DAMPING) -> RatingModel:
     """M1: mu = avg(r); b_i = sum(r - mu)/(d_i + n_i); b_u = sum(r - mu - b_i)/(d_u + n_u).
 
-    b_i is computed as (sum(r) - n*mu)/(d + n): the integer sum makes it
-    independent of summation order, so every engine gets the same bits.
+    b_i is computed as (sum(r) - n*mu)/(d + n): the exact decimal sum (nine
+    decimals, so half-star ratings are whole) makes it independent of summation
+    order, so every engine gets the same bits.
     """
     require_columns(train, ["user_id", "movie_id", "rating"], "train")
     mu_df = _global_mean(train)
     mu = mu_df.scalar()
     items = train.groupBy("movie_id").agg(
-        F.sum(F.col("rating").cast("bigint")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+        F.sum(F.col("rating").cast("decimal(28,9)")).alias("_s"), F.count(F.lit(1)).alias("_n"))
     items = items.select(
         "movie_id",
         ((F.col("_s").cast("double") - F.col("_n").cast("double") * mu)

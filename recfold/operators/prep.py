@@ -14,19 +14,25 @@ _ID_BUCKET_SHIFT = 16
 def dense_ids(df: DataFrame, col: str, shift: int = _ID_BUCKET_SHIFT) -> DataFrame:
     """P1 map table (orig_id, idx): 0-based index by ascending id.
 
-    No unpartitioned window: ids are bucketed by value (``id >> shift``), the
-    bucket sizes get a running sum (one row per non-empty bucket), and ids are
-    numbered inside their bucket (at most 2^shift ids each). Bucketing by
-    value makes the result independent of partitioning and task retries.
+    No unpartitioned window over ids: they are bucketed by value
+    (``id >> shift``) and numbered inside their bucket (at most 2^shift ids
+    each). Bucket offsets are a running sum in two steps: inside super-buckets
+    (``id >> 2 * shift``, at most 2^shift buckets each), then over
+    super-buckets, of which 64-bit ids have few unless they are spread over
+    more than 2^(2 * shift) values. Bucketing by value makes the result
+    independent of partitioning and task retries.
     """
     ids = (df.select(F.col(col).cast("bigint").alias("orig_id"))
            .where(F.col("orig_id").isNotNull()).distinct()
            .withColumn("_b", F.shiftright("orig_id", shift)))
-    sizes = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = sizes.select(
-        "_b", F.coalesce(F.sum("_c").over(
-            Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("_o"))
+    sizes = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_c")).withColumn("_p", F.shiftright("_b", shift))
+    before = [Window.unboundedPreceding, -1]
+    supers = sizes.groupBy("_p").agg(F.sum("_c").alias("_pc"))
+    supers = supers.select("_p", F.coalesce(F.sum("_pc").over(Window.orderBy("_p").rowsBetween(*before)),
+                                            F.lit(0)).alias("_po"))
+    inner = F.coalesce(F.sum("_c").over(Window.partitionBy("_p").orderBy("_b").rowsBetween(*before)), F.lit(0))
+    offsets = (sizes.withColumn("_io", inner).join(supers, "_p")
+               .select("_b", (F.col("_po") + F.col("_io")).alias("_o")))
     within = F.row_number().over(Window.partitionBy("_b").orderBy("orig_id"))
     return (ids.join(offsets, "_b")
             .select("orig_id", (F.col("_o") + within - 1).cast("bigint").alias("idx")))
@@ -61,8 +67,8 @@ def compose_maps(first: DataFrame, second: DataFrame) -> DataFrame:
     return a.join(b, "_mid").select("orig_id", "idx")
 
 
-def reencode_filtered(df: DataFrame, min_user: int, min_movie: int,
-                      max_iter: int = 50) -> tuple[DataFrame, DataFrame, DataFrame]:
+def reencode_filtered(df: DataFrame, min_user: int,
+                      min_movie: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """P3 pipeline: encode, k-core filter on the encoded ids, encode again and
     compose original -> final maps. Returns (ratings with final indices,
     user map, movie map)."""
@@ -70,7 +76,7 @@ def reencode_filtered(df: DataFrame, min_user: int, min_movie: int,
     enc = encode(df, u1, m1)
     core = k_core(enc.select("user_idx", "movie_idx", "rating", "date")
                   .withColumnRenamed("user_idx", "user_id")
-                  .withColumnRenamed("movie_idx", "movie_id"), min_user, min_movie, max_iter)
+                  .withColumnRenamed("movie_idx", "movie_id"), min_user, min_movie)
     u2, m2 = dense_ids(core, "user_id"), dense_ids(core, "movie_id")
     umap, mmap = compose_maps(u1, u2), compose_maps(m1, m2)
     final = (df.join(umap.select(F.col("orig_id").alias("user_id"), F.col("idx").alias("user_idx")), "user_id")
@@ -100,17 +106,16 @@ def catalogue(*frames: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def k_core(df: DataFrame, min_user: int = 5, min_movie: int = 5,
-           max_iter: int = 50) -> DataFrame:
+def k_core(df: DataFrame, min_user: int = 5, min_movie: int = 5) -> DataFrame:
     """repeat (users with >= min_user rows, then movies with >= min_movie
-    rows) until the row count is stable. The fixpoint is the unique maximal
+    rows) until the row count is stable, however many passes that takes. The fixpoint is the unique maximal
     (m, n)-core. Each pass is two aggregate + left-semi joins; the pass result
     is written as Parquet into the session's checkpoint folder so the lineage
     stays one pass deep and a lost executor recomputes one pass only."""
     require_columns(df, ["user_id", "movie_id"], "ratings")
     cur = df
     prev = None
-    for _ in range(max_iter):
+    while True:
         ucount = cur.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
         cur = cur.join(ucount.where(F.col("_n") >= min_user).select("user_id"),
                        "user_id", "left_semi")
@@ -120,9 +125,8 @@ def k_core(df: DataFrame, min_user: int = 5, min_movie: int = 5,
         cur = materialize(cur, "kcore")
         n = cur.count()
         if n == prev:
-            break
+            return cur
         prev = n
-    return cur
 
 
 def exclude_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:

@@ -122,8 +122,9 @@ def _exact_global_cut(df: DataFrame, key: Column, order_cols: list[Column],
 def split_temporal_global(df: DataFrame, val_frac: float = 0.1,
                           test_frac: float = 0.1, seed: int = 42) -> DataFrame:
     """All rows by date (ties: user, movie); cut at ``int(n*(1-v-t))`` and
-    ``int(n*(1-t))``. Without a usable date column it falls back to W4."""
-    if "date" not in df.columns:
+    ``int(n*(1-t))``. Without a date column, or if every date is null, it
+    falls back to W4."""
+    if "date" not in df.columns or df.agg(F.count("date")).first()[0] == 0:
         return split_random_per_user(df, val_frac, test_frac, seed)
     u = _user_col(df)
     i = _item_col(df, u)

@@ -137,7 +137,7 @@ def q_n8(spark, d):
 act AS (SELECT user_id, count(*) AS n FROM train GROUP BY user_id),
 ht AS (SELECT h.is_hit, CASE WHEN a.n > 0 AND a.n <= 20 THEN 'Cold (<20)' WHEN a.n > 20 AND a.n <= 100 THEN 'Light (20-100)'
                         WHEN a.n > 100 AND a.n <= 500 THEN 'Regular (100-500)'
-                        WHEN a.n > 500 AND a.n <= 99999 THEN 'Power (500+)' END AS tier
+                        WHEN a.n > 500 THEN 'Power (500+)' END AS tier
        FROM hits h LEFT JOIN act a ON a.user_id = h.user_id)
 SELECT tier, avg(is_hit) AS hit_rate, count(*) AS n_recs FROM ht WHERE tier IS NOT NULL GROUP BY tier""")
 def q_n9(spark, d):

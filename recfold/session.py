@@ -37,7 +37,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) a fresh scratch folder is made.
+    is; without it this raises an error, because executors would write to
+    different disks. Only a local master, where there is one disk, gets a fresh
+    scratch folder when it is unset (tests).
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -45,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="recfold-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return configured
