@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recfold.functions.portable import exact_avg, portable_hash
 from recfold.operators.graph import position_within
-from recfold.operators.stats import exact_quantiles
+from recfold.operators.stats import equal_width_histogram, exact_quantiles
 
 HIT = 3.5
 HIT_NOTEBOOK = 4.0
@@ -146,6 +146,20 @@ def rec_frequency(recs: DataFrame, titles: DataFrame | None = None, n: int = 20)
     return top
 
 
+def frequency_histogram(recs: DataFrame, bins: int = 50) -> DataFrame:
+    """Equal-width histogram of how often items are recommended."""
+    f = recs.groupBy("movie_id").agg(F.count(F.lit(1)).alias("times_recommended"))
+    return equal_width_histogram(f, "times_recommended", bins)
+
+
+def popularity_histograms(recs: DataFrame, train: DataFrame, bins: int = 40) -> DataFrame:
+    """Equal-width histograms of log1p(train count), over catalogue items
+    and over recommended items (with repeats), in one table by ``series``."""
+    cat, rec = _log_popularity(recs, train)
+    return equal_width_histogram(cat, "v", bins).withColumn("series", F.lit("catalogue")).unionByName(
+        equal_width_histogram(rec, "v", bins).withColumn("series", F.lit("recommended")))
+
+
 def popularity_rank(train: DataFrame) -> DataFrame:
     """0-based popularity position of each train item (count desc, id asc),
     without a global window: offsets per count value (a small table) plus a
@@ -174,16 +188,21 @@ def popularity_bias(recs: DataFrame, train: DataFrame, thresholds=POP_THRESHOLDS
                 (F.col("n_in_top") / F.col("_n") * 100.0).alias("pct_of_recs"))
 
 
-def popularity_compare(recs: DataFrame, train: DataFrame) -> DataFrame:
-    """Median log1p(train count) over catalogue items vs over recommended
-    items (with repeats; an item without train ratings counts 0)."""
+def _log_popularity(recs: DataFrame, train: DataFrame) -> tuple[DataFrame, DataFrame]:
     pop = train.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"))
     cat = pop.select(F.log1p(F.col("n").cast("double")).alias("v"))
     rec = recs.select("movie_id").join(pop, "movie_id", "left") \
         .select(F.log1p(F.coalesce("n", F.lit(0)).cast("double")).alias("v"))
+    return cat, rec
+
+
+def popularity_compare(recs: DataFrame, train: DataFrame) -> DataFrame:
+    """Median log1p(train count) over catalogue items vs over recommended
+    items (with repeats; an item without train ratings counts 0)."""
+    cat, rec = _log_popularity(recs, train)
     a = exact_quantiles(cat, "v", [0.5]).select("p50").scalar()
     b = exact_quantiles(rec, "v", [0.5]).select("p50").scalar()
-    return pop.sparkSession.range(1).select(a.alias("median_log_pop_catalogue"),
+    return train.sparkSession.range(1).select(a.alias("median_log_pop_catalogue"),
                                             b.alias("median_log_pop_recs"))
 
 

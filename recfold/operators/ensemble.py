@@ -91,8 +91,10 @@ def _gram_arrays(row, models):
 def simplex_least_squares(G: np.ndarray, h: np.ndarray) -> np.ndarray:
     """min w'Gw - 2h'w s.t. w >= 0, sum w = 1, exactly: the convex optimum is
     the equality-constrained optimum of some support set; enumerate supports
-    (M <= 6 models) and keep the best feasible one."""
+    (at most 2^12) and keep the best feasible one."""
     m = len(h)
+    if m > 12:
+        raise ValueError("exact weights enumerate the subsets of at most 12 models")
     best, best_obj = None, np.inf
     for r in range(1, m + 1):
         for s in itertools.combinations(range(m), r):
@@ -122,7 +124,9 @@ def fit_weights(preds: DataFrame, truth: DataFrame, models: list[str],
                 metric: str = "rmse", steps: int = 200) -> DataFrame:
     """E4 (rmse: exact simplex least squares from one Gram pass) and E5 (mae:
     projected subgradient, one aggregate pass per step over the cached wide
-    predictions). Returns (model, weight)."""
+    predictions; the best iterate is kept and the search ends when 20 steps
+    bring no gain). Both use the pairs that every model scored. Returns (model,
+    weight)."""
     spark = preds.sparkSession
     if metric == "rmse":
         row = gram(preds, truth, models).first().asDict()
@@ -131,15 +135,22 @@ def fit_weights(preds: DataFrame, truth: DataFrame, models: list[str],
     elif metric == "mae":
         data = wide(preds, models).join(
             truth.select("user_id", "movie_id", F.col("rating").cast("double").alias("y")),
-            ["user_id", "movie_id"]).cache()
-        w = np.full(len(models), 1.0 / len(models))
+            ["user_id", "movie_id"]).dropna(subset=[f"pred_{m}" for m in models]).cache()
+        w = best = np.full(len(models), 1.0 / len(models))
+        least, since = np.inf, 0
         for t in range(steps):
             pred = sum(F.lit(float(w[i])) * F.col(f"pred_{m}") for i, m in enumerate(models))
             sgn = F.signum(pred - F.col("y"))
-            g = data.agg(*[F.avg(sgn * F.col(f"pred_{m}")).alias(m) for m in models]).first()
-            grad = np.array([g[m] for m in models])
-            w = _project_simplex(w - (0.05 / np.sqrt(t + 1)) * grad)
+            g = data.agg(F.avg(F.abs(pred - F.col("y"))), *[F.avg(sgn * F.col(f"pred_{m}")) for m in models]).first()
+            if g[0] is None:
+                break
+            if g[0] < least - 1e-9:
+                least, best, since = g[0], w, 0
+            elif (since := since + 1) >= 20:
+                break
+            w = _project_simplex(w - (0.05 / np.sqrt(t + 1)) * np.array(g[1:]))
         data.unpersist()
+        w = best
     else:
         raise ValueError(f"unknown metric {metric}")
     return spark.createDataFrame([(m, float(x)) for m, x in zip(models, w)],

@@ -11,6 +11,7 @@ from recfold.operators import topk as TK
 from recfold.plans import oracle_views as O
 from recfold.plans.catalog import bias_recs, topk_sql
 from recfold.plans.common import Base, normalize
+from recfold.plans.q_stats import _eqhist_sql as eqhist_sql
 from recfold.plans.registry import register
 
 W = O.with_ctes
@@ -111,6 +112,12 @@ def q_n6(spark, d):
     return normalize(N.rec_frequency(bias_recs(b), b.titles(), 20))
 
 
+@register("n6_frequency_histogram", topk_sql() + """,
+rf AS (SELECT movie_id, count(*) AS n FROM recs GROUP BY movie_id)""" + eqhist_sql("rf", "n", 50))
+def q_n6h(spark, d):
+    return normalize(N.frequency_histogram(bias_recs(Base(spark, d)), 50))
+
+
 @register("n7_popularity_bias", topk_sql() + """,
 pr AS (SELECT movie_id, row_number() OVER (ORDER BY count(*) DESC, movie_id) - 1 AS pop_rank FROM train GROUP BY movie_id),
 rp AS (SELECT r.movie_id, p.pop_rank FROM recs r LEFT JOIN pr p ON p.movie_id = r.movie_id),

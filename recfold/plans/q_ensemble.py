@@ -79,7 +79,7 @@ def q_e4b(spark, d):
 @register("e5_fit_weights_mae")
 def q_e5(spark, d):
     b = Base(spark, d)
-    return normalize(E.fit_weights(M.predict_long(b.models(), b.val), b.val, NAMES, "mae", steps=30))
+    return normalize(E.fit_weights(M.predict_long(b.models(), b.val), b.val, NAMES, "mae"))
 
 
 @register("e6_weight_sensitivity", W(*ENS, _WIDE_VAL) + """,

@@ -34,7 +34,7 @@ def _scratch(spark, label: str) -> str:
 @register("s1_blocks_strict", W(O.RATINGS) + "SELECT user_id, movie_id, CAST(rating AS BIGINT) AS rating, date FROM ratings")
 def q_s1(spark, d):
     path = _scratch(spark, "blocks")
-    SB.write_blocks(ratings_view(spark, d), path, n_files=4)
+    SB.write_blocks(ratings_view(spark, d), path)
     return normalize(SB.read_blocks(spark, f"{path}/part-*", lenient=False))
 
 
@@ -42,7 +42,7 @@ def q_s1(spark, d):
 SELECT user_id, movie_id, CAST(rating AS DOUBLE) AS rating, strftime(date, '%Y-%m-%d') AS date FROM ratings""")
 def q_s2(spark, d):
     path = _scratch(spark, "blocks")
-    SB.write_blocks(ratings_view(spark, d), path, n_files=4)
+    SB.write_blocks(ratings_view(spark, d), path)
     return normalize(SB.read_blocks(spark, f"{path}/part-*", lenient=True))
 
 

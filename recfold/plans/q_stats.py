@@ -112,6 +112,12 @@ def q_a8a(spark, d):
     return normalize(A.equal_width_histogram(A.activity(ratings_once(spark, d), "user_id"), "n", 100))
 
 
+@register("a8_equal_width_popularity", W(O.RATINGS) + """,
+ma AS (SELECT movie_id, count(*) AS n FROM ratings GROUP BY movie_id)""" + _eqhist_sql("ma", "n", 100))
+def q_a8p(spark, d):
+    return normalize(A.equal_width_histogram(A.activity(ratings_once(spark, d), "movie_id"), "n", 100))
+
+
 @register("a8_equal_width_residuals", W(*O.BASE, *O.MODELS, O.PREDS) + """,
 res AS (SELECT t.rating - p.predicted_rating AS e FROM test t JOIN preds p
         ON p.user_id = t.user_id AND p.movie_id = t.movie_id WHERE p.model = 'bias')""" + _eqhist_sql("res", "e", 50))

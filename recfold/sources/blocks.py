@@ -42,18 +42,23 @@ def read_blocks(spark: SparkSession, path: str | list[str], lenient: bool = Fals
     lines = lines.withColumn(
         "hdr", F.when(is_header, F.expr("try_cast(substring(line, 1, length(line) - 1) AS BIGINT)")))
     # last header inside each split, then carried across the splits of a file
-    # (strict) or of all files in path order (lenient): one row per split
+    # (one row per split) and, if lenient, across files in path order (one row
+    # per file)
     per_block = (lines.where(F.col("hdr").isNotNull())
                  .groupBy("file", "block").agg(F.max_by("hdr", "pos").alias("last_hdr")))
     blocks = lines.select("file", "block").distinct().join(per_block, ["file", "block"], "left")
-    order = Window.partitionBy("file").orderBy("block") if not lenient \
-        else Window.partitionBy(F.lit(0)).orderBy("file", "block")
-    blocks = blocks.withColumn(
-        "carry", F.last("last_hdr", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    before = [Window.unboundedPreceding, -1]
+    blocks = blocks.withColumn("carry", F.last("last_hdr", ignorenulls=True).over(
+        Window.partitionBy("file").orderBy("block").rowsBetween(*before)))
+    if lenient:
+        files = blocks.groupBy("file").agg(F.max_by("last_hdr", F.when(F.col("last_hdr").isNotNull(), F.col("block"))).alias("h"))
+        files = files.select("file", F.last("h", ignorenulls=True).over(
+            Window.orderBy("file").rowsBetween(*before)).alias("from_files"))
+        blocks = blocks.join(files, "file").withColumn("carry", F.coalesce("carry", "from_files"))
     inside = F.last("hdr", ignorenulls=True).over(
         Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
     rows = lines.withColumn("movie", inside).where(~is_header)
-    rows = rows.join(F.broadcast(blocks.select("file", "block", "carry")), ["file", "block"])
+    rows = rows.join(blocks.select("file", "block", "carry"), ["file", "block"])
     fallback = F.lit(None).cast("bigint") if lenient else F.lit(-1).cast("bigint")
     movie = F.coalesce(F.col("movie"), F.col("carry"), fallback)
     parts = F.split("line", ",")
@@ -71,10 +76,10 @@ def read_blocks(spark: SparkSession, path: str | list[str], lenient: bool = Fals
         F.to_date(F.trim(parts[2]), "yyyy-MM-dd").alias("date"))
 
 
-def write_blocks(ratings: DataFrame, path: str, n_files: int = 4) -> None:
+def write_blocks(ratings: DataFrame, path: str) -> None:
     """Write ratings in the block format (one block per movie, rows by user),
-    spread over ``n_files`` files by movie id. Used to feed the block reader
-    from Spark-derived data."""
+    spread over the shuffle partitions by movie id. Used to feed the block
+    reader from Spark-derived data."""
     r = ratings.select("user_id", "movie_id", "rating", "date")
     heads = r.select("movie_id").distinct().select(
         "movie_id", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("user_id"),
@@ -83,6 +88,6 @@ def write_blocks(ratings: DataFrame, path: str, n_files: int = 4) -> None:
                     F.concat_ws(",", F.col("user_id").cast("string"), F.col("rating").cast("string"),
                                 F.date_format("date", "yyyy-MM-dd")).alias("value"))
     lines = heads.unionByName(body)
-    (lines.repartition(n_files, F.pmod(F.col("movie_id"), F.lit(n_files)))
+    (lines.repartition("movie_id")
      .sortWithinPartitions("movie_id", "kind", "user_id")
      .select("value").write.mode("overwrite").text(path))
