@@ -33,8 +33,13 @@ REC_SCHEMA = T.StructType([
 ])
 
 # Bound on the broadcast catalogue block (bytes of ids, terms and factors).
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-_USER_CHUNK = 256
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+#: Bytes of one score tile (users x items of a block, float64) in a task.
+TILE_BYTES = 64 * 1024 * 1024
+
+
+def _users_at_once(n_items: int) -> int:
+    return max(1, min(256, TILE_BYTES // (8 * max(n_items, 1))))
 
 
 @dataclass
@@ -48,33 +53,6 @@ class Blend:
     digits: int | None = 9
 
 
-def _top_rows(S: np.ndarray, k: int):
-    """Per row of S the k best finite entries, ties by ascending column.
-
-    Vectorised over the block: one partition per row finds the k-th largest
-    value, every entry at or above it is a candidate (more than k only with
-    ties), and one lexsort orders the candidates by (row, -score, column)."""
-    B, n = S.shape
-    m = min(k, n)
-    if m <= 0 or B == 0:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.int32),)
-    if m < n:
-        kth = np.partition(S, n - m, axis=1)[:, n - m]
-        rows, cols = np.nonzero(S >= kth[:, None])
-    else:
-        rows, cols = np.nonzero(np.ones_like(S, dtype=bool))
-    vals = S[rows, cols]
-    ok = np.isfinite(vals)
-    rows, cols, vals = rows[ok], cols[ok], vals[ok]
-    order = np.lexsort((cols, -vals, rows))
-    rows, cols = rows[order], cols[order]
-    # rank inside each row; keep the first m
-    starts = np.searchsorted(rows, np.arange(B))
-    rank = np.arange(rows.shape[0]) - starts[rows] + 1
-    keep = rank <= m
-    return rows[keep], cols[keep], rank[keep].astype(np.int32)
-
-
 def _top_rows_finished(raw: np.ndarray, k: int, lo, hi, digits):
     """Top k of finish(raw) per row (ties by column) without finishing the
     whole block: finish (clip, round) is monotone, so every entry that can
@@ -116,8 +94,8 @@ def _make_many_scorer(specs: list, k: int, exclude_seen: bool, bc):
         n = ids.shape[0]
         for pdf in batches:
             out = []
-            for start in range(0, len(pdf), _USER_CHUNK):
-                ch = pdf.iloc[start:start + _USER_CHUNK]
+            for start in range(0, len(pdf), _users_at_once(n)):
+                ch = pdf.iloc[start:start + _users_at_once(n)]
                 mask_r = mask_c = None
                 if exclude_seen:
                     lists = [np.asarray(v, dtype=np.int64) if v is not None else np.empty(0, np.int64)
@@ -161,8 +139,8 @@ def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
         n = ids.shape[0]
         for pdf in batches:
             out = []
-            for start in range(0, len(pdf), _USER_CHUNK):
-                ch = pdf.iloc[start:start + _USER_CHUNK]
+            for start in range(0, len(pdf), _users_at_once(n)):
+                ch = pdf.iloc[start:start + _users_at_once(n)]
                 total = None
                 for c, (w, mu, rank, lo, hi, digits, u_const, i_const) in enumerate(specs):
                     u = ch[f"u{c}"].to_numpy(dtype=np.float64)
@@ -322,6 +300,9 @@ def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
     n_parts = max(spark.sparkContext.defaultParallelism,
                   int(spark.conf.get("spark.sql.shuffle.partitions")))
     scoring_rows = rows.repartition(n_parts, "user_id")
+    if blocks is not None:  # read once per block, so joined and written only once
+        from recfold.session import materialize
+        scoring_rows = materialize(scoring_rows, "scoring-users")
     parts = []
     for blk in (fetched if blocks is None else blocks):
         pdf = blk if blocks is None else blk.toPandas()  # one block on the driver at a time
