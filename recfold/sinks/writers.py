@@ -142,7 +142,6 @@ def save_model(model, path: str) -> None:
 
 def load_model(spark, path: str):
     """K8 load for table models saved by ``save_model``."""
-    from recfold.functions.portable import _col  # noqa: F401
     from recfold.operators.models import RatingModel
     from recfold.sources.files import _exists
     root = path.rstrip("/")
@@ -154,3 +153,31 @@ def load_model(spark, path: str):
         return None if v is None else spark.createDataFrame([(float(v),)], "v double")
     return RatingModel(p["name"], users, items, mu=one(p["mu"]), u_fill=one(p["u_fill"]),
                        i_fill=one(p["i_fill"]), rank=p["rank"], lo=p["lo"], hi=p["hi"], digits=p["digits"])
+
+
+def save_neural(path: str, users, items, weights: dict, dim: int, lo: float | None = 1.0, hi: float | None = 5.0,
+                bn: dict | None = None) -> None:
+    """K8 for the neural model: embedding tables, dense weights (one row per
+    array, with its shape) and a config row."""
+    root, spark = path.rstrip("/"), users.sparkSession
+    users.write.mode("overwrite").parquet(f"{root}/users")
+    items.write.mode("overwrite").parquet(f"{root}/items")
+    arrays = [("w", k, v) for k, v in weights.items()] + [("bn", k, v) for k, v in (bn or {}).items()]
+    rows = [(kind, k, list(v.shape), [float(x) for x in v.ravel()]) for kind, k, v in arrays]
+    spark.createDataFrame(rows, "kind string, name string, shape array<int>, vals array<double>") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{root}/weights")
+    spark.createDataFrame([(dim, lo, hi)], "dim int, lo double, hi double") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{root}/config")
+
+
+def load_neural(spark, path: str) -> dict:
+    """Keyword arguments of ``neumf.score`` (all but the pairs)."""
+    import numpy as np
+
+    root = path.rstrip("/")
+    c = spark.read.parquet(f"{root}/config").first()
+    parts: dict[str, dict] = {"w": {}, "bn": {}}
+    for r in spark.read.parquet(f"{root}/weights").collect():
+        parts[r["kind"]][r["name"]] = np.array(r["vals"]).reshape(r["shape"])
+    return {"users": spark.read.parquet(f"{root}/users"), "items": spark.read.parquet(f"{root}/items"), "weights": parts["w"],
+            "dim": c["dim"], "lo": c["lo"], "hi": c["hi"], "bn": parts["bn"] or None}
