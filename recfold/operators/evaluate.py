@@ -11,6 +11,7 @@ from recfold.operators import metrics as V
 from recfold.operators.models import RatingModel, predict_long
 from recfold.operators.prep import sample_users
 from recfold.operators.topk import top_k
+from recfold.session import materialize
 
 
 def model_recs(models: list[RatingModel], users: DataFrame, catalogue: DataFrame,
@@ -28,7 +29,8 @@ def full_report(models: list[RatingModel], train: DataFrame, test: DataFrame,
     preds = predict_long(models, test)
     rating = V.rating_metrics(test, preds, by=("model",))
     users = sample_users(test, n_sample_users, seed)
-    recs = model_recs(models, users, catalogue, seen=train, k=k)
+    # k rows per user and model, read by the list metrics and by coverage: ranked once
+    recs = materialize(model_recs(models, users, catalogue, seen=train, k=k), "recs")
     # every sampled user is evaluated for every model, even with an empty list
     eval_users = users.select("user_id", F.explode(F.array(*[F.lit(m.name) for m in models]))
                               .alias("model"))
