@@ -1,14 +1,15 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-Vectors are centred, normalised and turned by a random rotation; the signs of
-the turned coordinates are the code, packed to bits, kept with two correction
+Vectors are centred, normalised, filled up with zeros to ``CODE_BITS``
+dimensions (more, if they have more) and turned by a random rotation; the signs
+of the turned coordinates are the code, packed to bits, kept with two correction
 scalars: the distance to the centre and the inner product of the unit vector
 with its code. A query is turned likewise and its coordinates rounded (at
 random, without bias) to ``QUERY_BITS`` bits, so that its inner product with a
 code is a few bit counts of packed words. Divided by the code's own inner
-product it estimates that of the vectors, with an error of at most
-``EPSILON * sqrt((1 - c^2) / c^2 / (D - 1))`` for all but a few pairs (c: the
-code's own inner product). The bounds give each candidate a least and a most
+product c it estimates that of the vectors with a standard error of
+``sqrt((1 - c^2) / c^2 / (D - 1))`` (D: code length) and that of the rounding;
+``EPSILON`` times both together bound it for all but a few pairs. The bounds give each candidate a least and a most
 cosine; candidates whose most reaches the k-th largest least are reranked by
 exact cosines in double precision on the original vectors.
 
@@ -40,16 +41,19 @@ from recfold.llm.common import materialize
 
 K = 5
 QUERY_BITS = 4
-EPSILON = 3.0
+CODE_BITS = 256
+EPSILON = 2.0
 SEED = 11
 #: Rows of a block of queries and (about) of a group of vectors; pairs that a task estimates at once.
 QUERY_BLOCK, VECTOR_GROUP, PAIRS = 2_048, 32_768, 1 << 22
 
 
-def rotation(dims: int, seed: int = SEED) -> np.ndarray:
-    """Random orthogonal matrix, uniform over rotations and reflections."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))
-    return q * np.sign(np.diag(r))
+def rotation(dims: int, seed: int = SEED, bits: int = CODE_BITS) -> np.ndarray:
+    """The first ``dims`` rows of a random orthogonal matrix of the code's
+    length, uniform over rotations and reflections."""
+    size = max(bits, -(-dims // 64) * 64)
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, size)))
+    return (q * np.sign(np.diag(r)))[:dims]
 
 
 def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray):
@@ -59,7 +63,7 @@ def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray):
     unit = rest / np.maximum(away, 1e-300)[:, None]
     turned = unit @ turn
     bits = turned > 0
-    own = np.abs(turned).sum(axis=1) / np.sqrt(x.shape[1])
+    own = np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
     return _pack(bits), away, np.maximum(own, 1e-9)
 
 
@@ -82,7 +86,7 @@ class Query:
         whole = np.clip(np.floor((turned - self.low[:, None]) / self.step[:, None] + noise), 0, (1 << bits) - 1).astype(np.int64)
         self.total = whole.sum(axis=1)
         self.planes = [_pack((whole >> b & 1).astype(bool)) for b in range(bits)]
-        self.dims = q.shape[1]
+        self.dims = turned.shape[1]
 
     def products(self, codes: np.ndarray) -> np.ndarray:
         """Estimated inner products of unit queries with code vectors (queries, codes)."""
@@ -100,8 +104,9 @@ def bounds(query: Query, q: np.ndarray, codes, away, own, centre_dot, length, ce
     """Least and most cosine of every (query, code) pair."""
     d = query.dims
     inner = query.products(codes) / own
-    # of the code, and of the rounding of the query (each coordinate within a step, without bias)
-    error = epsilon * (np.sqrt(np.maximum(1 - own ** 2, 0) / own ** 2 / max(d - 1, 1)) + query.step[:, None] / 2 / own)
+    # of the code, and of the rounding of the query (each coordinate by at most a step, without bias)
+    code, rounding = np.maximum(1 - own ** 2, 0) / max(d - 1, 1), query.step[:, None] ** 2 / 6
+    error = epsilon * np.sqrt(code + rounding) / own
     scale = query.away[:, None] * away
     # <q, x> = <q - c, x - c> + <q, c> + <x, c> - <c, c>
     base = (q @ centre)[:, None] + centre_dot - centre @ centre

@@ -73,11 +73,11 @@ def test_estimates_stay_within_their_bounds():
     rng = np.random.default_rng(2)
     x, q = rng.standard_normal((3000, 64)), rng.standard_normal((40, 64))
     centre, turn = x.mean(axis=0), A.rotation(64)
-    assert np.allclose(turn @ turn.T, np.eye(64))
+    assert turn.shape == (64, 256) and np.allclose(turn @ turn.T, np.eye(64))
     codes, away, own = A.encode(x, centre, turn)
-    assert codes.shape == (3000, 1) and codes.dtype == np.uint64
+    assert codes.shape == (3000, 4) and codes.dtype == np.uint64
     length = np.linalg.norm(x, axis=1)
     lo, hi = A.bounds(A.Query(q, centre, turn), q, codes, away, own, x @ centre, length, centre)
     cos = q @ x.T / length / np.linalg.norm(q, axis=1)[:, None]
-    assert ((lo <= cos) & (cos <= hi)).mean() > 0.995
-    assert (hi - lo).mean() < 1.0
+    assert ((lo <= cos) & (cos <= hi)).mean() > 0.94
+    assert (hi - lo).mean() < 0.25
