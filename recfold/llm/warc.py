@@ -101,8 +101,10 @@ def write_monolithic(rows: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
             for page, url, html, digest, refers in zip(*(b.column(i) for i in range(5))):
                 if sink is None or raw >= file_bytes:
                     close()
-                    paths.append(f"{folder}/{uuid.uuid4().hex}.mono.warc.gz")
-                    sink, z, raw = fs.open_output_stream(f"{root}/{paths[-1].rsplit("/", 1)[1]}", compression=None), zlib.compressobj(level, zlib.DEFLATED, 31), 0
+                    name = f"{uuid.uuid4().hex}.mono.warc.gz"
+                    paths.append(f"{folder}/{name}")
+                    sink = fs.open_output_stream(f"{root}/{name}", compression=None)
+                    z, raw = zlib.compressobj(level, zlib.DEFLATED, 31), 0
                 payload = (html.as_py() or "").encode()
                 raw += len(payload)
                 sink.write(z.compress(record(page.as_py(), url.as_py(), payload, digest.as_py(), refers.as_py())))
