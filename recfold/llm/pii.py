@@ -91,8 +91,27 @@ _FIND = re.compile("|".join([
     r"(?P<card>(?<![\d.])[3-6](?:[ -]?\d){12,18}(?!\d))",
     rf"(?P<person>(?<!\w)(?:(?P<form>{_FORMS})(?!\w)\.?\s+(?P<names>{_WORD}(?:[ ]{_WORD}){{0,2}})|(?P<known>{_FIRSTS})[ ](?P<last>{_WORD})))",
 ]))
-#: What a text must hold to be looked at closely; for a linear-time scan.
-_MAYBE = r"[0-9]{2}|@|(?i:" + "|".join(SECRET_WORDS) + ")|" + "|".join(map(re.escape, [*_GENDER, *_NAMES]))
+
+
+def _ranges(chars: list[int]) -> str:
+    """A character class of code points, for both regex engines."""
+    out, first = "", None
+    for a, b in zip(chars, [*chars[1:], -1]):
+        first = a if first is None else first
+        if b != a + 1:
+            out, first = out + (chr(first) if first == a else f"{chr(first)}-{chr(a)}"), None
+    return f"[{out}]"
+
+
+def _any_case(word: str) -> str:
+    """What Python's (?i) takes for the word; it folds more letters than Arrow's engine."""
+    return "".join(f"[{c.upper()}{c.lower()}{''.join(x for x in 'İıſK' if re.match(c, x, re.I))}]" if c.isalpha() else re.escape(c) for c in word)
+
+
+#: What a text must hold to be looked at closely, for a linear-time scan: every match of _FIND
+#: holds a match of this one (digits are those of Python's \d, of any script).
+_DIGIT = _ranges([c for c in range(0x110000) if chr(c).isdecimal()])
+_MAYBE = "|".join([rf"{_DIGIT}[ .-]?{_DIGIT}", "@", "AKIA|ASIA", *map(_any_case, SECRET_WORDS), *map(re.escape, [*_GENDER, *_NAMES])])
 
 
 # --------------------------------------------------------------------------
@@ -243,6 +262,11 @@ def _names(text: str, m: re.Match):
     return out
 
 
+def _digits(raw: str) -> str:
+    """The digits of a value, whatever their script, as 0-9."""
+    return "".join(str(int(c)) for c in raw if c.isdecimal())
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """Entities of a text in order: from, to, kind, canonical value."""
     out = []
@@ -259,7 +283,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         elif kind == "key":
             out.append((a, b, kind, raw))
         elif kind == "iban":
-            value = raw.replace(" ", "")
+            value = "".join(str(int(c)) if c.isdecimal() else c for c in raw if c != " ")
             if 15 <= len(value) <= 34 and _iban_ok(value):
                 out.append((a, b, kind, value))
         elif kind == "ip":
@@ -267,13 +291,13 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         elif kind == "phone":
             code = re.match(r"\+\d{1,3}(?=[ .(-])", raw)
             start = code.end() if code else 0
-            digits = re.sub(r"\D", "", raw[start:])
+            digits = _digits(raw[start:])
             if 7 <= len(digits) <= 14:
                 out.append((a + start, b, kind, digits))
         elif kind == "ssn":
-            out.append((a, b, kind, re.sub(r"\D", "", raw)))
+            out.append((a, b, kind, _digits(raw)))
         elif kind == "card":
-            digits = re.sub(r"\D", "", raw)
+            digits = _digits(raw)
             if 13 <= len(digits) <= 19 and (_luhn(digits) or len(digits) == len(raw) == 16):
                 out.append((a, b, kind, digits))
         else:
@@ -296,7 +320,7 @@ def _lay_out(shape: str, kind: str, value: str) -> str:
         return value
     source = iter(value)
     if kind in ("phone", "ssn", "card"):
-        return "".join(next(source) if c.isdigit() else c for c in shape)
+        return "".join(chr(ord(c) - int(c) + int(next(source))) if c.isdecimal() else c for c in shape)
     if kind == "iban":
         return "".join(c if c == " " else next(source) for c in shape)
     if kind in ("first", "last") or kind.startswith("first-"):
