@@ -2,9 +2,11 @@
 
 The kernel of two words, with marks for their beginning and end, counts their
 common three-letter subsequences, each weighted by ``DECAY`` for every letter
-that it spans (at most ``SPAN``), and is normalised to 1 for equal words, so gaps and inserted letters lower it
-only little. Letters that stand alone in a row (``i d i o t``) are read as
-one word too.
+that it spans (at most ``SPAN``), and is normalised to 1 for equal words, so a gap or an inserted letter lowers
+it only little. Full gaps and embedding do not: every word is also read without
+its inner punctuation (``i.d.i.o.t``), letters that stand alone in a row
+(``i d i o t``) as one word, and of a word longer than a landmark also each
+window of the landmark's length (``youareanidiot``) as a word of its own.
 
 Training. At most ``TRAIN_ROWS`` labelled documents outside the held-out fold
 (those with the smallest hash of their id) are written once to the shared
@@ -51,7 +53,10 @@ APART = 0.75
 WORDS = 15
 LONGEST = 64
 PIECE_BYTES = 4 << 20
+#: Words and windows whose kernel values are taken at once.
+KERNEL_WORDS = 16_384
 _TRIM = ".,;:!?\"'()[]|&%$#*"
+_INNER = r"[^\p{L}\p{M}\p{N}]+"
 _BEGIN, _END = "\x02", "\x03"
 _SHAPES = [(j, k) for j, k in itertools.combinations(range(1, SPAN), 2)]
 
@@ -87,12 +92,14 @@ class Landmarks:
 
     def __init__(self, words: list[str]):
         self.words = words
+        self.size = np.array([len(w) for w in words])
         vectors = _weights(words)
         self.norm = np.array([sum(v * v for v in d.values()) for d in vectors])
         alphabet = sorted({*"".join(words), _BEGIN, _END})
         self.base = len(alphabet) + 1
         self.place = np.zeros(0x110000, np.int32)
         self.place[[ord(c) for c in alphabet]] = np.arange(1, self.base)
+        self.bounds = [self._bound(w, d) for w, d in zip(words, vectors)]
         number = {c: i + 1 for i, c in enumerate(alphabet)}
         entries: dict[int, list[tuple[int, float]]] = {}
         for l, d in enumerate(vectors):
@@ -135,6 +142,75 @@ class Landmarks:
         keep = value >= FLOOR
         return w[keep], l[keep], np.minimum(value[keep], 1.0)
 
+    def possible(self, words: list[str], n: int) -> np.ndarray:
+        """Which words can hold a window that reaches FLOOR with a landmark of ``n`` letters: by Cauchy and
+        Schwarz a value is at most the share of the landmark's norm in subsequences of letters of the word."""
+        cls = self.place[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        has = np.zeros((len(words), self.base), bool)
+        has[np.repeat(np.arange(len(words)), size), cls] = True
+        out = np.zeros(len(words), bool)
+        for l in np.flatnonzero(self.size == n):
+            letters, enough = self.bounds[l]
+            out |= enough[has[:, letters] @ (1 << np.arange(len(letters)))]
+        return out
+
+    def _bound(self, word: str, vector: dict[str, float]):
+        """The word's letters and, for every set of them, whether it reaches FLOOR."""
+        letters = sorted(set(word))[:16]  # a rarer letter counts as present
+        bit = {c: 1 << i for i, c in enumerate(letters)}
+        total = np.zeros(1 << len(letters))
+        for g, v in vector.items():
+            total[sum({bit.get(c, 0) for c in g})] += v * v
+        for i in range(len(letters)):  # sums over subsets
+            t = total.reshape(-1, 2, 1 << i)
+            t[:, 1] += t[:, 0]
+        return [int(self.place[ord(c)]) for c in letters], np.sqrt(total / total[-1]) >= FLOOR - 1e-9
+
+    def within(self, words: list[str]):
+        """Best values of each word and of its windows of a landmark's length,
+        a window with landmarks of its length only, as (word, landmark, value)."""
+        m, known = len(self.words), []
+        window, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n in sorted(set(self.size.tolist())):
+            place: dict[str, int] = {}
+            number, mine = [], []
+            longer = [i for i, x in enumerate(words) if len(x) > n]
+            for i in np.array(longer, np.int64)[self.possible([words[i] for i in longer], n)].tolist():
+                x = words[i]
+                number += [place.setdefault(x[a:a + n], len(place)) for a in range(len(x) - n + 1)]
+                mine += [i] * (len(x) - n + 1)
+            # only windows that can reach the floor
+            can = self.possible(list(place), n)
+            number, mine = np.array(number, np.int64), np.array(mine, np.int64)
+            held = can[number]
+            window.append((np.cumsum(can) - 1)[number[held]] + len(known))
+            owner.append(mine[held])
+            known += [x for x, c in zip(place, can) if c]
+        window, owner = np.concatenate(window), np.concatenate(owner)
+        keys, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for x in range(0, len(words), KERNEL_WORDS):
+            w, l, v = self.kernel(words[x:x + KERNEL_WORDS])
+            keys.append((w + x) * m + l)
+            values.append(v)
+        # the words that hold each window, by window
+        owner, edge = owner[np.argsort(window, kind="stable")], np.cumsum(np.bincount(window, minlength=len(known)))
+        for x in range(0, len(known), KERNEL_WORDS):
+            part = known[x:x + KERNEL_WORDS]
+            w, l, v = self.kernel(part)
+            same = np.fromiter(map(len, part), np.int64, len(part))[w] == self.size[l]
+            w, l, v = w[same] + x, l[same], v[same]
+            start = np.where(w > 0, edge[w - 1], 0)
+            n = edge[w] - start
+            at = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            keys.append(owner[at] * m + np.repeat(l, n))
+            values.append(np.repeat(v, n))
+        key, value = np.concatenate(keys), np.concatenate(values)
+        order = np.lexsort((-value, key))
+        key, value = key[order], value[order]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else key
+        return key[first] // m, key[first] % m, value[first]
+
     def matrix(self) -> np.ndarray:
         vectors = _weights(self.words)
         k = np.array([[sum(v * b.get(g, 0.0) for g, v in a.items()) for b in vectors] for a in vectors])
@@ -168,32 +244,43 @@ def _norms(words: list[str]) -> np.ndarray:
 
 def _tokens(texts: pa.Array):
     """Distinct words, and of every token: word number, row, sentence number.
-    Single letters in a row make one more token."""
+    A word with inner punctuation makes one more token without it, and so do
+    single letters in a row."""
     lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
     words, row = lists.flatten(), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     n_words = np.bincount(row[pc.binary_length(words).to_numpy(zero_copy_only=False) > 0], minlength=len(texts))
     ends = pc.match_substring_regex(words, r"[.!?]$").to_numpy(zero_copy_only=False)
-    words = pc.utf8_trim(words, _TRIM)
-    size = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+    enc = pc.utf8_trim(words, _TRIM).dictionary_encode()
+    words, code = enc.dictionary, enc.indices.to_numpy(zero_copy_only=False)
+    bare = pc.replace_substring_regex(words, _INNER, "")
+    size = pc.utf8_length(words).to_numpy(zero_copy_only=False)[code]
+    bare_size = pc.utf8_length(bare).to_numpy(zero_copy_only=False)[code]
+    other = pc.not_equal(words, bare).to_numpy(zero_copy_only=False)[code]
+    words, bare = words.take(enc.indices), bare.take(enc.indices)
     sentence = np.cumsum(np.concatenate(([False], ends[:-1]))) + row if len(row) else row
     joined, at = [], []
-    single = np.concatenate(([False], size == 1, [False]))
+    single = np.concatenate(([False], bare_size <= 1, [False]))
     edge = np.flatnonzero(single[1:] != single[:-1])
     long_runs = edge[1::2] - edge[::2] >= 3
     for a, b in zip(edge[::2][long_runs], edge[1::2][long_runs]):
         for x, y in _same_row(row, a, b):
-            if y - x >= 3:
-                joined.append("".join(words.slice(x, y - x).to_pylist())[:LONGEST])
-                at.append(x)
+            # the letters alone, and with the signs that stand between them
+            raw = words.slice(x, y - x).to_pylist()
+            for run in dict.fromkeys(("".join(bare.slice(x, y - x).to_pylist()), "".join(raw))):
+                if len(run) >= 3:
+                    joined.append(run[:LONGEST])
+                    at.append(x)
     keep = np.flatnonzero((size >= 3) & (size <= LONGEST))
-    long = np.flatnonzero(size > LONGEST)
-    for i in long:  # a very long word is read in overlapping parts
-        w = words[int(i)].as_py()
-        for x in range(0, len(w), LONGEST // 2):
-            joined.append(w[x:x + LONGEST])
-            at.append(i)
-    index = np.concatenate((keep, np.array(at, np.int64))).astype(np.int64)
-    words = pa.concat_arrays([words.take(pa.array(keep)).cast(pa.large_string()), pa.array(joined, pa.large_string())])
+    clear = np.flatnonzero(other & (bare_size >= 3) & (bare_size <= LONGEST))
+    for col, long in ((words, size > LONGEST), (bare, other & (bare_size > LONGEST))):
+        for i in np.flatnonzero(long):  # a very long word is read in overlapping parts
+            w = col[int(i)].as_py()
+            for x in range(0, len(w), LONGEST // 2):
+                joined.append(w[x:x + LONGEST])
+                at.append(i)
+    index = np.concatenate((keep, clear, np.array(at, np.int64))).astype(np.int64)
+    words = pa.concat_arrays([words.take(pa.array(keep)).cast(pa.large_string()), bare.take(pa.array(clear)).cast(pa.large_string()),
+                              pa.array(joined, pa.large_string())])
     enc = words.dictionary_encode()
     return enc.dictionary.to_pylist(), enc.indices.to_numpy(), row[index], sentence[index], n_words
 
@@ -221,7 +308,7 @@ def sentence_vectors(texts: pa.Array, marks: Landmarks):
     m = len(marks.words)
     if not words:
         return np.zeros(0, np.int64), np.zeros((0, m)), n_words
-    w, l, v = marks.kernel(words)
+    w, l, v = marks.within(words)
     rich = np.zeros(len(words), bool)
     rich[w] = True
     at = np.flatnonzero(rich[code])

@@ -82,3 +82,37 @@ def test_no_labels_and_empty(spark):
 def test_texts_without_words():
     row, x, n = X.sentence_vectors(pa.array(["", " ", "..."]), X.Landmarks(["dimwit"]))
     assert len(row) == 0 and n.tolist() == [0, 0, 1]
+
+
+def test_gapped_and_embedded_words_count_as_the_word():
+    marks = X.Landmarks(["idiot", "blockhead"])
+    gapped = ["i.d.i.o.t", "i-d-i-o-t", "so i_d_i_o_t!", "i - d - i - o - t", "i. d. i. o. t.", "youareanidiot", "zqidiotzq", "qqq" * 40 + "idiot" + "zz" * 40]
+    row, x, _ = X.sentence_vectors(pa.array(gapped), marks)
+    best = [max(x[row == i, 0], default=0) for i in range(len(gapped))]
+    assert best == pytest.approx([1.0] * len(gapped))
+    row, x, _ = X.sentence_vectors(pa.array(["a good day - and a.n.d", "classification"]), marks)
+    assert len(row) == 0
+
+
+def test_windows_equal_their_definition():
+    marks = X.Landmarks(["blockhead", "dimwit", "idiot", "aaaa"])
+    words = ["youdimwits", "xblckheadx", "aaaaaaa", "dimwit", "xyz", "midiots", "antidimwitted"]
+    w, l, v = marks.within(words)
+    got = {(words[i], marks.words[j]): x for i, j, x in zip(w, l, v)}
+    for a in words:
+        for b in marks.words:
+            n = len(b)
+            want = max([kernel(a, b)] + [kernel(a[i:i + n], b) for i in range(len(a) - n + 1) if len(a) > n])
+            if want >= X.FLOOR:
+                assert got[a, b] == pytest.approx(min(want, 1.0), abs=1e-9)
+            else:
+                assert (a, b) not in got
+
+
+def test_gapped_insults_outside_the_training_fold_are_found(spark):
+    docs, labels = corpus()
+    odd = [(1001, "bakori d.i.m.w.i.t sal n-u-m-s-k-u-l-l po."), (1002, "bakori youareadimwitman sal hesanumskullreally."),
+           (1003, "bakori " * 20 + "b_l_o_c_k_h_e_a_d d.i.m.w.i.t."), (1004, "b.a.k.o.r.i t-u-m-e-n salponebakoritumen.")]
+    d = spark.createDataFrame(docs + odd, "doc_id long, text string")
+    by = {r["doc_id"]: r["predicted"] for r in X.report(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert (by[1001], by[1002], by[1003], by[1004]) == (1, 1, 1, 0)
