@@ -259,25 +259,30 @@ def _tokens(texts: pa.Array):
     words, bare = words.take(enc.indices), bare.take(enc.indices)
     sentence = np.cumsum(np.concatenate(([False], ends[:-1]))) + row if len(row) else row
     joined, at = [], []
+
+    def parts(text, from_):
+        """A long text is read to its end in overlapping parts."""
+        for x in range(0, max(1, len(text) - LONGEST // 2), LONGEST // 2):
+            joined.append(text[x:x + LONGEST])
+            at.append(from_[x])
+
     single = np.concatenate(([False], bare_size <= 1, [False]))
     edge = np.flatnonzero(single[1:] != single[:-1])
     long_runs = edge[1::2] - edge[::2] >= 3
     for a, b in zip(edge[::2][long_runs], edge[1::2][long_runs]):
         for x, y in _same_row(row, a, b):
             # the letters alone, and with the signs that stand between them
-            raw = words.slice(x, y - x).to_pylist()
-            for run in dict.fromkeys(("".join(bare.slice(x, y - x).to_pylist()), "".join(raw))):
+            runs = {tuple(col.slice(x, y - x).to_pylist()) for col in (bare, words)}
+            for letters in sorted(runs):
+                run, from_ = "".join(letters), np.repeat(np.arange(x, y), [len(c) for c in letters])
                 if len(run) >= 3:
-                    joined.append(run[:LONGEST])
-                    at.append(x)
+                    parts(run, from_)
     keep = np.flatnonzero((size >= 3) & (size <= LONGEST))
     clear = np.flatnonzero(other & (bare_size >= 3) & (bare_size <= LONGEST))
     for col, long in ((words, size > LONGEST), (bare, other & (bare_size > LONGEST))):
-        for i in np.flatnonzero(long):  # a very long word is read in overlapping parts
+        for i in np.flatnonzero(long):
             w = col[int(i)].as_py()
-            for x in range(0, len(w), LONGEST // 2):
-                joined.append(w[x:x + LONGEST])
-                at.append(i)
+            parts(w, np.full(len(w), i))
     index = np.concatenate((keep, clear, np.array(at, np.int64))).astype(np.int64)
     words = pa.concat_arrays([words.take(pa.array(keep)).cast(pa.large_string()), bare.take(pa.array(clear)).cast(pa.large_string()),
                               pa.array(joined, pa.large_string())])

@@ -116,3 +116,11 @@ def test_gapped_insults_outside_the_training_fold_are_found(spark):
     d = spark.createDataFrame(docs + odd, "doc_id long, text string")
     by = {r["doc_id"]: r["predicted"] for r in X.report(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
     assert (by[1001], by[1002], by[1003], by[1004]) == (1, 1, 1, 0)
+
+
+def test_runs_of_single_letters_are_read_to_their_end():
+    marks = X.Landmarks(["dimwit"])
+    for before in (0, 28, 60, 63, 64, 70, 93, 200, 1000):
+        for text in (" ".join("ba" * before + "dimwit"), " ".join("ba" * before) + ". " + " ".join("dimwit") + " x y"):
+            row, x, _ = X.sentence_vectors(pa.array([text, "po"]), marks)
+            assert row.tolist() and set(row) == {0} and x.max() == pytest.approx(1.0)
