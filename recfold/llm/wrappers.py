@@ -47,6 +47,8 @@ SALTS = 16
 BROADCAST_BYTES = 16 << 20
 #: Longest run of tokens that is folded into a repeated group.
 PERIOD = 6
+#: A slot whose text is the same on so many different pages is no main text; copies of a page count once.
+CONSTANT = 3
 
 # --- fixed values: element kinds and the words that name them ---
 BLOCK = set("html body article main section header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot "
@@ -192,7 +194,8 @@ def stream(found: list[tuple[str, str, int]]):
 
 
 # --------------------------------------------------------------------------
-# wrappers: lists of slots [path, optional, repeated, pages, chars, links, text digest or None]
+# wrappers: lists of slots [path, optional, repeated, pages, chars, links, text digest or None,
+# digests of up to CONSTANT different pages with that text]
 # --------------------------------------------------------------------------
 
 def align(a: list[list], b: list[list], key=lambda t: t[0]) -> list[tuple[int | None, int | None]]:
@@ -241,17 +244,23 @@ def merge(a: list[list], b: list[list]) -> list[list]:
         else:
             s = [a[i][0], a[i][1] or b[j][1], a[i][2] or b[j][2], *(a[i][k] + b[j][k] for k in (3, 4, 5)),
                  a[i][6] if a[i][6] == b[j][6] else None]
+            # the union's least ones: right up to CONSTANT however the pages are merged
+            s.append(sorted({*_pages(a[i]), *_pages(b[j])})[:CONSTANT] if s[6] is not None else [])
         out.append(s)
     return refold(out)
 
 
+def _pages(slot: list) -> list[str]:
+    return slot[7] if len(slot) > 7 else []
+
+
 def refold(slots: list[list]) -> list[list]:
     """Neighbouring slots of one path, such as two optional ones, become one repeated slot."""
     out: list[list] = []
     for s in slots:
         if out and out[-1][0] == s[0]:
             t = out[-1]
-            out[-1] = [t[0], t[1] and s[1], True, max(t[3], s[3]), t[4] + s[4], t[5] + s[5], None]
+            out[-1] = [t[0], t[1] and s[1], True, max(t[3], s[3]), t[4] + s[4], t[5] + s[5], None, []]
         else:
             out.append(s)
     return out
@@ -296,7 +305,7 @@ def main_slots(slots: list[list]) -> list[bool]:
     top = max(kinds, default=0)
     if top:
         return [c and k == top for c, k in zip(clean, kinds)]
-    free = [c and not (s[6] is not None and s[3] >= 3) and 2 * s[5] <= s[4] for s, c in zip(slots, clean)]
+    free = [c and not (s[6] is not None and len(_pages(s)) >= CONSTANT) and 2 * s[5] <= s[4] for s, c in zip(slots, clean)]
     weight: dict[str, int] = {}
     for s, f in zip(slots, free):
         if f:
@@ -325,8 +334,9 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
             for url, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = blocks(page or "")
                 tokens, members = stream(found)
+                whole = _digest([f"{path}\t{text}" for path, text, _ in found])
                 own = [[p, False, r, 1, sum(len(found[i][1]) for i in at), sum(found[i][2] for i in at),
-                        _digest([found[i][1] for i in at])] for (p, r), at in zip(tokens, members)]
+                        _digest([found[i][1] for i in at]), [whole]] for (p, r), at in zip(tokens, members)]
                 key = (host_of(url), json.dumps([p for p, _ in tokens]))
                 seen[key] = merge(seen[key], own) if key in seen else own
             yield pa.RecordBatch.from_arrays(

@@ -62,3 +62,15 @@ def test_fold_and_align():
     slot = lambda p: [p, False, False, 1, 1, 0, "d"]
     m = X.merge([slot(c) for c in "abcd"], [slot(c) for c in "axcd"])
     assert [(s[0], s[1]) for s in m] == [("a", False), ("b", True), ("x", True), ("c", False), ("d", False)]
+
+
+def test_copies_of_a_page_do_not_make_its_blocks_constant(spark):
+    quote = "<blockquote>A passage that only this page of the host has</blockquote>"
+    own = plain(9).replace("</div><div id=links>", quote + "</div><div id=links>")
+    rows = [(i, f"http://c.x/{i}", plain(i)) for i in range(4)] + [(10 + i, f"http://c.x/copy{i}", own) for i in range(4)]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        text = {r["page_id"]: r["text"] for r in X.extract(df).collect()}
+        story = lambda n: "\n".join(f"Story {n} line {i} that is rather long" for i in range(3))
+        assert all(text[10 + i] == story(9) + "\nA passage that only this page of the host has" for i in range(4))
+        assert all(text[i] == story(i) for i in range(4))
