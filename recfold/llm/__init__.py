@@ -13,5 +13,8 @@ its queries only when it can be imported. One module per operator:
     simhash         fingerprints linked by the generalised pigeonhole rule
     pii             keyed type-consistent surrogates
     lattice_lm      marginal likelihood over all segmentations
+    merkle          Merkle manifest and octopus multiproofs
+    spelling        spelling variants by prefix-suffix tiles
+    minhash_forest  near-duplicates by an LSH forest
     queries         the registered queries and their SQL
 """

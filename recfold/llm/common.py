@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from recfold.session import ensure_checkpoint_dir, materialize
 
 __all__ = ["materialize", "scratch_path", "scan_parts", "text_pieces", "mix64", "window_min",
-           "ascii_lower", "held_out", "binary", "drop_columns"]
+           "ascii_lower", "held_out", "binary", "drop_columns", "join_counted"]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -40,6 +40,17 @@ def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in {n.lower() for n in names}])
 
 
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str, share: int = 1000) -> DataFrame:
+    """Inner join of ``left`` with one row per key, whose ``count`` says how many rows of ``left`` have the key (the column
+    is dropped). Keys with more than one in ``share`` of all rows are at most ``share`` many: they are broadcast, and only
+    the others are shuffled, so no task gets a hot key."""
+    total = right.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    is_hot = F.col(count) * share > F.lit(total)
+    hot, cold = F.broadcast(right.filter(is_hot).drop(count)), right.filter(~is_hot).drop(count)
+    rest = left.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
+    return left.join(hot, keys).unionByName(rest)
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 

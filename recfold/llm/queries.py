@@ -6,9 +6,12 @@ import corpus_pipeline
 from recfold.llm import ann as D1
 from recfold.llm import decontaminate as D6
 from recfold.llm import lattice_lm as D10
+from recfold.llm import merkle as D11
+from recfold.llm import minhash_forest as D13
 from recfold.llm import mixing as D4
 from recfold.llm import pii as D9
 from recfold.llm import simhash as D8
+from recfold.llm import spelling as D12
 from recfold.llm import suffix_dedup as D7
 from recfold.llm import toxicity as D3
 from recfold.llm import warc as D5
@@ -167,3 +170,124 @@ def pipeline(spark, d):
 @register("op1_rotated_bit_codes")
 def op1(spark, d):
     return D1.report(table(spark, d, "embeddings"))
+
+
+def _crc32_sql(codes: str) -> str:
+    """CRC-32 of a list of byte values."""
+    bit = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda a, b: {bit}), 4294967295::BIGINT)"
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_LOWERED = f"translate(text, '{D11.UPPER}', '{D11.LOWER}')"
+_DIGITS = "list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: ascii(c)::BIGINT)"
+#: Levels of a tree in the SQL form: enough for 16 ** 8 leaves.
+SQL_LEVELS = 8
+
+
+def _levels_sql(name: str, key: str) -> str:
+    """CTEs of all levels of the trees over ``{name}0 (key, i, m, d)``: runs of each level, and the level above."""
+    out = []
+    for k in range(SQL_LEVELS):
+        out.append(f"""
+{name}_run{k} AS (SELECT {key}, i // {D11.FAN} AS r, any_value(m) AS m, list(d ORDER BY i) AS ds FROM {name}{k} GROUP BY ALL),
+{name}{k + 1} AS (SELECT {key}, r AS i, (m + {D11.FAN - 1}) // {D11.FAN} AS m,
+                         CASE WHEN m > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d FROM {name}_run{k}),""")
+    return "".join(out)
+
+
+def _paths_sql(name: str, key: str, at: str, start: str) -> str:
+    """CTEs that take every document from level to level: the siblings' text and the folded hash grow."""
+    out, before = [], start
+    for k in range(SQL_LEVELS):
+        rest = f"r.ds[1:p.{at} % {D11.FAN}], r.ds[p.{at} % {D11.FAN} + 2:]"
+        left, right = rest.split(", ")
+        out.append(f"""
+{name}_path{k} AS (
+  SELECT p.* REPLACE (p.{at} // {D11.FAN} AS {at}, p.proof || array_to_string(list_concat({left}, {right}), '') AS proof,
+                      CASE WHEN r.m > 1 THEN sha256(array_to_string({left}, '') || p.folded || array_to_string({right}, '')) ELSE p.folded END AS folded)
+  FROM {before} p JOIN {name}_run{k} r ON r.{key} = p.{key} AND r.r = p.{at} // {D11.FAN}),""")
+        before = f"{name}_path{k}"
+    return "".join(out)
+
+
+SQL_11 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS s, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {_crc32_sql(_DIGITS)} % 5 = 0 THEN {_leaf_sql(_LOWERED)} ELSE {_leaf_sql("text")} END AS changed FROM documents),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                    count(*) OVER (PARTITION BY s) AS m, dense_rank() OVER (ORDER BY s) - 1 AS t FROM d),
+low0 AS (SELECT t, i, m, leaf AS d FROM numbered),
+{_levels_sql("low", "t")}
+high0 AS (SELECT 0 AS g, t AS i, count(*) OVER () AS m, d FROM low{SQL_LEVELS}),
+{_levels_sql("high", "g")}
+p0 AS (SELECT doc_id, leaf, 0 AS g, t, i, t AS ti, '' AS proof, changed AS folded FROM numbered),
+{_paths_sql("low", "t", "i", "p0")}
+{_paths_sql("high", "g", "ti", f"low_path{SQL_LEVELS - 1}")}
+done AS (SELECT p.doc_id, p.leaf, l.d AS subroot, h.d AS root, sha256(p.proof) AS proof_sha256, p.folded AS folded_root
+         FROM high_path{SQL_LEVELS - 1} p JOIN low{SQL_LEVELS} l ON l.t = p.t CROSS JOIN high{SQL_LEVELS} h)
+SELECT *, folded_root = root AS verified FROM done"""
+
+
+@register("op11_merkle_multiproof", SQL_11)
+def op11(spark, d):
+    return D11.report(table(spark, d, "documents"))
+
+
+_CODES = (f"flatten([list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':', ''), lambda c: ascii(c)::BIGINT), "
+          "flatten(list_transform(string_split(run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, (ord(c) - 64)::BIGINT] END))])")
+SQL_12 = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '{D12.WORD}')) AS run FROM documents) GROUP BY ALL),
+hashed AS MATERIALIZED (SELECT run, c, {_crc32_sql(_CODES)} AS h FROM runs),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n, length(word) AS len FROM (
+    SELECT CASE WHEN h % {D12.DAMAGE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= {D12.MIN_LENGTH} GROUP BY word HAVING sum(c) >= {D12.MIN_COUNT}),
+cut AS MATERIALIZED (SELECT word, n, len, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(len)) AS i FROM w)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN w b ON a.rest = b.word),
+best AS MATERIALIZED (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.other_n >= {D12.RATIO} * w.n THEN b.other END AS form,
+         CASE WHEN b.other_n >= {D12.RATIO} * w.n THEN b.other_n END AS form_n FROM w LEFT JOIN best b USING (word)),
+far AS (SELECT word, word AS at FROM formed UNION SELECT far.word, f.form FROM far JOIN formed f ON f.word = far.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, far.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM formed f JOIN far USING (word) JOIN formed e ON e.word = far.at AND e.form IS NULL"""
+
+
+@register("op12_spelling_variants", SQL_12)
+def op12(spark, d):
+    return D12.report(table(spark, d, "documents"))
+
+
+SQL_13 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^ 	-]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s FROM texts),
+sized AS MATERIALIZED (SELECT doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n FROM sets),
+items AS MATERIALIZED (SELECT doc_id, unnest(s) AS g FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sized x ON x.doc_id = a.doc_id JOIN sized y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= {D13.PERCENT} * (x.n + y.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM sized UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN least USING (doc_id)"""
+
+
+@register("op13_lsh_forest", SQL_13)
+def op13(spark, d):
+    return D13.report(table(spark, d, "documents"))
