@@ -179,9 +179,10 @@ def _ordered(classes: DataFrame) -> DataFrame:
                        *[F.col("v")[d - 1].alias(f"v{d}") for d in range(3, DEPTH + 1)], "cid", "n", "s0", "s1", "s2", "s3")
 
 
-def _keyed(rows: DataFrame, block: int) -> DataFrame:
+def _keyed(rows: DataFrame, block: int) -> tuple[DataFrame, bool]:
     """Rows with the ``key`` by which they are shuffled and the number of blocks (``side``) of that key: the prefix of two
-    minima, and for prefixes of more than a block of classes a longer one, which narrows the region, up to the full depth."""
+    minima, and for prefixes of more than a block of classes a longer one, which narrows the region, up to the full depth.
+    Also whether any key has several blocks."""
     rows = rows.withColumns({"key": F.col("k2"), "side": F.lit(1)})
     for d in range(3, DEPTH + 2):
         sizes = rows.filter("side = 1") if d == 3 else rows.filter("side = 0")
@@ -194,20 +195,23 @@ def _keyed(rows: DataFrame, block: int) -> DataFrame:
             rows = rows.withColumns({"key": F.when(hot, F.xxhash64("key", f"v{d}")).otherwise(F.col("key")),
                                      "side": F.when(hot, F.lit(0)).otherwise(F.lit(1))}).drop("size")
         else:
-            rows = rows.withColumn("side", F.ceil(F.col("size") / block).cast("int")).drop("size")
-    return rows.withColumn("side", F.coalesce(F.greatest("side", F.lit(1)), F.lit(1)))
+            return rows.withColumn("side", F.coalesce(F.ceil(F.col("size") / block), F.lit(1)).cast("int")).drop("size"), True
+    return rows, False
 
 
 def candidates(classes: DataFrame, block: int = BLOCK) -> DataFrame:
     """Candidate pairs (a, b) of all regions, of regions beyond ``REGION`` a spanning set."""
     deeper = [f"v{d}" for d in range(3, DEPTH + 1)]
-    rows = _keyed(_ordered(classes), block)
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("side")).cast("int"))
-    cells = F.transform(F.sequence(F.lit(0), F.col("side") - 1),
-                        lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
+    rows, grid = _keyed(_ordered(classes), block)
     rest = [*deeper, "cid", "n", "s0", "s1", "s2", "s3"]
-    rows = rows.select("key", F.explode(cells).alias("cell"), *rest)
-    rows = rows.select("key", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), *rest)
+    if grid:
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("side")).cast("int"))
+        cells = F.transform(F.sequence(F.lit(0), F.col("side") - 1),
+                            lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
+        rows = rows.select("key", F.explode(cells).alias("cell"), *rest)
+        rows = rows.select("key", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), *rest)
+    else:
+        rows = rows.select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), *rest)
     keys = ["key", "i", "j"]
 
     def search(batches):
