@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from recfold.session import ensure_checkpoint_dir, materialize
 
 __all__ = ["materialize", "scratch_path", "scan_parts", "text_pieces", "mix64", "window_min",
-           "ascii_lower", "held_out", "binary", "drop_columns", "join_counted"]
+           "ascii_lower", "held_out", "binary", "drop_columns", "join_counted",
+           "share", "release_shared"]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -40,6 +41,26 @@ def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in {n.lower() for n in names}])
 
 
+_SHARED: list = []
+
+
+def share(spark: SparkSession, value):
+    """A broadcast that ``release_shared`` takes back."""
+    _SHARED.append(spark.sparkContext.broadcast(value))
+    return _SHARED[-1]
+
+
+def release_shared() -> None:
+    """Drop all broadcasts of ``share`` from driver and executors. For callers that have written every result which uses
+    them, such as a pipeline between its stages."""
+    while _SHARED:
+        try:
+            _SHARED.pop().destroy()
+        except Exception as gone:  # noqa: BLE001  a broadcast of a session that has ended
+            if "stopped" not in str(gone).lower() and "closed" not in str(gone).lower():
+                raise
+
+
 def join_counted(left: DataFrame, right: DataFrame, keys: list[str], count: str, share: int = 1000) -> DataFrame:
     """Inner join of ``left`` with one row per key, whose ``count`` says how many rows of ``left`` have the key (the column
     is dropped). Keys with more than one in ``share`` of all rows are at most ``share`` many: they are broadcast, and only

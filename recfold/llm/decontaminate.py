@@ -12,7 +12,8 @@ excluded characters are ASCII, so the scan works on UTF-8 bytes.
 Defined results: a null or empty text has no words and is clean; a null item
 text has no windows; an item id that repeats counts once; windows of items
 with a null id mark words as hit but are not listed in ``items``; repeated
-document rows are answered row by row; extra columns pass through, those named
+document rows are answered row by row; texts of any length are read whole,
+long ones in overlapping pieces; extra columns pass through, those named
 like a result column are replaced; an empty benchmark leaves all clean.
 """
 
@@ -24,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recfold.llm.common import ascii_lower, materialize, mix64, text_pieces
+from recfold.llm.common import ascii_lower, materialize, mix64, share, text_pieces
 
 WINDOW = 10
-PIECE_BYTES = 4 << 20
+#: Text that is scanned at once; longer texts are scanned in overlapping pieces.
+PIECE_BYTES = 256 << 10
 #: A broadcast slice holds at most so many distinct windows and so many bytes of window text.
 SLICE_WINDOWS = 200_000
 SLICE_BYTES = 32 << 20
@@ -154,6 +156,33 @@ _FOUND = T.StructType([T.StructField("__n_words", T.LongType()), T.StructField("
                        T.StructField("__spans", T.ArrayType(T.LongType()))])
 
 
+def _scan_long(buf: np.ndarray, grams: _HashSet, powers: _Powers):
+    """Word count, hit words, items and byte spans of one text, read in pieces that end between words and begin with the
+    last words of the piece before, as many as a window has less one."""
+    overlap = max(grams.by_len, default=1) - 1
+    at, n_before, spans, items, n, size = 0, 0, {}, set(), 0, PIECE_BYTES
+    while at < len(buf):
+        stop = min(at + size, len(buf))
+        while stop < len(buf) and _WORD[ascii_lower(buf[stop - 1:stop])[0]]:
+            inside = _WORD[ascii_lower(buf[stop:stop + PIECE_BYTES])]
+            stop += int(np.argmin(inside)) + 1 if not inside.all() else len(inside)
+        low, s, e, row, h = tokenize(buf[at:stop], np.array([0, stop - at]), powers)
+        if len(s) <= overlap and stop < len(buf):  # a piece must go beyond the overlap
+            size *= 2
+            continue
+        for i, k, ids in grams.hits(low, s, e, row, h, powers):
+            for w in range(i, i + k):
+                spans[n_before + w] = (int(s[w]) + at, int(e[w]) + at)
+            items.update(x for x in ids if x is not None)
+        n = n_before + len(s)
+        if stop == len(buf):
+            break
+        n_before, size = n - overlap, PIECE_BYTES
+        at = at + int(s[len(s) - overlap]) if overlap else stop
+    words = sorted(spans)
+    return n, words, sorted(items), [v for w in words for v in spans[w]]
+
+
 def _scan(docs: DataFrame, text_col: str, hash_set) -> DataFrame:
     """Add hit word numbers, their byte spans and the matched items; merges
     with what an earlier slice found."""
@@ -168,6 +197,11 @@ def _scan(docs: DataFrame, text_col: str, hash_set) -> DataFrame:
             old = [batch.column(names.index(c)).to_pylist() if again else [None] * n for c in _FOUND.names]
             count, words, items, spans = [0] * n, [None] * n, [None] * n, [None] * n
             for first, off, buf in text_pieces(batch, text_col, PIECE_BYTES):
+                if len(buf) > PIECE_BYTES:  # one long text
+                    count[first], w, it, at = _scan_long(buf, grams, powers)
+                    if w:
+                        words[first], items[first], spans[first] = w, it, at
+                    continue
                 low, s, e, row, h = tokenize(buf, off, powers)
                 lo = np.searchsorted(row, np.arange(len(off)))
                 for r in range(len(off) - 1):
@@ -219,7 +253,7 @@ def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", n: int
     found = docs
     for k in range(slices):
         rows = windows.filter(part == k).collect()
-        found = _scan(found, text_col, spark.sparkContext.broadcast(_HashSet(rows)))
+        found = _scan(found, text_col, share(spark, _HashSet(rows)))
         if k < slices - 1:
             found = materialize(found, "hits")
     return found

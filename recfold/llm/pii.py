@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recfold.llm.common import drop_columns, materialize
+from recfold.llm.common import drop_columns, materialize, share
 
 KEY = b"surrogates-1"
 MOVED = 1_000_000
@@ -372,7 +372,7 @@ def settle(values: DataFrame, key: bytes = KEY, bound: int = MOVED) -> dict[tupl
     moved: dict[tuple[str, str], int] = {}
     spark = values.sparkSession
     while True:
-        shared = spark.sparkContext.broadcast(moved)
+        shared = share(spark, moved)
 
         def give(batches):
             for b in batches:
@@ -402,7 +402,7 @@ def settle(values: DataFrame, key: bytes = KEY, bound: int = MOVED) -> dict[tupl
 def replace_all(docs: DataFrame, key: bytes = KEY, text_col: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with surrogates in the text; ``count`` adds the number of entities."""
     values = materialize(entities(docs, text_col), "entities")
-    shared = docs.sparkSession.sparkContext.broadcast(settle(values, key))
+    shared = share(docs.sparkSession, settle(values, key))
     base = drop_columns(docs, [count] if count else [])
     schema = T.StructType([*base.schema, *([T.StructField(count, T.LongType())] if count else [])])
 

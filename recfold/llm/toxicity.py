@@ -10,9 +10,11 @@ window of the landmark's length (``youareanidiot``) as a word of its own.
 
 Training. At most ``TRAIN_ROWS`` labelled documents outside the held-out fold
 (those with the smallest hash of their id) are written once to the shared
-folder. Words are ranked by how much more often toxic documents hold them;
-the best become landmarks unless they are too like one already chosen. A
-sentence is the vector of its words' best kernel value with each landmark,
+folder, one row per id. Landmarks are words that toxic documents hold more often than
+chance explains (exact binomial tail times the number of words looked at). They
+are chosen one by one, each by the documents that hold no earlier one, so
+words that merely stand beside insults or in copies of one toxic text are not
+chosen; a word too like an earlier one only counts its documents as held. A sentence is the vector of its words' best kernel value with each landmark,
 mapped by the inverse root of the landmarks' kernel matrix (Nystroem). A
 linear support vector machine (squared hinge, Newton) learns on sentences:
 all kept sentences of clean documents against, for each toxic one, its
@@ -41,18 +43,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recfold.llm.common import drop_columns, held_out, materialize
+from recfold.llm.common import drop_columns, held_out, materialize, share
 
 #: Bounds of the training sample: documents, sentences kept of each, words looked at, landmarks.
 TRAIN_ROWS, SENTENCES, CANDIDATES, LANDMARKS = 20_000, 12, 2_000, 64
 #: The kernel: weight per spanned letter, longest span, least value that counts.
-DECAY, SPAN, FLOOR = 0.7, 7, 0.45
+DECAY, SPAN, FLOOR = 0.7, 7, 0.40
 #: Landmarks are less alike than this.
 APART = 0.75
 #: Words for each sentence of a text's share.
 WORDS = 15
 LONGEST = 64
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+#: A word is a landmark only if chance gives fewer than so many such words among all words of the sample.
+BY_CHANCE = 0.01
+#: Words without a value that a task remembers.
+REMEMBERED = 200_000
 #: Words and windows whose kernel values are taken at once.
 KERNEL_WORDS = 16_384
 _TRIM = ".,;:!?\"'()[]|&%$#*"
@@ -92,6 +98,7 @@ class Landmarks:
 
     def __init__(self, words: list[str]):
         self.words = words
+        self.blank: set[str] = set()  # words known to have no value
         self.size = np.array([len(w) for w in words])
         vectors = _weights(words)
         self.norm = np.array([sum(v * v for v in d.values()) for d in vectors])
@@ -313,7 +320,11 @@ def sentence_vectors(texts: pa.Array, marks: Landmarks):
     m = len(marks.words)
     if not words:
         return np.zeros(0, np.int64), np.zeros((0, m)), n_words
-    w, l, v = marks.within(words)
+    new = [i for i, x in enumerate(words) if x not in marks.blank]
+    w, l, v = marks.within([words[i] for i in new])
+    w = np.array(new, np.int64)[w]
+    if len(marks.blank) < REMEMBERED:
+        marks.blank.update(words[i] for i in np.setdiff1d(new, w).tolist())
     rich = np.zeros(len(words), bool)
     rich[w] = True
     at = np.flatnonzero(rich[code])
@@ -332,14 +343,14 @@ def sentence_vectors(texts: pa.Array, marks: Landmarks):
 # --------------------------------------------------------------------------
 
 def training_sample(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents outside the fold.
+    """(text, toxic) of at most ``rows`` labelled documents outside the fold;
+    of rows with the same id the one with the smallest text hash.
     The chosen ids are at most ``rows`` and are broadcast; texts are not shuffled."""
     spark = docs.sparkSession
     seen = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id", folds, fold))
     seen = seen.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     some = seen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
-    known = spark.sparkContext.broadcast(
-        (np.array([r["doc_id"] for r in some], np.int64), np.array([r["toxic"] for r in some], np.int32)))
+    known = share(spark, (np.array([r["doc_id"] for r in some], np.int64), np.array([r["toxic"] for r in some], np.int32)))
 
     def pick(batches):
         ids, toxic = known.value
@@ -349,10 +360,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: in
             mine = pc.fill_null(b.column(0), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             at = np.minimum(np.searchsorted(ids, mine), max(len(ids) - 1, 0))
             hit = (ids[at] == mine) & b.column(0).is_valid().to_numpy(zero_copy_only=False) if len(ids) else np.zeros(len(mine), bool)
-            yield pa.RecordBatch.from_arrays([b.column(1).filter(pa.array(hit)), pa.array(toxic[at[hit]], pa.int32())],
-                                             names=["text", "toxic"])
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(hit)), b.column(1).filter(pa.array(hit)),
+                                              pa.array(toxic[at[hit]], pa.int32())], names=["doc_id", "text", "toxic"])
 
-    return materialize(docs.select("doc_id", "text").mapInArrow(pick, "text string, toxic int"), "toxicity-sample")
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+        pick, "doc_id long, text string, toxic int")
+    one = picked.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
+    return materialize(one.select("text", "toxic"), "toxicity-sample")
 
 
 def choose_landmarks(sample: DataFrame, n: int = LANDMARKS, candidates: int = CANDIDATES) -> Landmarks | None:
@@ -374,24 +388,72 @@ def choose_landmarks(sample: DataFrame, n: int = LANDMARKS, candidates: int = CA
     if not 0 < size["hot"] < size["n"]:
         return None
     share = size["hot"] / size["n"]
-    counts = sample.mapInArrow(distinct, "word string, hot long, n long").groupBy("word").agg(
-        F.sum("hot").alias("hot"), F.sum("n").alias("n"))
+    counts = materialize(sample.mapInArrow(distinct, "word string, hot long, n long").groupBy("word").agg(
+        F.sum("hot").alias("hot"), F.sum("n").alias("n")), "toxicity-words")
     # how far the toxic documents among those with the word exceed their share, in standard deviations
     z = (F.col("hot") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    rows = counts.filter("hot >= 3").withColumn("z", z).orderBy(F.desc("z"), "word").limit(candidates).collect()
+    rows = counts.filter("hot >= 3").withColumn("z", z).filter("z > 0").orderBy(F.desc("z"), "word").limit(candidates).collect()
+    words, tests = [r["word"] for r in rows], counts.count()
+    if not words:
+        return None
+    toxic, held = _holders(sample, words)
     chosen: list[str] = []
     vectors: list[tuple[dict, float]] = []
-    for r in rows:
-        d = _weights([r["word"]])[0]
-        own = sum(v * v for v in d.values())
-        if r["z"] < 3 or len(chosen) == n:
+    free = np.ones(len(toxic), bool)
+    log_fact = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, len(toxic) + 1)))))
+    while len(chosen) < n:
+        doc, word = held[0][free[held[0]]], held[1][free[held[0]]]
+        share = toxic[free].mean() if free.any() else 0.0
+        if not 0 < share < 1:
+            share = min(max(share, 1 / (free.sum() + 2)), 1 - 1 / (free.sum() + 2))
+        all_ = np.bincount(word, minlength=len(words))
+        hot = np.bincount(word[toxic[doc] == 1], minlength=len(words))
+        z = np.where(hot >= 3, (hot - all_ * share) / np.sqrt(np.maximum(all_, 1) * share * (1 - share)), 0.0)
+        some = np.argsort(-z, kind="stable")[:50]  # the least tail is among the greatest deviations
+        tails = {int(i): _tail(int(hot[i]), int(all_[i]), share, log_fact) if z[i] > 0 else 1.0 for i in some}
+        best = min(tails, key=lambda i: (tails[i], i))
+        if tails[best] * tests > BY_CHANCE:
             break
+        d = _weights([words[best]])[0]
+        own = sum(v * v for v in d.values())
         if all(sum(v * b.get(g, 0.0) for g, v in d.items()) / math.sqrt(own * bn) < APART for b, bn in vectors):
-            chosen.append(r["word"])
+            chosen.append(words[best])
             vectors.append((d, own))
+        free[held[0][held[1] == best]] = False
     return Landmarks(chosen) if chosen else None
 
 
+def _holders(sample: DataFrame, words: list[str]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Label of every sampled document, and the pairs (document, candidate word) of the candidates it holds."""
+    shared = share(sample.sparkSession, {w: i for i, w in enumerate(words)})
+
+    def find(batches):
+        number = shared.value
+        for b in batches:
+            toxic = b.column(1).to_numpy(zero_copy_only=False)
+            for first, col in _pieces(b, "text"):
+                known, code, row, _, _ = _tokens(col)
+                at = np.array([number.get(w, -1) for w in known], np.int64)
+                mine = [[] for _ in range(len(col))]
+                if len(known):
+                    hit = at[code] >= 0
+                    for r, w in set(zip(row[hit].tolist(), at[code[hit]].tolist())):
+                        mine[r].append(w)
+                yield pa.RecordBatch.from_arrays([pa.array(toxic[first:first + len(col)], pa.int32()), pa.array(mine, pa.list_(pa.int32()))],
+                                                 names=["toxic", "words"])
+
+    got = sample.mapInArrow(find, "toxic int, words array<int>").toArrow()
+    lists = got.column("words").combine_chunks()
+    return got.column("toxic").to_numpy(), (pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64),
+                                            lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _tail(hot: int, n: int, share: float, log_fact: np.ndarray) -> float:
+    """Probability of at least ``hot`` toxic documents among ``n``."""
+    k = np.arange(hot, n + 1)
+    return float(np.exp(log_fact[n] - log_fact[k] - log_fact[n - k] + k * math.log(share) + (n - k) * math.log(1 - share)).sum())
+
+
 def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Linear squared-hinge machine by Newton steps; the last weight is the bias."""
     x = np.concatenate((x, np.ones((len(x), 1))), 1)
@@ -453,7 +515,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, rows:
     marks = choose_landmarks(sample)
     if marks is None:
         return None
-    shared = sample.sparkSession.sparkContext.broadcast(marks)
+    shared = share(sample.sparkSession, marks)
 
     def vectors(batches):
         for b in batches:
@@ -503,7 +565,7 @@ def score_texts(docs: DataFrame, model: Model | None, text_col: str = "text", ou
     """``docs`` with a score column (one of that name is replaced)."""
     base = drop_columns(docs, [out])
     schema = T.StructType([*base.schema, T.StructField(out, T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def work(batches):
         for b in batches:

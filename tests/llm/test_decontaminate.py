@@ -67,3 +67,20 @@ def test_empty(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     left = D.report(docs, items.limit(0)).collect()
     assert len(left) == len(DOCS) and not any(r["contaminated"] for r in left)
+
+
+@pytest.mark.parametrize("piece", [16, 50, 300])
+def test_long_texts_in_pieces(monkeypatch, piece):
+    import numpy as np
+    rows = [{"len": k, "gram": g, "items": [i]} for k, g, i in (
+        (10, "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10", "7"), (2, "short item", "8"), (1, "one", None), (10, "x x x x x x x x x x", "9"))]
+    grams = D._HashSet(rows)
+    rng = np.random.default_rng(piece)
+    for _ in range(20):
+        parts = rng.choice(["a1 a2 a3 a4 a5 a6 a7 a8 a9 a10", "short, item", "ONE", "x x x x x x x", "zz" * 40, "... é ", "b c d"], 60)
+        buf = np.frombuffer((" ".join(parts) + rng.choice(["", " ", "w" * 400])).encode(), np.uint8)
+        monkeypatch.setattr(D, "PIECE_BYTES", 1 << 20)
+        whole = D._scan_long(buf, grams, D._Powers())
+        monkeypatch.setattr(D, "PIECE_BYTES", piece)
+        assert D._scan_long(buf, grams, D._Powers()) == whole and whole[1]
+        assert whole[0] == len(words(buf.tobytes().decode()))

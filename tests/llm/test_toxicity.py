@@ -124,3 +124,27 @@ def test_runs_of_single_letters_are_read_to_their_end():
         for text in (" ".join("ba" * before + "dimwit"), " ".join("ba" * before) + ". " + " ".join("dimwit") + " x y"):
             row, x, _ = X.sentence_vectors(pa.array([text, "po"]), marks)
             assert row.tolist() and set(row) == {0} and x.max() == pytest.approx(1.0)
+
+
+def test_landmarks_are_insults_not_their_neighbours(spark):
+    """Words of a toxic text that many copies hold, and words frequent by chance, are no landmarks."""
+    docs, labels = corpus()
+    copy = "zuraba " + "kolimo pentari vosgeha " * 4 + "dimwit numskull."
+    docs = docs + [(2000 + i, copy.replace("pentari", f"pen{i}tari")) for i in range(60)]
+    labels = labels + [(2000 + i, 0, 1) for i in range(60)]
+    sample = X.training_sample(spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    marks = X.choose_landmarks(sample)
+    assert set(INSULTS) & set(marks.words) and len(set(marks.words) - set(INSULTS)) <= 1
+
+
+def test_sample_takes_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, None), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 0, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    assert X.training_sample(docs, labels, folds=10 ** 6).count() == 3
+
+
+def test_letter_gaps_score_by_the_kernel():
+    marks = X.Landmarks(["idiot", "stupid"])
+    row, x, _ = X.sentence_vectors(pa.array(["you idi0t", "an idxiot", "the idxixot", "stuxpid"]), marks)
+    assert row.tolist() == [0, 1, 2, 3] and x.max(axis=1).min() >= X.FLOOR
