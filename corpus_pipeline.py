@@ -2,7 +2,9 @@
 benchmark decontamination, personal data, mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on all
-that the stage before has kept. All but the last return the columns of
+that the stage before has kept. Null and empty texts, texts of any length and
+repeated rows go through as the operators define; an empty table gives an
+empty result; extra columns of ``documents`` pass through to the last stage. All but the last return the columns of
 ``documents``; the last returns one row per document and epoch taken.
 """
 
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recfold.llm import decontaminate, mixing, pii, simhash, toxicity
-from recfold.llm.common import materialize
+from recfold.llm.common import materialize, release_shared
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,4 +64,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialize(docs, f"stage-{name}")
+            release_shared()  # the stage's models and sets are no longer needed
     return docs
