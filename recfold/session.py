@@ -68,4 +68,17 @@ def materialize(df, label: str = "table"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(table) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more (rounds of a training). Other frames are
+    left alone."""
+    path = getattr(table, "scratch_path", None)
+    if path is None:
+        return
+    spark = table.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
