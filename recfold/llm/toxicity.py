@@ -149,19 +149,6 @@ class Landmarks:
         keep = value >= FLOOR
         return w[keep], l[keep], np.minimum(value[keep], 1.0)
 
-    def possible(self, words: list[str], n: int) -> np.ndarray:
-        """Which words can hold a window that reaches FLOOR with a landmark of ``n`` letters: by Cauchy and
-        Schwarz a value is at most the share of the landmark's norm in subsequences of letters of the word."""
-        cls = self.place[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        has = np.zeros((len(words), self.base), bool)
-        has[np.repeat(np.arange(len(words)), size), cls] = True
-        out = np.zeros(len(words), bool)
-        for l in np.flatnonzero(self.size == n):
-            letters, enough = self.bounds[l]
-            out |= enough[has[:, letters] @ (1 << np.arange(len(letters)))]
-        return out
-
     def _bound(self, word: str, vector: dict[str, float]):
         """The word's letters and, for every set of them, whether it reaches FLOOR."""
         letters = sorted(set(word))[:16]  # a rarer letter counts as present
@@ -179,21 +166,32 @@ class Landmarks:
         a window with landmarks of its length only, as (word, landmark, value)."""
         m, known = len(self.words), []
         window, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        cls = self.place[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        word_of, first = np.repeat(np.arange(len(words)), length), np.cumsum(length) - length
         for n in sorted(set(self.size.tolist())):
+            count = len(cls) - n + 1
+            if count <= 0:
+                continue
+            inside = np.flatnonzero((word_of[:count] == word_of[n - 1:]) & (length[word_of[:count]] > n))
+            # by Cauchy and Schwarz a value is at most the share of the landmark's norm in subsequences of the window's letters
+            can = np.zeros(len(inside), bool)
+            for l in np.flatnonzero(self.size == n):
+                letters, enough = self.bounds[l]
+                bit = np.zeros(self.base, np.int32)
+                bit[letters] = 1 << np.arange(len(letters))
+                bit = bit[cls]
+                has = bit[:count].copy()
+                for k in range(1, n):
+                    has |= bit[k:count + k]
+                can |= enough[has[inside]]
+            start = inside[can]
+            mine = word_of[start]
             place: dict[str, int] = {}
-            number, mine = [], []
-            longer = [i for i, x in enumerate(words) if len(x) > n]
-            for i in np.array(longer, np.int64)[self.possible([words[i] for i in longer], n)].tolist():
-                x = words[i]
-                number += [place.setdefault(x[a:a + n], len(place)) for a in range(len(x) - n + 1)]
-                mine += [i] * (len(x) - n + 1)
-            # only windows that can reach the floor
-            can = self.possible(list(place), n)
-            number, mine = np.array(number, np.int64), np.array(mine, np.int64)
-            held = can[number]
-            window.append((np.cumsum(can) - 1)[number[held]] + len(known))
-            owner.append(mine[held])
-            known += [x for x, c in zip(place, can) if c]
+            number = [place.setdefault(words[i][a:a + n], len(place)) for i, a in zip(mine.tolist(), (start - first[mine]).tolist())]
+            window.append(np.array(number, np.int64) + len(known))
+            owner.append(mine)
+            known += place
         window, owner = np.concatenate(window), np.concatenate(owner)
         keys, values = [np.zeros(0, np.int64)], [np.zeros(0)]
         for x in range(0, len(words), KERNEL_WORDS):
