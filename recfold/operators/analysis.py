@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from recfold.functions.portable import exact_avg, portable_hash
 from recfold.operators.graph import position_within
 from recfold.operators.stats import equal_width_histogram, exact_quantiles
+from recfold.session import materialize
 
 HIT = 3.5
 HIT_NOTEBOOK = 4.0
@@ -155,7 +156,7 @@ def frequency_histogram(recs: DataFrame, bins: int = 50) -> DataFrame:
 def popularity_histograms(recs: DataFrame, train: DataFrame, bins: int = 40) -> DataFrame:
     """Equal-width histograms of log1p(train count), over catalogue items
     and over recommended items (with repeats), in one table by ``series``."""
-    cat, rec = _log_popularity(recs, train)
+    cat, rec = (materialize(x, "log-popularity") for x in _log_popularity(recs, train))
     return equal_width_histogram(cat, "v", bins).withColumn("series", F.lit("catalogue")).unionByName(
         equal_width_histogram(rec, "v", bins).withColumn("series", F.lit("recommended")))
 
@@ -199,7 +200,7 @@ def _log_popularity(recs: DataFrame, train: DataFrame) -> tuple[DataFrame, DataF
 def popularity_compare(recs: DataFrame, train: DataFrame) -> DataFrame:
     """Median log1p(train count) over catalogue items vs over recommended
     items (with repeats; an item without train ratings counts 0)."""
-    cat, rec = _log_popularity(recs, train)
+    cat, rec = (materialize(x, "log-popularity") for x in _log_popularity(recs, train))
     a = exact_quantiles(cat, "v", [0.5]).select("p50").scalar()
     b = exact_quantiles(rec, "v", [0.5]).select("p50").scalar()
     return train.sparkSession.range(1).select(a.alias("median_log_pop_catalogue"),

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recfold.functions.portable import clip, sql_round
+from recfold.functions.portable import clip, portable_hash, sql_round
+from recfold.operators.models import predict_long
+from recfold.session import discard, materialize
 
 
 def normalise_weights(weights: DataFrame | None, models: list[str] | None = None) -> DataFrame:
@@ -121,48 +123,97 @@ def simplex_least_squares(G: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def fit_weights(preds: DataFrame, truth: DataFrame, models: list[str],
-                metric: str = "rmse", steps: int = 200) -> DataFrame:
+                metric: str = "rmse", gap: float = 1e-9, steps: int = 200) -> DataFrame:
     """E4 (rmse: exact simplex least squares from one Gram pass) and E5 (mae:
-    projected subgradient, one aggregate pass per step over the cached wide
-    predictions; the best iterate is kept and the search ends when 20 steps
-    bring no gain). Both use the pairs that every model scored. Returns (model,
-    weight)."""
+    cutting planes, see ``least_mae``). Both use the pairs that every model
+    scored. Returns (model, weight)."""
     spark = preds.sparkSession
     if metric == "rmse":
         row = gram(preds, truth, models).first().asDict()
         G, h, _, _ = _gram_arrays(row, models)
         w = simplex_least_squares(G, h)
     elif metric == "mae":
-        data = wide(preds, models).join(
-            truth.select("user_id", "movie_id", F.col("rating").cast("double").alias("y")),
-            ["user_id", "movie_id"]).dropna(subset=[f"pred_{m}" for m in models]).cache()
-        w = best = np.full(len(models), 1.0 / len(models))
-        least, since = np.inf, 0
-        for t in range(steps):
-            pred = sum(F.lit(float(w[i])) * F.col(f"pred_{m}") for i, m in enumerate(models))
-            sgn = F.signum(pred - F.col("y"))
-            g = data.agg(F.avg(F.abs(pred - F.col("y"))), *[F.avg(sgn * F.col(f"pred_{m}")) for m in models]).first()
-            if g[0] is None:
-                break
-            if g[0] < least - 1e-9:
-                least, best, since = g[0], w, 0
-            elif (since := since + 1) >= 20:
-                break
-            w = _project_simplex(w - (0.05 / np.sqrt(t + 1)) * np.array(g[1:]))
-        data.unpersist()
-        w = best
+        w = least_mae(preds, truth, models, gap, steps)[0]
     else:
         raise ValueError(f"unknown metric {metric}")
     return spark.createDataFrame([(m, float(x)) for m, x in zip(models, w)],
                                  "model string, weight double")
 
 
-def _project_simplex(v: np.ndarray) -> np.ndarray:
-    u = np.sort(v)[::-1]
-    css = np.cumsum(u)
-    rho = np.nonzero(u * np.arange(1, len(v) + 1) > (css - 1))[0][-1]
-    theta = (css[rho] - 1) / (rho + 1.0)
-    return np.maximum(v - theta, 0.0)
+def least_mae(preds: DataFrame, truth: DataFrame, models: list[str], gap: float = 1e-9,
+              steps: int = 200) -> tuple[np.ndarray, float | None, float | None]:
+    """E5: weights on the simplex with the least mean absolute error, that
+    error, and a proven lower bound of it.
+
+    The error is convex and piecewise linear in the weights: its value and a
+    subgradient at a point are a plane that lies nowhere above it. A round
+    evaluates two points in one aggregate over the written wide table: the
+    minimum of the highest planes so far, whose value bounds the optimum from
+    below, and the middle between it and the best point. The search ends when
+    the best error is within ``gap`` of the bound, or after ``steps`` rounds
+    (the bound then tells how far it is). The driver holds one row per plane.
+    Without a common pair the weights are equal and the errors None.
+    """
+    data = wide(preds, models).join(
+        truth.select("user_id", "movie_id", F.col("rating").cast("double").alias("y")),
+        ["user_id", "movie_id"]).dropna(subset=[f"pred_{m}" for m in models])
+    data = materialize(data, "mae-rows")
+    count = len(models)
+    best, least, bound, planes = np.full(count, 1.0 / count), np.inf, -np.inf, []
+    points = [best, *np.eye(count)]
+    for _ in range(steps):
+        aggs = []
+        for w in points:
+            miss = sum(F.lit(float(x)) * F.col(f"pred_{m}") for x, m in zip(w, models)) - F.col("y")
+            aggs += [F.avg(F.abs(miss)), *[F.avg(F.signum(miss) * F.col(f"pred_{m}")) for m in models]]
+        row = data.agg(*aggs).first()
+        if row[0] is None:
+            least = bound = None
+            break
+        for i, w in enumerate(points):
+            value, *slope = row[i * (count + 1):(i + 1) * (count + 1)]
+            if value < least:
+                best, least = w, value
+            planes.append(np.array(slope) + (value - np.dot(slope, w)))
+        low, value = _lowest_of_planes(np.array(planes))
+        bound = max(bound, value)
+        if least - bound <= gap:
+            break
+        points = [low, (low + best) / 2]
+    discard(data)
+    return best, least, bound
+
+
+def _lowest_of_planes(planes: np.ndarray) -> tuple[np.ndarray, float]:
+    """min over the simplex of max(planes @ w), one row per plane: a matrix
+    game, solved as a linear programme by the simplex method with smallest-index
+    pivots (a few dozen rows, one column per model)."""
+    shift = 1.0 - planes.min()
+    rows, cols = planes.shape
+    table = np.zeros((rows + 1, cols + rows + 1))  # max sum(y) with (planes + shift) y <= 1
+    table[:rows, :cols] = planes + shift
+    table[:rows, cols:-1] = np.eye(rows)
+    table[:rows, -1] = 1.0
+    table[rows, :cols] = -1.0
+    basis = list(range(cols, cols + rows))
+    while (falling := np.nonzero(table[rows, :-1] < -1e-12)[0]).size:
+        enter = falling[0]
+        up = np.nonzero(table[:rows, enter] > 1e-12)[0]
+        ratio = table[up, -1] / table[up, enter]
+        leave = min(up[ratio <= ratio.min() + 1e-15], key=lambda i: basis[i])
+        table[leave] /= table[leave, enter]
+        for i in range(rows + 1):
+            if i != leave:
+                table[i] -= table[i, enter] * table[leave]
+        basis[leave] = enter
+    y = np.zeros(cols)
+    for i, j in enumerate(basis):
+        if j < cols:
+            y[j] = table[i, -1]
+    w = np.maximum(y, 0.0) / np.maximum(y, 0.0).sum()
+    # the dual prices mix the planes; the mix's least corner bounds the programme whatever the rounding
+    price = np.maximum(table[rows, cols:-1], 0.0)
+    return w, float(((price / price.sum()) @ planes).min())
 
 
 def rmse_of_weight_sets(g: DataFrame, models: list[str], sets: DataFrame) -> DataFrame:
@@ -232,6 +283,34 @@ def meta_features(preds: DataFrame, stats_from: DataFrame, pairs: DataFrame,
                     F.coalesce("n_item_ratings", F.lit(0)).cast("bigint").alias("n_item_ratings"))
 
 
+def out_of_fold_features(rows: DataFrame, fits: dict, folds: int = 5, seed: int = 42) -> DataFrame:
+    """The meta features of every row of ``rows`` (user_id, movie_id,
+    rating), in which neither a base model nor an average has seen the row.
+
+    Rows are dealt into folds by a hash of the pair. For each fold the base
+    models (``fits``: name -> function from ratings to a rating model) and the
+    user and item averages come from the other folds; the fold's features are
+    written before the next fold starts, so a plan holds one fold. A user or
+    item that only the fold itself holds counts as unknown. Returns the
+    columns of ``meta_features`` and ``fold``."""
+    if folds < 2:
+        raise ValueError("out-of-fold features need at least two folds")
+    names = list(fits)
+    fold = (portable_hash("user_id", "movie_id", seed) % F.lit(folds)).cast("int")
+    dealt = materialize(rows.select("user_id", "movie_id", "rating", fold.alias("fold")), "folds")
+    out = None
+    for f in range(folds):
+        others = dealt.where(F.col("fold") != f).drop("fold")
+        held = dealt.where(F.col("fold") == f).drop("fold")
+        models = [fit(others) for fit in fits.values()]
+        for model, name in zip(models, names):
+            model.name = name
+        feats = meta_features(predict_long(models, held), others, held, names)
+        feats = materialize(feats.withColumn("fold", F.lit(f)), f"fold-{f}")
+        out = feats if out is None else out.unionByName(feats)
+    return out
+
+
 def _features(models: list[str]) -> list[str]:
     return [f"pred_{m}" for m in models] + ["user_avg", "n_user_ratings", "item_avg", "n_item_ratings"]
 
@@ -240,8 +319,9 @@ def fit_stack(feats: DataFrame, truth: DataFrame, models: list[str], kind: str =
               alpha: float = 1.0, max_iter: int = 300, seed: int = 42):
     """Meta-learner on meta features joined to the truth.
     gbt: GBTRegressor(maxIter, stepSize .05, maxDepth 6, subsamplingRate .8,
-    featureSubsetStrategy 0.8); ridge: LinearRegression(regParam alpha/n,
-    elasticNetParam 0, standardization off); linear: no penalty."""
+    featureSubsetStrategy 0.8); ridge: LinearRegression(regParam
+    alpha std(label) / n, elasticNetParam 0, standardization off), the solution of
+    (X'X + alpha I) w = X'y on centred columns; linear: no penalty."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, LinearRegression
     data = feats.join(truth.select("user_id", "movie_id", F.col("rating").cast("double").alias("label")),
@@ -256,8 +336,9 @@ def fit_stack(feats: DataFrame, truth: DataFrame, models: list[str], kind: str =
         est = GBTRegressor(maxIter=max_iter, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
                            featureSubsetStrategy="0.8", seed=seed, checkpointInterval=10)
     elif kind in ("ridge", "linear"):
-        n = d.count()
-        est = LinearRegression(regParam=(alpha / n) if kind == "ridge" else 0.0,
+        # MLlib divides the label by its standard deviation before it adds the penalty
+        n, std = d.agg(F.count(F.lit(1)), F.stddev_pop("label")).first()
+        est = LinearRegression(regParam=alpha * (std or 0.0) / max(n, 1) if kind == "ridge" else 0.0,
                                elasticNetParam=0.0, standardization=False)
     else:
         raise ValueError(kind)

@@ -74,11 +74,11 @@ def _label(pos: Column, te: Column, ve: Column) -> Column:
 
 
 def _exact_global_cut(df: DataFrame, key: Column, order_cols: list[Column],
-                      user: str | None, te_frac: float, ve_frac: float) -> DataFrame:
-    """Label rows by global position in (key, [user,] *order_cols) order with
+                      sub: str, te_frac: float, ve_frac: float) -> DataFrame:
+    """Label rows by global position in (key, sub, *order_cols) order with
     cut points floor(n*te_frac) and floor(n*ve_frac), without a global window.
-    ``user`` adds a level inside the cut keys for keys that can be hot (a date
-    holding a third of all rows); uniform hash buckets need none."""
+    ``sub`` is the level inside the cut keys, which can be hot (a date holding
+    a third of all rows): the user for dates, the hash value for hash buckets."""
     base = df.withColumn("_k", key)
     counts = base.groupBy("_k").agg(F.count(F.lit(1)).alias("_c"))
     # The key table is small by construction (calendar days or 2^15 hash
@@ -99,22 +99,17 @@ def _exact_global_cut(df: DataFrame, key: Column, order_cols: list[Column],
     rows = base.join(F.broadcast(counts), "_k")
     whole = rows.where(F.col("_whole").isNotNull()).withColumn("split", F.col("_whole"))
     cut = rows.where(F.col("_whole").isNull())
-    if user is None:
-        rn = F.row_number().over(Window.partitionBy("_k").orderBy(*order_cols))
-        pos = F.col("_s") + rn - 1
-        cut = cut.withColumn("split", _label(pos, F.col("_te"), F.col("_ve")))
-    else:
-        # Inside the (at most two) keys a cut falls in: offsets per (key,
-        # user), then a row_number inside (key, user), bounded by the catalogue.
-        per_user = cut.groupBy("_k", user).agg(F.count(F.lit(1)).alias("_cu"))
-        per_user = per_user.withColumn(
-            "_su", F.coalesce(F.sum("_cu").over(Window.partitionBy("_k").orderBy(user)
-                                                .rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)))
-        cut = cut.join(per_user.select("_k", user, "_su"), ["_k", user])
-        rn = F.row_number().over(Window.partitionBy("_k", user).orderBy(*order_cols))
-        pos = F.col("_s") + F.col("_su") + rn - 1
-        cut = cut.withColumn("split", _label(pos, F.col("_te"), F.col("_ve")))
+    # Inside the (at most two) keys a cut falls in: offsets per (key, sub),
+    # then a row_number inside (key, sub), bounded by the catalogue or by ties.
+    per_sub = cut.groupBy("_k", sub).agg(F.count(F.lit(1)).alias("_cu"))
+    per_sub = per_sub.withColumn(
+        "_su", F.coalesce(F.sum("_cu").over(Window.partitionBy("_k").orderBy(sub)
+                                            .rowsBetween(Window.unboundedPreceding, -1)),
+                          F.lit(0)))
+    cut = cut.join(per_sub.select("_k", sub, "_su"), ["_k", sub])
+    rn = F.row_number().over(Window.partitionBy("_k", sub).orderBy(*order_cols))
+    pos = F.col("_s") + F.col("_su") + rn - 1
+    cut = cut.withColumn("split", _label(pos, F.col("_te"), F.col("_ve")))
     cols = df.columns + ["split"]
     return whole.select(cols).unionByName(cut.select(cols))
 
@@ -124,7 +119,7 @@ def split_temporal_global(df: DataFrame, val_frac: float = 0.1,
     """All rows by date (ties: user, movie); cut at ``int(n*(1-v-t))`` and
     ``int(n*(1-t))``. Without a date column, or if every date is null, it
     falls back to W4."""
-    if "date" not in df.columns or df.agg(F.count("date")).first()[0] == 0:
+    if "date" not in df.columns or df.where(F.col("date").isNotNull()).isEmpty():
         return split_random_per_user(df, val_frac, test_frac, seed)
     u = _user_col(df)
     i = _item_col(df, u)
@@ -137,15 +132,16 @@ def split_temporal_global(df: DataFrame, val_frac: float = 0.1,
 def split_random_global(df: DataFrame, train_ratio: float = 0.7, val_ratio: float = 0.1,
                         test_ratio: float = 0.2, seed: int = 42) -> DataFrame:
     """Seeded permutation with exact sizes ``int(n*tr)``, ``int(n*(tr+vr))``.
-    The permutation is the portable hash order (ties: user, movie); the hash
-    is uniform, so its 2^15 buckets are evenly filled."""
+    The permutation is the portable hash order (ties: user, movie). Rows are
+    counted in 2^15 hash buckets; in the at most two buckets that a cut falls
+    into, rows are counted per hash value and ranked only inside one value."""
     validate_ratios(train_ratio, val_ratio, test_ratio)
     u = _user_col(df)
     i = _item_col(df, u)
     h = portable_hash(u, i, seed)
     bucket = F.shiftright(h, _HASH_BUCKET_SHIFT)
     df2 = df.withColumn("_h", h)
-    out = _exact_global_cut(df2, bucket, [F.col("_h"), F.col(u), F.col(i)], None,
+    out = _exact_global_cut(df2, bucket, [F.col(u), F.col(i)], "_h",
                             float(train_ratio), float(train_ratio) + float(val_ratio))
     return out.drop("_h")
 

@@ -1,18 +1,22 @@
 """Aggregations and statistics.
 
-Quantiles are exact but computed over a value histogram (value -> count),
-never by collecting a column into one buffer: every column they are used on
-(ratings, ratings per user, ratings per movie) has a small set of distinct
-values. Curves over users (Lorenz, top-share) are likewise computed on the
-table of equal counts, which is bounded by the largest count.
+Quantiles are exact order statistics of columns with any number of distinct
+values: each round narrows the range around a wanted rank by an approximate
+quantile and counts what lies below it, so neither a sort, nor a window, nor a
+buffer of the column is needed. Curves over users (Lorenz, top-share) are
+computed on the table of equal counts, which is bounded by the largest count.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recfold.functions.portable import require_columns
+from recfold.session import materialize
 
 
 def entity_stats(df: DataFrame, col: str = "user_id") -> DataFrame:
@@ -40,33 +44,72 @@ def rating_distribution(df: DataFrame) -> DataFrame:
         .withColumn("pct", F.col("n") / total * 100.0)
 
 
-def value_histogram(df: DataFrame, col: str) -> DataFrame:
-    """(v, m): how many rows hold each value; the base of exact quantiles."""
-    return df.groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("m"))
+#: Accuracy of the approximate quantiles that narrow a range (rank error 1 / accuracy of its rows).
+ACCURACY = 2000
+
+
+def order_statistics(df: DataFrame, col: str, ranks: Callable[[int], list[int]]) -> tuple[int, dict[int, float]]:
+    """The number of non-null values of a numeric column, and its values (as
+    DOUBLE) at 0-based ascending ranks; ``ranks`` gives them for a count.
+
+    Every open rank keeps an open interval of values and the number of rows up
+    to its lower end. A round takes two values near the rank by
+    ``percentile_approx`` inside each interval (one aggregate), then counts the
+    rows below, up to, before and through both (one aggregate): the rank is
+    settled on one of them or the interval shrinks to what lies between, about
+    2 / 1000 of its rows. Only these numbers reach the driver. NaN counts as
+    the largest value.
+    """
+    values = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull())
+    v = F.col("v")
+    n = values.count()
+    done: dict[int, float] = {}
+    # rank: (value below the interval, value above it, rows up to the interval, rows inside)
+    pending = {r: (None, None, 0, n) for r in sorted(set(ranks(n)))} if n else {}
+    while pending:
+        near = []
+        for above, below, start, m in dict.fromkeys(pending.values()):
+            inside = (v > F.lit(above) if above is not None else F.lit(True)) & (v < F.lit(below) if below is not None else F.lit(True))
+            shares = []
+            for r in (r for r, cell in pending.items() if cell == (above, below, start, m)):
+                at = (r - start) / max(m - 1, 1)
+                shares += [max(at - 2 / ACCURACY, 0.0), min(at + 2 / ACCURACY, 1.0)]
+            near.append(F.percentile_approx(F.when(inside, v), shares, ACCURACY))
+        guesses = values.agg(*near).first()
+        marks = sorted({x for g in guesses for x in g}, key=lambda x: (math.isnan(x), x))
+        counts = values.agg(*[F.count(F.when(c, 1)) for x in marks for c in (v < F.lit(x), v <= F.lit(x))]).first()
+        left = {}
+        for r, (above, below, start, m) in pending.items():
+            end = start + m
+            for x, lower, upto in zip(marks, counts[0::2], counts[1::2]):
+                if lower <= r < upto:
+                    done[r] = x
+                    break
+                if start < upto <= r:
+                    above, start = x, upto
+                if r < lower < end:
+                    below, end = x, lower
+            else:
+                left[r] = (above, below, start, end - start)
+        pending = left
+    return n, done
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
-    """Linear-interpolation quantiles (numpy default) from the value histogram:
-    one row (q_<p> ...). Intended for columns with few distinct values."""
-    h = value_histogram(df, col)
-    run = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    h = h.withColumn("_lo", F.coalesce(F.sum("m").over(run), F.lit(0)))
-    h = h.withColumn("_hi", F.col("_lo") + F.col("m") - 1)  # rank range [lo, hi]
-    n = F.sum("m").over(Window.partitionBy(F.lit(1)))
-    h = h.withColumn("_n", n)
-    aggs = []
-    for p in probs:
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        lo_r, hi_r = F.floor(pos), F.ceil(pos)
-        frac = pos - lo_r
-        in_lo = (F.col("_lo") <= lo_r) & (lo_r <= F.col("_hi"))
-        in_hi = (F.col("_lo") <= hi_r) & (hi_r <= F.col("_hi"))
-        aggs.append((F.max(F.when(in_lo, F.col("v"))), F.max(F.when(in_hi, F.col("v"))),
-                     F.max(frac), p))
+    """Linear-interpolation quantiles (numpy default): one row (p<percent> ...), nulls without values."""
+    def ends(p, n):
+        pos = float(p) * (n - 1)
+        return math.floor(pos), math.ceil(pos), pos - math.floor(pos)
+
+    n, at = order_statistics(df, col, lambda n: [r for p in probs for r in ends(p, n)[:2]])
     cols = []
-    for vlo, vhi, fr, p in aggs:
-        cols.append((vlo + (vhi - vlo) * fr).alias(_qname(p)))
-    return h.agg(*cols)
+    for p in probs:
+        x = None
+        if n:
+            lo, hi, part = ends(p, n)
+            x = at[lo] + (at[hi] - at[lo]) * part if at[lo] != at[hi] else at[lo]
+        cols.append(F.lit(x).cast("double").alias(_qname(p)))
+    return df.sparkSession.range(1).select(*cols)
 
 
 def _qname(p: float) -> str:
@@ -96,7 +139,7 @@ def activity(df: DataFrame, col: str = "user_id") -> DataFrame:
 def activity_percentiles(df: DataFrame, col: str = "user_id",
                          probs=(0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
     """p50, p75, p90, p95, p99 of ratings per entity."""
-    return exact_quantiles(activity(df, col), "n", list(probs))
+    return exact_quantiles(materialize(activity(df, col), "activity"), "n", list(probs))
 
 
 def log_histogram(df: DataFrame, col: str = "user_id", n_edges: int = 60) -> DataFrame:
@@ -107,6 +150,7 @@ def log_histogram(df: DataFrame, col: str = "user_id", n_edges: int = 60) -> Dat
     nb = n_edges - 1
     step = F.log10(mx + F.lit(1.0)) / F.lit(float(nb))
     b = F.least(F.floor(F.log10(F.col("n").cast("double")) / step), F.lit(nb - 1)).cast("bigint")
+    act = materialize(act, "activity")
     med = exact_quantiles(act, "n", [0.5]).select("p50").scalar()
     out = act.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n_entities"))
     return out.select("bin", F.pow(F.lit(10.0), F.col("bin") * step).alias("bin_lo"),
@@ -227,11 +271,11 @@ def key_figures(df: DataFrame, top_user_frac: float = 0.1, top_movies_n: int = 1
     """Counts, sparsity, mean, sample std, share of ratings of the
     top 10% users (int(n_users * 0.1) of them) and of the 100 most rated movies."""
     base = df.agg(F.count(F.lit(1)).alias("n_ratings"),
-                  F.countDistinct("user_id").alias("n_users"),
-                  F.countDistinct("movie_id").alias("n_movies"),
                   F.avg(F.col("rating").cast("double")).alias("rating_mean"),
                   F.stddev_samp(F.col("rating").cast("double")).alias("rating_std"))
-    n_users = df.select(F.countDistinct("user_id")).scalar()
+    # the activity tables, which the shares read too, hold the distinct ids
+    n_users, n_movies = (activity(df, c).select(F.count(c)).scalar() for c in ("user_id", "movie_id"))
+    base = base.withColumn("n_users", n_users).withColumn("n_movies", n_movies)
     k_users = F.floor(n_users * F.lit(float(top_user_frac)))
     return base.select(
         "n_ratings", "n_users", "n_movies",

@@ -13,6 +13,7 @@ from recfold.plans.catalog import bias_recs, topk_sql
 from recfold.plans.common import Base, normalize
 from recfold.plans.q_stats import _eqhist_sql as eqhist_sql
 from recfold.plans.registry import register
+from recfold.session import materialize
 
 W = O.with_ctes
 H_UM = portable_hash_sql("user_id", "movie_id", 42)
@@ -140,6 +141,27 @@ def q_n8(spark, d):
     return normalize(N.popularity_compare(bias_recs(b), b.train))
 
 
+def _series(name: str, src: str) -> str:
+    x = f"(SELECT lo FROM mm_{name})", f"(SELECT hi - lo FROM mm_{name})"
+    return f"""mm_{name} AS (SELECT min(v) AS lo, max(v) AS hi FROM {src}),
+b_{name} AS (SELECT CAST(least(CASE WHEN {x[1]} = 0 THEN 0 ELSE floor((v - {x[0]}) * CAST(40 AS DOUBLE) / {x[1]}) END, 39)
+                    AS BIGINT) AS bin FROM {src}),
+h_{name} AS (SELECT bin, {x[0]} + {x[1]} * bin / CAST(40 AS DOUBLE) AS bin_lo,
+                    {x[0]} + {x[1]} * (bin + 1) / CAST(40 AS DOUBLE) AS bin_hi, count(*) AS n, '{name}' AS series
+             FROM b_{name} GROUP BY bin)"""
+
+
+@register("n8_popularity_histograms", topk_sql() + """,
+pop AS (SELECT movie_id, count(*) AS n FROM train GROUP BY movie_id),
+catv AS (SELECT ln(1 + CAST(n AS DOUBLE)) AS v FROM pop),
+recv AS (SELECT ln(1 + CAST(coalesce(p.n, 0) AS DOUBLE)) AS v FROM recs r LEFT JOIN pop p ON p.movie_id = r.movie_id),
+""" + _series("catalogue", "catv") + ",\n" + _series("recommended", "recv") + """
+SELECT * FROM h_catalogue UNION ALL SELECT * FROM h_recommended""")
+def q_n8h(spark, d):
+    b = Base(spark, d)
+    return normalize(N.popularity_histograms(materialize(bias_recs(b), "recs"), b.train))
+
+
 @register("n9_hit_rate_by_tier", topk_sql() + "," + HITS + """,
 act AS (SELECT user_id, count(*) AS n FROM train GROUP BY user_id),
 ht AS (SELECT h.is_hit, CASE WHEN a.n > 0 AND a.n <= 20 THEN 'Cold (<20)' WHEN a.n > 20 AND a.n <= 100 THEN 'Light (20-100)'

@@ -11,6 +11,7 @@ from recfold.plans.common import Base, normalize, ratings_once
 from recfold.plans.registry import register
 from recfold.plans.views import ratings as ratings_view
 from recfold.plans.views import titles as titles_view
+from recfold.session import materialize
 
 W = O.with_ctes
 D = "CAST({} AS DOUBLE)".format
@@ -61,8 +62,8 @@ ma AS (SELECT movie_id, count(*) AS n FROM ratings GROUP BY movie_id)
 def q_a5(spark, d):
     r = ratings_once(spark, d)
     parts = [A.describe(r, "rating").withColumn("variable", F.lit("rating")),
-             A.describe(A.activity(r, "user_id"), "n").withColumn("variable", F.lit("user_activity")),
-             A.describe(A.activity(r, "movie_id"), "n").withColumn("variable", F.lit("movie_popularity"))]
+             A.describe(materialize(A.activity(r, "user_id"), "activity"), "n").withColumn("variable", F.lit("user_activity")),
+             A.describe(materialize(A.activity(r, "movie_id"), "activity"), "n").withColumn("variable", F.lit("movie_popularity"))]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return normalize(out.select("variable", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 

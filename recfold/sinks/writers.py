@@ -5,15 +5,17 @@ coalesced into a single file."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-
 @F.pandas_udf(StringType())
 def _fixed6(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: None if pd.isna(v) else f"{v:.6f}")
+    values = x.to_numpy(dtype=np.float64, na_value=np.nan)
+    text = pd.Series(np.char.mod("%.6f", values).astype(object))
+    return text.mask(np.isnan(values), None)
 
 
 def fixed6(c):
