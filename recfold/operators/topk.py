@@ -1,13 +1,14 @@
 """Top-K recommendation.
 
 ``top_k`` scores every catalogue item for every requested user without ever
-materialising the user x item pairs as rows. The catalogue (ids, item terms,
-factors) is broadcast after a size check; each task scores a batch of users
-as one NumPy block (``mu + b_u + b_i + P Q^T`` per model, optionally blended),
-masks the user's seen items and keeps only k rows per user. A catalogue over
-the bound is cut into blocks that are broadcast one after another; per-block
-winners are merged with a ``row_number() <= k`` window (k rows per user and
-block, so bounded).
+materialising the user x item pairs as rows, and without the driver: hashed
+blocks of users meet hashed blocks of items in a grid, one cogroup per cell.
+Inside a cell the items are ordered by a bound of their score and read tile by
+tile (``mu + b_u + b_i + P Q^T`` per model, optionally blended); a tile is left
+out for the users whose k-th score so far is above anything it can hold. Each
+cell keeps k rows per user. The plan is the same for every size: a larger
+catalogue has more item blocks, whose winners are merged by a
+``row_number() <= k`` window (k rows per user and block, so bounded).
 
 Ties are broken by ascending movie id, the reference's stable sort over an
 ascending catalogue.
@@ -18,12 +19,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recfold.operators.models import RatingModel, numpy_finish
+from recfold.session import materialize
 
 REC_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()),
@@ -31,15 +34,16 @@ REC_SCHEMA = T.StructType([
     T.StructField("movie_id", T.LongType()),
     T.StructField("score", T.DoubleType()),
 ])
+MANY_SCHEMA = T.StructType([T.StructField("component", T.IntegerType())] + REC_SCHEMA.fields)
 
-# Bound on the broadcast catalogue block (bytes of ids, terms and factors).
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-#: Bytes of one score tile (users x items of a block, float64) in a task.
-TILE_BYTES = 64 * 1024 * 1024
-
-
-def _users_at_once(n_items: int) -> int:
-    return max(1, min(256, TILE_BYTES // (8 * max(n_items, 1))))
+#: Bytes of ids, terms and factors of one item block.
+BLOCK_BYTES = 32 * 1024 * 1024
+#: Most users of one user block, and fewest where blocks are made for the sake of parallel tasks.
+USERS_MOST, USERS_LEAST = 16_384, 128
+#: Items of a tile, and users scored against it at once (8 MB of scores).
+TILE_ITEMS, TILE_USERS = 1024, 1024
+#: Room for rounding between a score and its bound.
+SLACK = 1e-8
 
 
 @dataclass
@@ -53,6 +57,24 @@ class Blend:
     digits: int | None = 9
 
 
+@dataclass
+class _Component:
+    """What a cell needs to know of one model."""
+
+    mu: float
+    rank: int
+    finish: tuple
+    same_for_users: bool
+
+
+@dataclass
+class _List:
+    """One ranked list: components with weights; ``finish`` of a blend, None for a single model."""
+
+    parts: list
+    finish: tuple | None
+
+
 def _top_rows_finished(raw: np.ndarray, k: int, lo, hi, digits):
     """Top k of finish(raw) per row (ties by column) without finishing the
     whole block: finish (clip, round) is monotone, so every entry that can
@@ -84,115 +106,105 @@ def _top_rows_finished(raw: np.ndarray, k: int, lo, hi, digits):
     return rows[keep], cols[keep], rank[keep].astype(np.int32), vals[keep]
 
 
-def _make_many_scorer(specs: list, k: int, exclude_seen: bool, bc):
-    """Separate top-K lists for several models in one pass over the users
-    (one task reads a user batch once and ranks it for every model)."""
-
-    def run(batches):
-        cat = bc.value
-        ids = cat["ids"]
-        n = ids.shape[0]
-        for pdf in batches:
-            out = []
-            for start in range(0, len(pdf), _users_at_once(n)):
-                ch = pdf.iloc[start:start + _users_at_once(n)]
-                mask_r = mask_c = None
-                if exclude_seen:
-                    lists = [np.asarray(v, dtype=np.int64) if v is not None else np.empty(0, np.int64)
-                             for v in ch["seen"]]
-                    lens = np.array([len(v) for v in lists])
-                    if lens.sum():
-                        sv = np.concatenate(lists)
-                        rr = np.repeat(np.arange(len(lists)), lens)
-                        pos = np.searchsorted(ids, sv)
-                        ok = pos < n
-                        rr, pos, sv = rr[ok], pos[ok], sv[ok]
-                        hit = ids[pos] == sv
-                        mask_r, mask_c = rr[hit], pos[hit]
-                users = ch["user_id"].to_numpy(dtype=np.int64)
-                for c, (w, mu, rank, lo, hi, digits, u_const, i_const) in enumerate(specs):
-                    base = ((mu + ch[f"u{c}"].to_numpy(dtype=np.float64))[:, None]
-                            + cat[f"i{c}"][None, :])
-                    if rank > 0:
-                        p = np.stack([np.asarray(v, dtype=np.float64) for v in ch[f"p{c}"]])
-                        base = base + p @ cat[f"q{c}"].T
-                    if mask_r is not None:
-                        base[mask_r, mask_c] = -np.inf
-                    rows, cols, rk, vals = _top_rows_finished(base, k, lo, hi, digits)
-                    out.append(pd.DataFrame({"component": np.full(rows.shape[0], c, dtype=np.int32),
-                                             "user_id": users[rows], "rank": rk,
-                                             "movie_id": ids[cols], "score": vals}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+def _matrix(column: pa.ChunkedArray, rank: int) -> np.ndarray:
+    return pc.list_flatten(column).to_numpy().reshape(-1, rank)
+
+
+class _Cell:
+    """One block of users against one block of items."""
+
+    def __init__(self, left: pa.Table, right: pa.Table, components: list[_Component], k: int):
+        right = right.sort_by("movie_id")
+        self.k, self.components = k, components
+        self.users = left["user_id"].to_numpy()
+        self.items = right["movie_id"].to_numpy()
+        self.u = [c.mu + left[f"u{i}"].to_numpy() for i, c in enumerate(components)]
+        self.i = [right[f"i{i}"].to_numpy() for i, _ in enumerate(components)]
+        self.p = [_matrix(left[f"p{i}"], c.rank) if c.rank else None for i, c in enumerate(components)]
+        self.q = [_matrix(right[f"q{i}"], c.rank) if c.rank else None for i, c in enumerate(components)]
+        self.p_norm = [0.0 if m is None else np.linalg.norm(m, axis=1) for m in self.p]
+        self.q_norm = [np.zeros(len(self.items)) if m is None else np.linalg.norm(m, axis=1) for m in self.q]
+        # seen pairs as (user row, item position), users ascending
+        lengths = pc.fill_null(pc.list_value_length(left["seen"]), 0).to_numpy()
+        seen = pc.list_flatten(left["seen"]).to_numpy()
+        rows = np.repeat(np.arange(len(self.users)), lengths)
+        at = np.searchsorted(self.items, seen)
+        known = at < len(self.items)
+        rows, at, seen = rows[known], at[known], seen[known]
+        hit = self.items[at] == seen
+        self.seen = rows[hit], at[hit]
+
+    def _score(self, part, rows, cols):
+        c, weight, blended = part
+        base = self.u[c][rows[:1] if blended and self.components[c].same_for_users and self.p[c] is None else rows][:, None] + self.i[c][cols]
+        if self.p[c] is not None:
+            base = base + self.p[c][rows] @ self.q[c][cols].T
+        return weight * numpy_finish(base, *self.components[c].finish) if blended else base
+
+    def _bound(self, ranked: _List, cols) -> np.ndarray:
+        """Per user, a value that no finished score of the tile exceeds."""
+        total = 0.0
+        for c, weight, blended in ranked.parts:
+            reach = self.p_norm[c] * self.q_norm[c][cols].max()
+            x = (self.u[c] + self.i[c][cols].max() + reach + SLACK if weight >= 0
+                 else self.u[c] + self.i[c][cols].min() - reach - SLACK)
+            x = numpy_finish(x, *self.components[c].finish)
+            total = total + (weight * x if blended else x)
+        return (total if ranked.finish is None else numpy_finish(total + SLACK, *ranked.finish)) + SLACK
+
+    def top(self, ranked: _List):
+        """(user row, rank, item position, score) of the k best items of every user."""
+        n, k = len(self.users), self.k
+        finish = ranked.finish or self.components[ranked.parts[0][0]].finish
+        worth = sum(w * (self.i[c] + self.q_norm[c] * np.mean(self.p_norm[c])) for c, w, _ in ranked.parts)
+        order = np.argsort(-worth, kind="stable")
+        best = np.full((n, k), -np.inf)
+        at = np.full((n, k), len(self.items))
+        tile_of = np.empty(len(self.items), np.int64)
+        tile_of[order] = np.arange(len(order)) // TILE_ITEMS
+        seen_rows, seen_at = self.seen
+        by_tile = np.argsort(tile_of[seen_at], kind="stable")  # rows stay ascending inside a tile
+        ends = np.searchsorted(tile_of[seen_at][by_tile], np.arange(len(order) // TILE_ITEMS + 2))
+        for t, start in enumerate(range(0, len(order), TILE_ITEMS)):
+            cols = np.sort(order[start:start + TILE_ITEMS])  # ascending ids decide ties
+            open_rows = np.nonzero(self._bound(ranked, cols) >= best[:, -1])[0]
+            mine = by_tile[ends[t]:ends[t + 1]]
+            for first in range(0, len(open_rows), TILE_USERS):
+                rows = open_rows[first:first + TILE_USERS]
+                total = 0.0
+                for part in ranked.parts:
+                    total = total + self._score(part, rows, cols)
+                total = np.broadcast_to(total, (len(rows), len(cols))).copy()
+                lo, hi = np.searchsorted(seen_rows[mine], (rows[0], rows[-1] + 1))
+                hidden_rows, hidden_at = seen_rows[mine[lo:hi]], seen_at[mine[lo:hi]]
+                row = np.searchsorted(rows, hidden_rows)
+                held = rows[row] == hidden_rows
+                total[row[held], np.searchsorted(cols, hidden_at[held])] = -np.inf
+                r, c, rank, values = _top_rows_finished(total, k, *finish)
+                new = np.full((len(rows), k), -np.inf)
+                where = np.full((len(rows), k), len(self.items))
+                new[r, rank - 1], where[r, rank - 1] = values, cols[c]
+                new, where = np.hstack([best[rows], new]), np.hstack([at[rows], where])
+                keep = np.lexsort((where, -new))[:, :k]
+                best[rows], at[rows] = np.take_along_axis(new, keep, 1), np.take_along_axis(where, keep, 1)
+        row, rank = np.nonzero(at < len(self.items))
+        return row, rank + 1, at[row, rank], best[row, rank]
+
+
+def _cell_ranker(components: list[_Component], lists: list[_List], k: int):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows and right.num_rows:
+            cell = _Cell(left, right, components, k)
+            for number, ranked in enumerate(lists):
+                row, rank, at, score = cell.top(ranked)
+                out.append(pa.table({"component": pa.array(np.full(len(row), number), pa.int32()), "user_id": cell.users[row],
+                                     "rank": pa.array(rank, pa.int32()), "movie_id": cell.items[at], "score": score}))
+        empty = {"component": pa.int32(), "user_id": pa.int64(), "rank": pa.int32(), "movie_id": pa.int64(), "score": pa.float64()}
+        return pa.concat_tables(out) if out else pa.schema(list(empty.items())).empty_table()
     return run
 
 
-MANY_SCHEMA = T.StructType([T.StructField("component", T.IntegerType())] + REC_SCHEMA.fields)
-
-
-def _make_scorer(specs: list, outer, k: int, exclude_seen: bool, bc):
-    """specs: per component (weight, mu, rank, lo, hi, digits, u_const, i_const)."""
-
-    def run(batches):
-        cat = bc.value
-        ids = cat["ids"]
-        n = ids.shape[0]
-        for pdf in batches:
-            out = []
-            for start in range(0, len(pdf), _users_at_once(n)):
-                ch = pdf.iloc[start:start + _users_at_once(n)]
-                total = None
-                for c, (w, mu, rank, lo, hi, digits, u_const, i_const) in enumerate(specs):
-                    u = ch[f"u{c}"].to_numpy(dtype=np.float64)
-                    if outer is not None and rank == 0 and (u_const or i_const):
-                        # a component constant along users (or items) is
-                        # finished once as a vector, then broadcast
-                        if u_const:
-                            sc = numpy_finish((mu + u[:1])[:, None] + cat[f"i{c}"][None, :], lo, hi, digits)
-                        else:
-                            sc = numpy_finish((mu + u)[:, None] + cat[f"i{c}"][None, :1], lo, hi, digits)
-                        sc = w * sc
-                        total = (np.broadcast_to(sc, (len(ch), n)).copy() if total is None else total + sc)
-                        continue
-                    base = (mu + u)[:, None] + cat[f"i{c}"][None, :]
-                    if rank > 0:
-                        p = np.stack([np.asarray(v, dtype=np.float64) for v in ch[f"p{c}"]])
-                        base = base + p @ cat[f"q{c}"].T
-                    if outer is None:
-                        total, fin = base, (lo, hi, digits)  # finished lazily below
-                    else:
-                        sc = w * numpy_finish(base, lo, hi, digits)
-                        total = sc if total is None else total + sc
-                if outer is not None:
-                    fin = outer
-                if exclude_seen:
-                    lists = [np.asarray(v, dtype=np.int64) if v is not None else np.empty(0, np.int64)
-                             for v in ch["seen"]]
-                    lens = np.array([len(v) for v in lists])
-                    if lens.sum():
-                        sv = np.concatenate(lists)
-                        rr = np.repeat(np.arange(len(lists)), lens)
-                        pos = np.searchsorted(ids, sv)
-                        ok = pos < n
-                        rr, pos, sv = rr[ok], pos[ok], sv[ok]
-                        hit = ids[pos] == sv
-                        total[rr[hit], pos[hit]] = -np.inf
-                rows, cols, rk, vals = _top_rows_finished(total, k, *fin)
-                out.append(pd.DataFrame({
-                    "user_id": ch["user_id"].to_numpy(dtype=np.int64)[rows], "rank": rk,
-                    "movie_id": ids[cols], "score": vals}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-    return run
-
-
-def _scalar_value(df: DataFrame | None) -> float:
-    if df is None:
-        return 0.0
-    v = df.first()[0]
-    return 0.0 if v is None else float(v)
-
-
 def _catalogue_items(models: list[RatingModel], catalogue: DataFrame) -> DataFrame:
     items = catalogue.select("movie_id").distinct()
     cols = ["movie_id"]
@@ -214,8 +226,7 @@ def _catalogue_items(models: list[RatingModel], catalogue: DataFrame) -> DataFra
     return items.select(*cols)
 
 
-def _user_rows(models: list[RatingModel], users: DataFrame, seen: DataFrame | None) -> DataFrame:
-    u = users.select("user_id").distinct()
+def _user_rows(models: list[RatingModel], u: DataFrame, seen: DataFrame | None) -> DataFrame:
     cols = ["user_id"]
     for c, model in enumerate(models):
         u_fill = model._scalar(model.u_fill)
@@ -233,107 +244,68 @@ def _user_rows(models: list[RatingModel], users: DataFrame, seen: DataFrame | No
             u = u.withColumn(f"p{c}", F.coalesce(F.col(f"p{c}").cast("array<double>"), zero))
             cols.append(f"p{c}")
     if seen is not None:
-        # A user's seen list is bounded by the catalogue, which is size-checked.
-        lists = seen.groupBy("user_id").agg(F.collect_list("movie_id").alias("seen"))
-        u = u.join(lists, "user_id", "left")
+        # a user's seen list is bounded by the catalogue
+        lists = seen.where(F.col("movie_id").isNotNull()).groupBy("user_id").agg(F.collect_list("movie_id").alias("seen"))
+        u = u.join(lists.withColumn("seen", F.col("seen").cast("array<bigint>")), "user_id", "left")
     else:
         u = u.withColumn("seen", F.lit(None).cast("array<bigint>"))
     cols.append("seen")
     return u.select(*cols)
 
 
-def top_k(model: RatingModel | Blend, users: DataFrame, catalogue: DataFrame,
-          seen: DataFrame | None = None, k: int = 10,
-          max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def _grid(n_users: int, n_items: int, item_bytes: int, block_bytes: int, slots: int) -> tuple[int, int]:
+    """Numbers of user blocks and item blocks."""
+    item_blocks = max(1, -(-n_items * item_bytes // block_bytes))
+    wanted = -(-2 * slots // item_blocks)
+    return max(1, -(-n_users // USERS_MOST), min(wanted, -(-n_users // USERS_LEAST))), item_blocks
+
+
+def _block(col: str, n: int):
+    return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
+
+
+def top_k(model: RatingModel | Blend | list, users: DataFrame, catalogue: DataFrame,
+          seen: DataFrame | None = None, k: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(user_id, rank, movie_id, score) for every user in
     ``users`` over the ``catalogue`` items. ``seen`` (user_id, movie_id) rows
     are excluded (T1); None keeps them (T2, model-level form). A list of
     models gives each model's own lists in one pass over the users, with a
-    leading ``model`` column."""
+    leading ``model`` column. Null ids take no part."""
     if k <= 0:
         raise ValueError("k must be positive")
     spark = users.sparkSession
     many = isinstance(model, (list, tuple))
-    if many:
-        models, weights, outer = list(model), [1.0] * len(model), None
-    elif isinstance(model, Blend):
-        models, weights = list(model.models), list(model.weights)
-        outer = (model.lo, model.hi, model.digits)
-    else:
-        models, weights, outer = [model], [1.0], None
-    # u_const / i_const: the model has no per-user (per-item) table, so its
-    # term is the same fill value for every user (item)
+    models = list(model.models) if isinstance(model, Blend) else list(model) if many else [model]
     # every model's global offset in one job (scalar subqueries of one row)
     mus = [m.mu.scalar().cast("double") if m.mu is not None else F.lit(0.0) for m in models]
-    mu_row = spark.range(1).select(*[c.alias(f"mu{i}") for i, c in enumerate(mus)]).first()
-    mu_vals = [0.0 if v is None else float(v) for v in mu_row]
-    specs = [(float(w), mu, m.rank, *m.finish_params(), m.users is None, m.items is None)
-             for m, w, mu in zip(models, weights, mu_vals)]
-    items = _catalogue_items(models, catalogue)
-    rows = _user_rows(models, users, seen)
-    bytes_per_item = 8 * (1 + sum(1 + m.rank for m in models))
-    block_rows = max(1, max_broadcast_bytes // bytes_per_item)
-    # Size check and fetch in one job: at most block_rows + 1 rows reach the
-    # driver; a larger catalogue switches to the blocked plan.
-    head = items.limit(block_rows + 1).toPandas()
-    if len(head) <= block_rows:
-        fetched = [head]
-        blocks = None
+    offsets = spark.range(1).select(*[c.alias(f"mu{i}") for i, c in enumerate(mus)]).first()
+    components = [_Component(float(mu or 0.0), m.rank, m.finish_params(), m.users is None) for m, mu in zip(models, offsets)]
+    if isinstance(model, Blend):
+        lists = [_List([(c, float(w), True) for c, w in enumerate(model.weights)], (model.lo, model.hi, model.digits))]
     else:
-        from recfold.operators.prep import dense_ids
-        idx = dense_ids(items, "movie_id")
-        keyed = items.join(idx.withColumnRenamed("orig_id", "movie_id"), "movie_id")
-        n_items = idx.count()
-        n_blocks = (n_items + block_rows - 1) // block_rows
-        keyed = keyed.withColumn("_b", F.floor(F.col("idx") / block_rows)).drop("idx")
-        # written once, partitioned by block: each block fetch reads its own files
-        from recfold.session import ensure_checkpoint_dir
-        import uuid
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/catalogue-{uuid.uuid4().hex}"
-        keyed.write.partitionBy("_b").parquet(path)
-        keyed = spark.read.parquet(path)
-        blocks = [keyed.where(F.col("_b") == b).drop("_b") for b in range(n_blocks)]
-        fetched = None
-    # Scoring is CPU-bound while the user rows are small in bytes, so AQE would
-    # coalesce them into a few tasks; an explicit hash repartition (which AQE
-    # keeps) spreads users over every slot.
-    n_parts = max(spark.sparkContext.defaultParallelism,
-                  int(spark.conf.get("spark.sql.shuffle.partitions")))
-    scoring_rows = rows.repartition(n_parts, "user_id")
-    if blocks is not None:  # read once per block, so joined and written only once
-        from recfold.session import materialize
-        scoring_rows = materialize(scoring_rows, "scoring-users")
-    parts = []
-    for blk in (fetched if blocks is None else blocks):
-        pdf = blk if blocks is None else blk.toPandas()  # one block on the driver at a time
-        pdf = pdf.sort_values("movie_id", kind="stable")
-        cat = {"ids": pdf["movie_id"].to_numpy(dtype=np.int64)}
-        for c, m in enumerate(models):
-            cat[f"i{c}"] = pdf[f"i{c}"].to_numpy(dtype=np.float64)
-            if m.rank > 0:
-                cat[f"q{c}"] = (np.stack([np.asarray(v, dtype=np.float64) for v in pdf[f"q{c}"]])
-                                if len(pdf) else np.zeros((0, m.rank)))
-        bc = spark.sparkContext.broadcast(cat)
-        if many:
-            fn = _make_many_scorer(specs, k, seen is not None, bc)
-            parts.append(scoring_rows.mapInPandas(fn, MANY_SCHEMA))
-        else:
-            fn = _make_scorer(specs, outer, k, seen is not None, bc)
-            parts.append(scoring_rows.mapInPandas(fn, REC_SCHEMA))
-    merged = parts[0]
-    for p in parts[1:]:
-        merged = merged.unionByName(p)
-    if many:
-        names = F.element_at(F.array(*[F.lit(m.name) for m in models]), F.col("component") + 1)
-        merged = merged.withColumn("model", names).drop("component")
-        if len(parts) > 1:
-            w = Window.partitionBy("model", "user_id").orderBy(F.col("score").desc(), F.col("movie_id"))
-            merged = (merged.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-                      .withColumn("rank", F.col("rank").cast("int")))
-        return merged.select("model", "user_id", "rank", "movie_id", "score")
-    if len(parts) == 1:
-        return parts[0]
-    return rank_top(merged, k)
+        lists = [_List([(c, 1.0, False)], None) for c in range(len(models))]
+    # written: the grid reads the items once per user block
+    items = materialize(_catalogue_items(models, catalogue.where(F.col("movie_id").isNotNull())), "catalogue")
+    asked = users.select(F.col("user_id").cast("bigint").alias("user_id")).where(F.col("user_id").isNotNull()).distinct()
+    slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_users, n_items = _grid(asked.count(), items.count(), 8 * (1 + sum(1 + m.rank for m in models)), block_bytes, slots)
+    left = _user_rows(models, asked, seen).withColumn("_u", _block("user_id", n_users))
+    left = left.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_items - 1))))
+    if n_items > 1:
+        left = left.withColumn("seen", F.filter("seen", lambda m: F.pmod(F.xxhash64(m), F.lit(n_items)) == F.col("_i")))
+    right = (items.withColumn("movie_id", F.col("movie_id").cast("bigint")).withColumn("_i", _block("movie_id", n_items))
+             .withColumn("_u", F.explode(F.sequence(F.lit(0), F.lit(n_users - 1)))))
+    # scoring is CPU-bound and its input small, so the number of tasks is given (AQE keeps it)
+    tasks = min(n_users * n_items, 20_000)
+    cells = [side.repartition(tasks, "_u", "_i").groupBy("_u", "_i") for side in (left, right)]
+    out = cells[0].cogroup(cells[1]).applyInArrow(_cell_ranker(components, lists, k), MANY_SCHEMA)
+    if n_items > 1:  # the item blocks' winners
+        best = Window.partitionBy("component", "user_id").orderBy(F.col("score").desc(), F.col("movie_id"))
+        out = out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    if not many:
+        return out.select("user_id", "rank", "movie_id", "score")
+    names = F.element_at(F.array(*[F.lit(m.name) for m in models]), F.col("component") + 1)
+    return out.select(names.alias("model"), "user_id", "rank", "movie_id", "score")
 
 
 def rank_top(scored: DataFrame, k: int, score: str = "score",

@@ -109,7 +109,7 @@ def test_topk_matches_brute_force(spark, planted, bound):
     users = tr.select("user_id").distinct()
     items = tr.select("movie_id").distinct()
     for model in (M.fit_bias(tr), FM.fit_mf(tr, "svd", rank=4, max_iter=5, reg=0.1)):
-        kw = {} if bound is None else {"max_broadcast_bytes": bound}  # forces catalogue blocks
+        kw = {} if bound is None else {"block_bytes": bound}  # forces catalogue blocks
         got = TK.top_k(model, users, items, seen=tr, k=7, **kw).toPandas()
         got = got.sort_values(["user_id", "rank"]).reset_index(drop=True)
         want = _brute_topk(model, users, items, tr, 7)
@@ -157,3 +157,40 @@ def test_many_models_one_pass_equals_separate(spark, planted):
         sub = many[many.model == m.name].sort_values(["user_id", "rank"])
         assert list(sub.movie_id) == list(one.movie_id)
         assert np.allclose(sub.score, one.score)
+
+
+def test_topk_over_many_tiles_blocks_and_weights(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    nu, ni, r = 60, 700, 3
+    up = spark.createDataFrame([(u, float(rng.normal(0, 1)), [float(x) for x in rng.normal(0, 1, r)]) for u in range(nu)],
+                               "user_id long, u_term double, p array<double>")
+    iq = spark.createDataFrame([(i * 7 - 900, float(rng.normal(0, 1)), [float(x) for x in rng.normal(0, 1, r)]) for i in range(ni)],
+                               "movie_id long, i_term double, q array<double>")
+    m = M.RatingModel("f", up, iq, mu=spark.createDataFrame([(3.0,)], "mu double"), rank=r)
+    flat = M.RatingModel("u", up.drop("p"), None, mu=spark.createDataFrame([(2.0,)], "mu double"))
+    users, items = up.select("user_id"), iq.select("movie_id")
+    seen = spark.createDataFrame([(u, int(i) * 7 - 900) for u in range(nu) for i in rng.integers(0, ni + 5, 80)],
+                                 "user_id long, movie_id long")
+    monkeypatch.setattr(TK, "TILE_ITEMS", 16)
+    monkeypatch.setattr(TK, "TILE_USERS", 7)
+    want = _brute_topk(m, users, items, seen, 9)
+    for kw in ({}, {"block_bytes": 5000}):
+        got = TK.top_k(m, users, items, seen=seen, k=9, **kw).toPandas().sort_values(["user_id", "rank"])
+        assert list(got.movie_id) == list(want.movie_id) and np.allclose(got.score, want.score)
+    pairs = users.crossJoin(items)  # brute force, tiny fixture only
+    for w in ([0.7, 0.3], [1.5, -0.5]):
+        s = [x.score(pairs, out="score").toPandas().sort_values(["user_id", "movie_id"]) for x in (m, flat)]
+        both = s[0].assign(score=np.round(np.clip(w[0] * s[0].score.to_numpy() + w[1] * s[1].score.to_numpy(), 1, 5), 9))
+        both = both.sort_values(["user_id", "score", "movie_id"], ascending=[True, False, True]).groupby("user_id").head(4)
+        got = TK.top_k(TK.Blend([m, flat], w), users, items, k=4).toPandas().sort_values(["user_id", "rank"])
+        assert list(got.movie_id) == list(both.movie_id) and np.allclose(got.score, both.score)
+
+
+def test_topk_takes_nulls_empty_tables_and_short_catalogues(spark):
+    items = spark.createDataFrame([(3, 1.0), (4, 2.0)], "movie_id long, i_term double")
+    m = M.RatingModel("t", None, items)
+    users = spark.createDataFrame([(1,), (None,), (1,)], "user_id long")
+    cat = spark.createDataFrame([(4,), (3,), (None,), (9,)], "movie_id long")
+    got = TK.top_k(m, users, cat, seen=spark.createDataFrame([(1, 4), (1, None)], "user_id long, movie_id long"), k=5).collect()
+    assert [(r.user_id, r["rank"], r.movie_id) for r in got] == [(1, 1, 3), (1, 2, 9)]
+    assert TK.top_k(m, users.limit(0), cat, k=5).count() == 0 and TK.top_k(m, users, cat.limit(0), k=5).count() == 0
