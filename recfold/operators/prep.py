@@ -12,33 +12,33 @@ from recfold.session import materialize
 _LEVEL_BITS = 16
 
 
-def dense_ids(df: DataFrame, col: str, bits: int = _LEVEL_BITS) -> DataFrame:
+def dense_ids(df: DataFrame, col: str, shift: int = _LEVEL_BITS) -> DataFrame:
     """P1 map table (orig_id, idx): 0-based index by ascending id.
 
     The ids are counted in a tree over their leading bits (64-bit ids and 16
     bits a level: ``id >> 48``, ``id >> 32``, ``id >> 16``, ``id``). A node's
     offset is its parent's offset plus a running sum over its siblings, so no
-    window holds more than 2^bits rows whether ids are consecutive or hashed
+    window holds more than 2^shift rows whether ids are consecutive or hashed
     over the whole range; the only window without a partition key runs over
     the at most 2^16 top nodes. The numbering depends on values alone, not on
     partitioning or task retries.
     """
     ids = (df.select(F.col(col).cast("bigint").alias("orig_id"))
            .where(F.col("orig_id").isNotNull()).distinct())
-    levels = [ids.select(F.shiftright("orig_id", bits).alias("_b")).groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))]
-    while bits * (len(levels) + 1) < 64:
-        up = levels[-1].select(F.shiftright("_b", bits).alias("_b"), "_c")
+    levels = [ids.select(F.shiftright("orig_id", shift).alias("_b")).groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))]
+    while shift * (len(levels) + 1) < 64:
+        up = levels[-1].select(F.shiftright("_b", shift).alias("_b"), "_c")
         levels.append(up.groupBy("_b").agg(F.sum("_c").alias("_c")))
     before = [Window.unboundedPreceding, -1]
     run = F.coalesce(F.sum("_c").over(Window.orderBy("_b").rowsBetween(*before)), F.lit(0))
     offsets = levels[-1].select("_b", run.alias("_o"))
     for level in reversed(levels[:-1]):
         run = F.coalesce(F.sum("_c").over(Window.partitionBy("_p").orderBy("_b").rowsBetween(*before)), F.lit(0))
-        nodes = level.withColumn("_p", F.shiftright("_b", bits)).withColumn("_r", run)
+        nodes = level.withColumn("_p", F.shiftright("_b", shift)).withColumn("_r", run)
         offsets = (nodes.join(offsets.withColumnRenamed("_b", "_p"), "_p")
                    .select("_b", (F.col("_o") + F.col("_r")).alias("_o")))
     within = F.row_number().over(Window.partitionBy("_b").orderBy("orig_id"))
-    return (ids.withColumn("_b", F.shiftright("orig_id", bits)).withColumn("_w", within).join(offsets, "_b")
+    return (ids.withColumn("_b", F.shiftright("orig_id", shift)).withColumn("_w", within).join(offsets, "_b")
             .select("orig_id", (F.col("_o") + F.col("_w") - 1).cast("bigint").alias("idx")))
 
 
