@@ -14,9 +14,14 @@ value, in whatever layout or case, gets the same surrogate everywhere.
 
 Collision check, over the distinct values of the whole corpus: a surrogate may
 not be another value of the corpus nor the surrogate of another one. Values
-that clash move on to the next permutation until none does; only those (few)
-travel to the tasks, at most ``MOVED`` of them, else the run stops with an error.
-Texts are never shuffled: one scan gathers values, one replaces them.
+that clash move on to the next permutation until none does, in rounds of joins
+over written tables. A value that has clashed LONGER times leaves its format,
+which is then nearly used up: names, e-mail addresses, secrets and numbers get
+longer, a private IPv4 address takes the next larger private range, any other
+address an IPv6 address of the documentation range. The moved values travel to
+the tasks in a broadcast of at most ``MOVED`` of them, and texts are not shuffled
+(one scan gathers values, one replaces them); more moved values are joined to
+the digests of the texts that hold them, and these to the texts.
 
 Names: a first name from the lists below becomes another one of its list
 (gender and script); other first names keep their last letter; a surname that
@@ -40,7 +45,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recfold.llm.common import drop_columns, materialize, share
+from recfold.llm.common import drop_columns, join_counted, materialize, share
+from recfold.session import discard
 
 KEY = b"surrogates-1"
 MOVED = 1_000_000
@@ -66,6 +72,8 @@ ADDRESS = {
 SECRET_WORDS = ["token", "password", "passwd", "pwd", "secret", "api_key", "api-key", "apikey", "access_key"]
 CLASSES = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "ñç", "аеиоуыэюяё", "бвгджзйклмнпрстфхцчшщ",
            "αειουηω", "βγδζθκλμνξπρστφχψ", "άέίόύήώ"]
+#: The larger private ranges that a used-up one moves on to: first byte and free bits.
+WIDER = {"192.168": [(172, 20), (10, 24)], "172.16": [(10, 24)]}
 # --- end of fixed values ---
 
 _NAMES = {x: (script, g) for (script, g), names in FIRST_NAMES.items() for x in names.split()}
@@ -180,10 +188,23 @@ def _range(ip: str) -> str:
     return "reserved" if a == 0 or a >= 224 else "public"
 
 
+def _draw(kind: str, value: str, key: bytes, attempt: int) -> int:
+    return int.from_bytes(hashlib.blake2b(f"{kind}/{value}/{attempt}".encode(), key=key, digest_size=16).digest(), "big")
+
+
 @lru_cache(maxsize=200_000)
 def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     """The surrogate of a canonical value. Where the values of a short format
-    have clashed LONGER times, the surrogate gets longer than the value."""
+    have clashed LONGER times, the surrogate leaves the format."""
+    if attempt >= LONGER and kind in ("phone", "ssn", "card"):
+        return surrogate(kind, value, key, 0) + str(_draw(kind, value, key, attempt)).zfill(40)[-(attempt - LONGER + 1):]
+    if attempt >= LONGER and kind == "ip":
+        wider = WIDER.get(_range(value), [])
+        drawn = _draw(kind, value, key, attempt)
+        if attempt - LONGER < len(wider):
+            first, free = wider[attempt - LONGER]
+            return ".".join(map(str, (first << 24 | (16 << 16 if first == 172 else 0) | drawn % (1 << free)).to_bytes(4, "big")))
+        return "2001:db8:" + ":".join(f"{drawn >> 16 * i & 0xFFFF:x}" for i in range(6))
     if attempt >= LONGER and kind in ("email", "secret", "last") or attempt >= LONGER and kind.startswith("first-"):
         more = recode("ba" * (attempt - LONGER + 1), hashlib.blake2b(f"{kind}/{value}".encode(), key=key).digest(), "longer")
         out = surrogate(kind, value, key, 0)
@@ -320,7 +341,7 @@ def _lay_out(shape: str, kind: str, value: str) -> str:
         return value
     source = iter(value)
     if kind in ("phone", "ssn", "card"):
-        return "".join(chr(ord(c) - int(c) + int(next(source))) if c.isdecimal() else c for c in shape)
+        return "".join(chr(ord(c) - int(c) + int(next(source))) if c.isdecimal() else c for c in shape) + "".join(source)
     if kind == "iban":
         return "".join(c if c == " " else next(source) for c in shape)
     if kind in ("first", "last") or kind.startswith("first-"):
@@ -367,59 +388,89 @@ def entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(text_col).mapInArrow(gather, "kind string, value string").distinct()
 
 
-def settle(values: DataFrame, key: bytes = KEY, bound: int = MOVED) -> dict[tuple[str, str], int]:
-    """Permutation numbers of the values that had to move on."""
-    moved: dict[tuple[str, str], int] = {}
-    spark = values.sparkSession
+def settled(values: DataFrame, key: bytes = KEY) -> DataFrame:
+    """Written table (kind, value, attempt): permutation numbers of the values that had to move on."""
+
+    def give(batches):
+        for b in batches:
+            given = [surrogate(k, v, key, i) for k, v, i in zip(*(c.to_pylist() for c in b.columns))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(given, pa.string())], names=["kind", "value", "attempt", "given"])
+
+    # first names of the lists are meant to be exchanged among themselves
+    real = values.filter(~F.col("kind").startswith("first-")).select("kind", F.col("value").alias("given"), F.lit(True).alias("real"))
+    moved = materialize(values.limit(0).select("kind", "value", F.lit(0).alias("attempt")), "moved")
     while True:
-        shared = share(spark, moved)
-
-        def give(batches):
-            for b in batches:
-                pairs = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-                n = [shared.value.get(p, 0) for p in pairs]
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pa.array(n, pa.int32()), pa.array([surrogate(k, v, key, i) for (k, v), i in zip(pairs, n)], pa.string())],
-                    names=["kind", "value", "attempt", "given"])
-
-        given = values.mapInArrow(give, "kind string, value string, attempt int, given string")
-        # first names of the lists are meant to be exchanged among themselves
-        real = values.filter(~F.col("kind").startswith("first-")).select("kind", F.col("value").alias("given"), F.lit(True).alias("real"))
+        now = values.join(moved, ["kind", "value"], "left").select("kind", "value", F.coalesce("attempt", F.lit(0)).alias("attempt"))
+        given = now.mapInArrow(give, "kind string, value string, attempt int, given string")
         keep = F.min(F.struct("attempt", "value")).alias("keep")
         uses = given.groupBy("kind", "given").agg(keep, F.count("*").alias("n"))
         clash = (given.join(uses, ["kind", "given"]).join(real, ["kind", "given"], "left")
                  .filter("real or (n > 1 and value != keep.value)").select("kind", "value", "attempt"))
-        rows = clash.limit(bound + 1).collect()
-        if not rows:
+        clash = materialize(clash, "clash")
+        if clash.isEmpty():
             return moved
-        moved = moved | {(r["kind"], r["value"]): r["attempt"] + 1 for r in rows}
-        if len(moved) > bound:
-            raise ValueError(f"more than {bound} surrogates clash; give the formats more room or raise the bound")
-        if max(moved.values()) > 100:
-            raise ValueError("a format has fewer values than the corpus uses")
+        before = moved
+        moved = materialize(moved.join(clash, ["kind", "value"], "left_anti")
+                            .unionByName(clash.withColumn("attempt", F.col("attempt") + 1)), "moved")
+        discard(before)
+        discard(clash)
+
+
+def settle(values: DataFrame, key: bytes = KEY, bound: int = MOVED) -> dict[tuple[str, str], int]:
+    """``settled`` as a mapping of at most ``bound`` values."""
+    rows = settled(values, key).limit(bound + 1).collect()
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} surrogates have moved")
+    return {(r["kind"], r["value"]): r["attempt"] for r in rows}
+
+
+def _moved_by_text(docs: DataFrame, moved: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with a column ``_moved``: the moved values of the text, as (kind, value, attempt). A text is known by its
+    digest and read once for all its copies; texts that most rows share are joined by broadcast."""
+
+    def gather(batches):
+        for b in batches:
+            col = b.column(1)
+            rows = [(i, k, v) for i in _worth(col) for k, v in {(k, v) for _, _, k, v in find(col[i].as_py())}]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([i for i, _, _ in rows], pa.int64())), *(
+                pa.array([r[j] for r in rows], pa.string()) for j in (1, 2))], names=["_digest", "kind", "value"])
+
+    keyed = docs.withColumn("_digest", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    held = keyed.select("_digest", text_col).mapInArrow(gather, "_digest string, kind string, value string")
+    counts = keyed.groupBy("_digest").agg(F.count("*").alias("_n"))
+    lists = (held.distinct().join(moved, ["kind", "value"]).groupBy("_digest")
+             .agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_moved")))
+    lists = materialize(counts.join(lists, "_digest", "left"), "moved-by-text")
+    return join_counted(keyed, lists, ["_digest"], "_n").drop("_digest")
 
 
-def replace_all(docs: DataFrame, key: bytes = KEY, text_col: str = "text", count: str | None = None) -> DataFrame:
+def replace_all(docs: DataFrame, key: bytes = KEY, text_col: str = "text", count: str | None = None, bound: int = MOVED) -> DataFrame:
     """``docs`` with surrogates in the text; ``count`` adds the number of entities."""
     values = materialize(entities(docs, text_col), "entities")
-    shared = share(docs.sparkSession, settle(values, key))
+    moved = settled(values, key)
     base = drop_columns(docs, [count] if count else [])
     schema = T.StructType([*base.schema, *([T.StructField(count, T.LongType())] if count else [])])
+    few = moved.limit(bound + 1).count() <= bound
+    shared = share(docs.sparkSession, {(r["kind"], r["value"]): r["attempt"] for r in moved.collect()}) if few else None
+    rows = base if few else _moved_by_text(base, moved, text_col)
 
     def work(batches):
         for b in batches:
+            own = None if few else b.column(b.num_columns - 1)
+            columns = b.columns[:len(b.columns) - (not few)]
             at = b.schema.names.index(text_col)
             col = b.column(at)
             n = [0] * len(col)
             new = {}
             for i in _worth(col):
-                new[i], n[i] = replace(col[i].as_py(), key, shared.value)
+                away = shared.value if few else {(m["kind"], m["value"]): m["attempt"] for m in own[i].as_py() or ()}
+                new[i], n[i] = replace(col[i].as_py(), key, away)
             if any(n):
                 col = pa.array([new.get(i, x) for i, x in enumerate(col.to_pylist())], col.type)
-            cols = [col if j == at else c for j, c in enumerate(b.columns)]
+            cols = [col if j == at else c for j, c in enumerate(columns)]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(n, pa.int64())] if count else []), names=schema.names)
 
-    out = base.mapInArrow(work, schema)
+    out = rows.mapInArrow(work, schema)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.when(F.col(text_col).isNull(), F.col("n_chars"))
                              .otherwise(F.length(text_col).cast(base.schema["n_chars"].dataType)))

@@ -95,3 +95,32 @@ def test_texts_with_one_entity_are_replaced_as_elsewhere(spark):
     assert all(out[i] != t for i, t in rows)
     assert out[0] in out[100] and out[2] in out[100] and out[16].split()[1] in out[100]
     assert re.fullmatch(r"\+٤٤ [٠-٩]{2} [٠-٩]{4} [٠-٩]{4}", out[19])
+
+
+def test_a_used_up_format_is_widened(spark):
+    # more private addresses than half of their range, and most of the numbers of a short format
+    from pyspark.sql import functions as F
+    df = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host 192.168."), F.expr("id div 256"), F.lit("."), F.col("id") % 256).alias("text"))
+    out = [r["text"] for r in P.replace_all(df).collect()]
+    old = {f"host 192.168.{i // 256}.{i % 256}" for i in range(40_000)}
+    assert len(set(out)) == 40_000 and not set(out) & old
+    assert all(P._range(x.split()[1]) in ("192.168", "172.16", "10") for x in out if ":" not in x)
+    assert sum(":" in x for x in out) < 40
+
+
+def test_widened_surrogates_differ_and_keep_their_layout():
+    for kind, value in (("phone", "2555558013"), ("ssn", "123456789"), ("card", "4111111111111111"), ("ip", "192.168.1.2"), ("ip", "8.8.8.8"), ("ip", "10.0.0.1")):
+        seen = {P.surrogate(kind, value, b"k", i) for i in range(P.LONGER + 12)}
+        assert len(seen) == P.LONGER + 12
+    late = P.LONGER
+    assert re.fullmatch(r"\(\d{3}\) \d{3}-\d{5}", P.replace("(255) 555-8013", b"k", {("phone", "2555558013"): late})[0])
+    assert P._range(P.surrogate("ip", "192.168.1.2", b"k", late)) == "172.16" and P.surrogate("ip", "8.8.8.8", b"k", late).startswith("2001:db8:")
+
+
+def test_joined_moves_equal_broadcast_ones(spark):
+    names = [f"{a}{b}" for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"]
+    rows = [(i, f"Mr. {n}", 1) for i, n in enumerate(names)] + [(i, "Mr. Ba met Mrs. Ce", 2) for i in range(300)]
+    rows += [(None, None, 0), (7, "", 0), (8, "clean", 5), (8, "clean", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(4)
+    few, many = (sorted(map(tuple, P.replace_all(df, count="n", bound=b).collect()), key=str) for b in (P.MOVED, 0))
+    assert few == many and len(few) == len(rows)
