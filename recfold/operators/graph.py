@@ -95,6 +95,16 @@ def _blocks(long_df: DataFrame) -> DataFrame:
         *[F.sum(F.when(at == k, F.col("val")).otherwise(0.0)).alias(c) for k, c in enumerate(_COLS)])
 
 
+def _array_blocks(vecs: DataFrame) -> DataFrame:
+    """(node, emb ARRAY) -> (node, blk, v0..v15) row by row, without a shuffle;
+    missing and null entries 0, empty and null arrays have no block."""
+    e = F.col("emb").cast("array<double>")
+    last = F.floor((F.size("emb") - 1) / BLOCK).cast("int")
+    cut = vecs.where(F.size("emb") > 0).select("node", e.alias("emb"), F.explode(F.sequence(F.lit(0), last)).alias("blk"))
+    return cut.select("node", "blk", *[F.coalesce(F.get("emb", F.col("blk") * BLOCK + k), F.lit(0.0)).alias(c)
+                                       for k, c in enumerate(_COLS)])
+
+
 def propagate(weighted_edges: DataFrame, emb0: DataFrame, layers: int = 3,
               materialize: bool = True, inputs_written: bool = False) -> DataFrame:
     """E(k) = A_hat E(k-1); final = sum of layers 0..L / (L+1) per (node,
@@ -102,7 +112,8 @@ def propagate(weighted_edges: DataFrame, emb0: DataFrame, layers: int = 3,
 
     A layer is one join per edge and block of 16 dimensions, and one grouped
     aggregate of 16 sums whose partial aggregation runs before the shuffle, so
-    a hub is summed map-side.
+    a hub is summed map-side. ``emb0`` is (node, emb ARRAY), which is cut into
+    blocks where it is read, or (node, dim, val), which is grouped into them.
 
     With ``materialize`` the weighted edges and every layer are written as
     Parquet to the session's checkpoint folder: each layer is computed once,
@@ -111,7 +122,8 @@ def propagate(weighted_edges: DataFrame, emb0: DataFrame, layers: int = 3,
     already are such a table (training loops)."""
     from recfold.session import materialize as write_table
     w = weighted_edges.select("src", F.col("dst").alias("node"), "weight")
-    cur = _blocks(emb0.select("node", "dim", "val"))
+    arrays = "emb" in emb0.columns
+    cur = _array_blocks(emb0) if arrays else _blocks(emb0.select("node", "dim", "val"))
     if materialize:
         cur = write_table(cur, "layer")
         w = w if inputs_written else write_table(w, "edges")
@@ -123,7 +135,7 @@ def propagate(weighted_edges: DataFrame, emb0: DataFrame, layers: int = 3,
             cur = write_table(cur, "layer")
         acc = acc.unionByName(cur)
     out = acc.groupBy("node", "blk").agg(*[(F.sum(c) / F.lit(float(layers + 1))).alias(c) for c in _COLS])
-    dims = emb0.agg(F.max("dim")).first()[0]
+    dims = emb0.agg(F.max(F.size("emb") - 1 if arrays else F.col("dim"))).first()[0]
     return (out.select("node", "blk", F.posexplode(F.array(*_COLS)).alias("k", "val"))
             .select("node", (F.col("blk") * BLOCK + F.col("k")).cast("int").alias("dim"), "val")
             .where(F.col("dim") <= (dims if dims is not None else -1)))

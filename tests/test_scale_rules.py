@@ -82,3 +82,19 @@ def test_propagation_over_more_dimensions_than_a_block(spark):
     for r in got:
         out[r["node"], r["dim"]] = r["val"]
     assert len(got) == 5 * 37 and np.allclose(out, (e + a @ e + a @ a @ e) / 3)
+    arrays = spark.createDataFrame([(n, e[n].tolist()) for n in range(5)], "node bigint, emb array<float>").select(
+        "node", F.col("emb").cast("array<double>").alias("emb"))
+    held = {(r["node"], r["dim"]): r["val"] for r in G.propagate(w, arrays, 2).collect()}
+    assert len(held) == 5 * 37 and all(np.isclose(v, out[k], atol=1e-6) for k, v in held.items())
+
+
+def test_propagation_of_odd_arrays(spark):
+    """Null and empty arrays hold no layer-0 row, null entries and short arrays count as 0."""
+    w = spark.createDataFrame([(0, 1, 1.0), (1, 0, 1.0), (2, 0, 1.0), (3, 0, 1.0)], "src bigint, dst bigint, weight double")
+    emb = spark.createDataFrame([(0, [1.0, None, 3.0]), (1, [5.0]), (2, None), (3, [])], "node bigint, emb array<double>")
+    for materialize in (True, False):
+        got = {(r["node"], r["dim"]): r["val"] for r in G.propagate(w, emb, 1, materialize=materialize).collect()}
+        assert got == {(0, 0): 3.0, (0, 1): 0.0, (0, 2): 1.5, (1, 0): 3.0, (1, 1): 0.0, (1, 2): 1.5,
+                       (2, 0): 0.5, (2, 1): 0.0, (2, 2): 1.5, (3, 0): 0.5, (3, 1): 0.0, (3, 2): 1.5}
+    none = spark.createDataFrame([], "node bigint, emb array<double>")
+    assert G.propagate(w, none, 2).count() == 0
