@@ -10,22 +10,32 @@ is a union-free expression (tokens, optional and repeated ones, text slots),
 the host's wrapper. Each slot keeps whether its text is the same on all pages,
 how much text it holds and how much of that is in links.
 
-The wrapper's slots, not single pages, decide what is main text: slots in
-containers that are navigation, header, footer, sidebar, notice, advert, form
-or comments are dropped; if the host's wrapper has slots inside an article
-(else main, else a content container) these are the text; else, of the slots
-that vary between pages and are not mostly links, those in the container with
-most text.
+The wrapper's slots, not single pages, decide what is main text. A slot whose
+text is the same on ``CONSTANT`` different pages or is mostly links is frame; the
+others vary and are weighed, by their characters on all pages, per container.
+Of the containers that hold at least 1 / ``TIE`` of the heaviest one's text,
+names choose: an article before main, main before a content container, and
+that before any other; a container that the varying text does not lie in is not
+taken for its name. The main text is what lies in containers of the chosen
+kind (frame slots inside one count if they are headings or it is an article)
+or, without a named one, the varying slots in the heaviest container. Varying slots
+that are navigation, header, footer, sidebar, notice, advert, form or comments by
+name are dropped before the weighing, as adverts and comments vary as well.
 
 Distribution. Streams are folded and counted per task, so a host sends each
 distinct stream once per batch however many pages it has; streams of a host
-are aligned in ``SALTS`` parts first and the parts' wrappers then. Wrappers
-are broadcast if all of them are within ``BROADCAST_BYTES``, else joined by host.
+are aligned in groups of about ``GROUP``, and the groups' wrappers again in such
+groups, until one is left: however hot a host is, no task holds more than a
+group. Wrappers are broadcast if all of them are within ``BROADCAST_BYTES``,
+else joined by host.
 
 Defined results: null or empty html has the empty text; a null or odd url has
 the host ''; repeated rows are answered row by row; broken markup is read
 leniently (unclosed elements end with their parent, a cut-off tag is dropped);
-extra columns are ignored; an empty table gives no rows.
+very long pages are read whole, and streams of any length are aligned by the
+same longest common subsequence, in linear space (its time is the product of
+what differs of two streams); extra columns are ignored, also those named
+host, salt or slots; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,16 +44,21 @@ import hashlib
 import html as _html
 import json
 import re
-from difflib import SequenceMatcher
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recfold.llm.common import materialize
 
-SALTS = 16
+#: Streams or wrappers of a host that one task merges.
+GROUP = 256
+#: Cells of an alignment that are held at once.
+CELLS = 250_000
+#: Containers with at least this part of the heaviest one's text are chosen from by name.
+TIE = 8
 BROADCAST_BYTES = 16 << 20
 #: Longest run of tokens that is folded into a repeated group.
 PERIOD = 6
@@ -53,6 +68,7 @@ CONSTANT = 3
 # --- fixed values: element kinds and the words that name them ---
 BLOCK = set("html body article main section header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot "
             "tr td th caption blockquote pre figure figcaption form fieldset address details summary hgroup search dialog menu center".split())
+HEADS = set("h1 h2 h3 h4 h5 h6 dt th caption".split())
 VOID = set("br hr img input meta link area base col embed source track wbr".split())
 #: Elements whose content is never text of the page.
 HIDDEN = set("script style noscript template svg math select textarea button iframe object canvas audio video head title datalist option".split())
@@ -200,38 +216,66 @@ def stream(found: list[tuple[str, str, int]]):
 
 def align(a: list[list], b: list[list], key=lambda t: t[0]) -> list[tuple[int | None, int | None]]:
     """Longest common alignment of two streams by their paths."""
+    number: dict[str, int] = {}
+    x = np.array([number.setdefault(key(t), len(number)) for t in a], dtype=np.int64)
+    y = np.array([number.setdefault(key(t), len(number)) for t in b], dtype=np.int64)
+    pairs = list(_common(x, y))
+    out: list[tuple[int | None, int | None]] = []
+    i = j = 0
+    for u, v in [*pairs, (len(a), len(b))]:
+        out += [(k, None) for k in range(i, u)] + [(None, k) for k in range(j, v)]
+        if u < len(a):
+            out.append((u, v))
+        i, j = u + 1, v + 1
+    return out
+
+
+def _row(row: np.ndarray, token: int, y: np.ndarray) -> np.ndarray:
+    """Next row of the table of longest common subsequences with prefixes of ``y``."""
+    new = row.copy()
+    new[1:] = np.where(y == token, row[:-1] + 1, row[1:])
+    return np.maximum.accumulate(new)
+
+
+def _common(x: np.ndarray, y: np.ndarray, at: int = 0, to: int = 0):
+    """Places of a longest common subsequence, ascending: equal ends are cut
+    off, a small rest is read from its table, a large one is halved where the
+    lengths of both halves add up to the most."""
     lo = 0
-    while lo < len(a) and lo < len(b) and key(a[lo]) == key(b[lo]):
+    while lo < min(len(x), len(y)) and x[lo] == y[lo]:
+        yield at + lo, to + lo
         lo += 1
     hi = 0
-    while hi < len(a) - lo and hi < len(b) - lo and key(a[-1 - hi]) == key(b[-1 - hi]):
+    while hi < min(len(x), len(y)) - lo and x[-1 - hi] == y[-1 - hi]:
         hi += 1
-    x, y = a[lo:len(a) - hi], b[lo:len(b) - hi]
-    if len(x) * len(y) > 1_000_000:  # odd pages: matching runs, longest first
-        out, i, j = [(k, k) for k in range(lo)], 0, 0
-        same = SequenceMatcher(None, [key(t) for t in x], [key(t) for t in y])
-        for u, v, size in same.get_matching_blocks():
-            out += [(lo + k, None) for k in range(i, u)] + [(None, lo + k) for k in range(j, v)]
-            out += [(lo + u + k, lo + v + k) for k in range(size)]
-            i, j = u + size, v + size
-        return out + [(len(a) - hi + k, len(b) - hi + k) for k in range(hi)]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(len(x) - 1, -1, -1):
-        for j in range(len(y) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if key(x[i]) == key(y[j]) else max(best[i + 1][j], best[i][j + 1])
-    out = [(i, i) for i in range(lo)]
-    i = j = 0
-    while i < len(x) or j < len(y):
-        if i < len(x) and j < len(y) and key(x[i]) == key(y[j]):
-            out.append((lo + i, lo + j))
-            i, j = i + 1, j + 1
-        elif j == len(y) or i < len(x) and best[i + 1][j] >= best[i][j + 1]:
-            out.append((lo + i, None))
-            i += 1
+    n, m = len(x) - hi, len(y) - hi
+    u, v = x[lo:n], y[lo:m]
+    if len(u) and len(v):
+        if len(u) == 1 or len(u) * len(v) <= CELLS:
+            rows = [np.zeros(len(v) + 1, dtype=np.int64)]  # of the reversed streams: rows[i][j] is for u[-i:], v[-j:]
+            for token in u[::-1]:
+                rows.append(_row(rows[-1], token, v[::-1]))
+            i, j = len(u), len(v)
+            while i and j and rows[i][j]:
+                if u[-i] == v[-j]:
+                    yield at + n - i, to + m - j
+                    i, j = i - 1, j - 1
+                elif rows[i - 1][j] >= rows[i][j - 1]:
+                    i -= 1
+                else:
+                    j -= 1
         else:
-            out.append((None, lo + j))
-            j += 1
-    return out + [(len(a) - hi + k, len(b) - hi + k) for k in range(hi)]
+            half = len(u) // 2
+            first = second = np.zeros(len(v) + 1, dtype=np.int64)
+            for token in u[:half]:
+                first = _row(first, token, v)
+            for token in u[half:][::-1]:
+                second = _row(second, token, v[::-1])
+            cut = int(np.argmax(first + second[::-1]))
+            yield from _common(u[:half], v[:cut], at + lo, to + lo)
+            yield from _common(u[half:], v[cut:], at + lo + half, to + lo + cut)
+    for k in range(hi):
+        yield at + n + k, to + m + k
 
 
 def merge(a: list[list], b: list[list]) -> list[list]:
@@ -298,23 +342,38 @@ def _kind(path: str) -> int:
     return best
 
 
+def _container(path: str, kind: int) -> str:
+    """The named container of a slot, else its parent."""
+    names = path.split("/")
+    if kind:
+        return "/".join(names[:next(i for i in range(1, len(names) + 1) if _kind("/".join(names[:i])) == kind)])
+    return "/".join(names[:-1])
+
+
+def _frame(slot: list) -> bool:
+    """Whether a slot's text is the same on several pages, or mostly links."""
+    return slot[6] is not None and len(_pages(slot)) >= CONSTANT or 2 * slot[5] > slot[4]
+
+
 def main_slots(slots: list[list]) -> list[bool]:
     """Which slots of a host's wrapper are main text."""
+    frame = [_frame(s) for s in slots]
     clean = [not _is_noise(s[0]) for s in slots]
     kinds = [_kind(s[0]) if c else 0 for s, c in zip(slots, clean)]
-    top = max(kinds, default=0)
-    if top:
-        return [c and k == top for c, k in zip(clean, kinds)]
-    free = [c and not (s[6] is not None and len(_pages(s)) >= CONSTANT) and 2 * s[5] <= s[4] for s, c in zip(slots, clean)]
-    weight: dict[str, int] = {}
-    for s, f in zip(slots, free):
-        if f:
-            parent = s[0].rpartition("/")[0]
-            weight[parent] = weight.get(parent, 0) + s[4]
-    if not weight:
-        return free
-    home = max(weight, key=lambda p: (weight[p], p))
-    return [f and (not home or (s[0] + "/").startswith(home + "/")) for s, f in zip(slots, free)]
+    weight: dict[tuple[int, str], int] = {}
+    for s, f, c, k in zip(slots, frame, clean, kinds):
+        if c and not f:
+            home = k, _container(s[0], k)
+            weight[home] = weight.get(home, 0) + s[4]
+    if not weight:  # nothing varies: names alone
+        top = max(kinds, default=0)
+        return [c and k == top and (top > 0 or not f) for c, k, f in zip(clean, kinds, frame)]
+    heaviest = max(weight.values())
+    (kind, home), _ = max(weight.items(), key=lambda w: (TIE * w[1] >= heaviest and w[0][0], w[1], w[0][1]))
+    if kind:
+        heads = [s[0].rpartition("/")[2].partition(".")[0] in HEADS for s in slots]
+        return [c and k == kind and (kind == 3 or h or not f) for c, k, f, h in zip(clean, kinds, frame, heads)]
+    return [c and not f and (not home or (s[0] + "/").startswith(home + "/")) for s, f, c in zip(slots, frame, clean)]
 
 
 def _digest(texts: list[str]) -> str:
@@ -341,7 +400,7 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
                 seen[key] = merge(seen[key], own) if key in seen else own
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in seen], pa.string()),
-                 pa.array([int(_digest([s]), 16) % SALTS for _, s in seen], pa.int32()),
+                 pa.array([int(_digest([s]), 16) >> 1 for _, s in seen], pa.int64()),
                  pa.array([json.dumps(v) for v in seen.values()], pa.string())], names=["host", "salt", "slots"])
 
     def join(table: pa.Table) -> pa.Table:
@@ -352,10 +411,16 @@ def infer(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
         row = table.slice(0, 1)
         return pa.table({"host": row.column("host"), "salt": row.column("salt"), "slots": pa.array([json.dumps(whole)], pa.string())})
 
-    schema = "host string, salt int, slots string"
-    parts = (pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(shapes, schema)
-             .groupBy("host", "salt").applyInArrow(join, schema))
-    whole = parts.groupBy("host").applyInArrow(join, schema).select("host", "slots")
+    schema = "host string, salt long, slots string"
+    parts = materialize(pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(shapes, schema), "streams")
+    while True:
+        held = materialize(parts.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups")), "groups")
+        parts = (parts.join(held, "host").withColumn("salt", F.pmod("salt", "groups")).drop("groups")
+                 .groupBy("host", "salt").applyInArrow(join, schema))
+        if (held.agg(F.max("groups")).first()[0] or 1) == 1:
+            break
+        parts = materialize(parts, "wrappers")
+    whole = parts.select("host", "slots")
 
     @F.pandas_udf("string")
     def shown(slots):

@@ -74,3 +74,64 @@ def test_copies_of_a_page_do_not_make_its_blocks_constant(spark):
         story = lambda n: "\n".join(f"Story {n} line {i} that is rather long" for i in range(3))
         assert all(text[10 + i] == story(9) + "\nA passage that only this page of the host has" for i in range(4))
         assert all(text[i] == story(i) for i in range(4))
+
+
+def odd(n):
+    """A page whose classes mean nothing: menu, notice, story, teaser and imprint by structure alone."""
+    story = "".join(f"<p>Tale {n} part {i}, told at some length here</p>" for i in range(2 + n % 3))
+    return (f"<body><div class=qa>{'<a href=1>Somewhere</a> ' * 5}</div><div class=qb><p>Please accept this and that</p></div>"
+            f"<div class=qc><h2>Tale {n}</h2>{story}</div><div class=qd>Weather today {n}</div><div class=qe>No rights given</div>")
+
+
+def odd_text(n):
+    return "\n".join([f"Tale {n}"] + [f"Tale {n} part {i}, told at some length here" for i in range(2 + n % 3)])
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return {r["page_id"]: r["text"] for r in X.extract(df).collect()}
+
+
+def test_slots_decide_where_classes_mean_nothing(spark, monkeypatch):
+    rows = [(n, f"http://odd.x/{n}", odd(n)) for n in range(9)]
+    want = {n: odd_text(n) for n in range(9)}
+    assert texts(spark, rows) == want
+    monkeypatch.setattr(X, "GROUP", 2)  # merged in many rounds
+    assert texts(spark, rows) == want
+
+
+def test_a_name_without_the_varying_text_is_not_followed(spark):
+    card = "<article><p><a href=/x>Read this one</a></p></article>"
+    rows = [(n, f"http://card.x/{n}", odd(n).replace("<div class=qd>", card * 2 + "<div class=qd>")) for n in range(6)]
+    assert texts(spark, rows) == {n: odd_text(n) for n in range(6)}
+
+
+def test_frame_slots_inside_main_are_dropped(spark):
+    rows = [(n, f"http://m.x/{n}", f"<main><h2>Summary</h2><p>Told {n} once</p><p>Told {n} twice</p><div class=qg>Tell a friend about us</div>"
+                                   f"<div class=qh><a href=1>More {n}</a></div></main>") for n in range(5)]
+    assert texts(spark, rows) == {n: f"Summary\nTold {n} once\nTold {n} twice" for n in range(5)}
+
+
+def test_alignment_is_a_longest_one_at_every_size(monkeypatch):
+    import random
+
+    rng = random.Random(5)
+
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row, old = [0], row
+            for j, y in enumerate(b):
+                row.append(old[j] + 1 if x == y else max(old[j + 1], row[j]))
+        return row[-1]
+
+    cases = [("", ""), ("a", ""), ("", "ab"), ("abc", "abc"), ("ab" * 40, "ba" * 30)]
+    cases += [tuple("".join(rng.choice("abcd") for _ in range(rng.randrange(60))) for _ in "xy") for _ in range(60)]
+    for cells in (X.CELLS, 10):
+        monkeypatch.setattr(X, "CELLS", cells)
+        for a, b in cases:
+            found = X.align(list(a), list(b))
+            assert [i for i, _ in found if i is not None] == list(range(len(a)))
+            assert [j for _, j in found if j is not None] == list(range(len(b)))
+            both = [(i, j) for i, j in found if i is not None and j is not None]
+            assert all(a[i] == b[j] for i, j in both) and len(both) == longest(a, b)
