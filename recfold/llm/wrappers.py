@@ -30,7 +30,8 @@ group. Wrappers are broadcast if all of them are within ``BROADCAST_BYTES``,
 else joined by host.
 
 Defined results: null or empty html has the empty text; a null or odd url has
-the host ''; repeated rows are answered row by row; broken markup is read
+the host ''; repeated rows are answered row by row; of containers of equal kind
+and weight the last path in code-point order is taken; broken markup is read
 leniently (unclosed elements end with their parent, a cut-off tag is dropped);
 very long pages are read whole, and streams of any length are aligned by the
 same longest common subsequence, in linear space (its time is the product of
