@@ -98,3 +98,34 @@ def test_propagation_of_odd_arrays(spark):
                        (2, 0): 0.5, (2, 1): 0.0, (2, 2): 1.5, (3, 0): 0.5, (3, 1): 0.0, (3, 2): 1.5}
     none = spark.createDataFrame([], "node bigint, emb array<double>")
     assert G.propagate(w, none, 2).count() == 0
+
+
+def test_propagation_over_many_cells(spark, monkeypatch):
+    """Edges are met by blocks of vectors: no edge becomes a row with a vector, and cells add up to the product."""
+    import numpy as np
+
+    monkeypatch.setattr(G, "CELL_EDGES", 7)
+    monkeypatch.setattr(G, "CELL_BYTES", 500)
+    rng = np.random.default_rng(3)
+    a, e = np.zeros((12, 12)), rng.standard_normal((12, 20))
+    rows = [(int(s), int(d), float(x)) for s, d, x in zip(rng.integers(0, 12, 60), rng.integers(0, 12, 60), rng.random(60))]
+    for s, d, x in rows:
+        a[s, d] += x
+    w = spark.createDataFrame([*rows, (3, None, 1.0)], "src bigint, dst bigint, weight double")
+    emb = spark.createDataFrame([(n, e[n].tolist()) for n in range(12)], "node bigint, emb array<double>")
+    got = G.block_arrays(*G.propagate_blocks(w, emb, 2)).collect()
+    want = (e + a @ e + a @ a @ e) / 3
+    assert len(got) == 12 and all(np.allclose(r["emb"], want[r["node"]]) for r in got)
+
+
+def test_inner_products_of_pairs(spark, monkeypatch):
+    """Repeated pairs come back as often, pairs with an unknown node not at all."""
+    import numpy as np
+
+    monkeypatch.setattr(G, "PAIR_BYTES", 64)
+    e = np.random.default_rng(4).standard_normal((9, 5))
+    vecs = spark.createDataFrame([(n, e[n].tolist()) for n in range(9)], "node bigint, emb array<double>")
+    pairs = [(i % 4, 4 + i % 5, i) for i in range(30)] + [(0, 4, 0), (0, 77, 1), (None, 4, 2)]
+    got = G.pair_dots(spark.createDataFrame(pairs, "u bigint, i bigint, at int"), vecs, "u", "i").collect()
+    assert sorted((r["u"], r["i"], r["at"]) for r in got) == sorted(p for p in pairs if p[0] is not None and p[1] != 77)
+    assert all(np.isclose(r["dot"], e[r["u"]] @ e[r["i"]]) for r in got)
