@@ -129,3 +129,19 @@ def test_inner_products_of_pairs(spark, monkeypatch):
     got = G.pair_dots(spark.createDataFrame(pairs, "u bigint, i bigint, at int"), vecs, "u", "i").collect()
     assert sorted((r["u"], r["i"], r["at"]) for r in got) == sorted(p for p in pairs if p[0] is not None and p[1] != 77)
     assert all(np.isclose(r["dot"], e[r["u"]] @ e[r["i"]]) for r in got)
+
+
+def test_sums_of_neighbours(spark, monkeypatch):
+    """Implicit terms come from the grid: items without a vector add nothing, repeated rows count each."""
+    import numpy as np
+
+    from recfold.operators import factor_models as FM
+
+    monkeypatch.setattr(G, "CELL_EDGES", 3)
+    e = np.random.default_rng(5).standard_normal((4, 18))
+    vecs = spark.createDataFrame([(n, e[n].tolist()) for n in range(4)] + [(9, None)], "movie_id bigint, emb array<double>")
+    train = spark.createDataFrame([(1, 0), (1, 0), (1, 3), (2, 9), (3, 1), (3, 77), (None, 2)], "user_id bigint, movie_id bigint")
+    got = {(r["user_id"], r["dim"]): r["z"] for r in FM.implicit_term(train, vecs).collect()}
+    want = {1: (2 * e[0] + e[3]) / 3 ** 0.5, 3: e[1] / 2 ** 0.5}
+    assert set(got) == {(u, d) for u in want for d in range(18)}
+    assert all(np.isclose(z, want[u][d]) for (u, d), z in got.items())
