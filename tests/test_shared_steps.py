@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from recfold.operators import prep as P
 from recfold.operators.splits import split_temporal_per_user
 from recfold.plans import views as V
 
@@ -35,3 +36,19 @@ def test_both_forms_of_the_ratings_are_equal(spark, tmp_dir):
     assert a.columns == b.columns and a.count() == b.count() > 0
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
     assert b.where(F.col("user_id").isNull()).count() > 0
+
+
+def test_core_reads_its_input_once_and_leaves_out_null_ids(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = [(u, m, 3) for u in range(6) for m in range(5)] + [(9, 0, 1), (0, 9, 1)] + [(None, m, 2) for m in range(5)] + [(7, None, 2)] * 5
+    df = spark.createDataFrame(rows, "user_id bigint, movie_id bigint, rating int").mapInArrow(count, "user_id bigint, movie_id bigint, rating int")
+    core = P.k_core(df, 5, 5)
+    assert read.value == len(rows)
+    assert core.columns == ["movie_id", "user_id", "rating"]
+    assert sorted((r["user_id"], r["movie_id"]) for r in core.collect()) == [(u, m) for u in range(6) for m in range(5)]
