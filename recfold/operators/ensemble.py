@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recfold.functions.portable import clip, portable_hash, sql_round
-from recfold.operators.models import predict_long
+from recfold.operators.models import predict_wide
 from recfold.session import discard, materialize
 
 
@@ -269,13 +269,21 @@ def meta_features(preds: DataFrame, stats_from: DataFrame, pairs: DataFrame,
     """Per pair the base predictions plus user_avg, n_user_ratings,
     item_avg, n_item_ratings of ``stats_from`` (the frame the stacker is fitted
     on); missing averages take its global mean, missing counts 0."""
-    gm = stats_from.select(F.avg(F.col("rating").cast("double"))).scalar()
-    us = stats_from.groupBy("user_id").agg(F.avg(F.col("rating").cast("double")).alias("user_avg"),
-                                           F.count(F.lit(1)).alias("n_user_ratings"))
-    it = stats_from.groupBy("movie_id").agg(F.avg(F.col("rating").cast("double")).alias("item_avg"),
-                                            F.count(F.lit(1)).alias("n_item_ratings"))
+    us, it = _averages(stats_from)
     w = pairs.select("user_id", "movie_id").join(wide(preds, models), ["user_id", "movie_id"], "left")
     w = w.join(us, "user_id", "left").join(it, "movie_id", "left")
+    return _filled(w, stats_from, models)
+
+
+def _averages(stats_from: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Mean rating and number of ratings by user and by item."""
+    return tuple(stats_from.groupBy(f"{key}_id").agg(F.avg(F.col("rating").cast("double")).alias(f"{name}_avg"),
+                                                     F.count(F.lit(1)).alias(f"n_{name}_ratings"))
+                 for key, name in (("user", "user"), ("movie", "item")))
+
+
+def _filled(w: DataFrame, stats_from: DataFrame, models: list[str]) -> DataFrame:
+    gm = stats_from.select(F.avg(F.col("rating").cast("double"))).scalar()
     return w.select("user_id", "movie_id", *[f"pred_{m}" for m in models],
                     F.coalesce("user_avg", gm).alias("user_avg"),
                     F.coalesce("n_user_ratings", F.lit(0)).cast("bigint").alias("n_user_ratings"),
@@ -305,7 +313,8 @@ def out_of_fold_features(rows: DataFrame, fits: dict, folds: int = 5, seed: int
         models = [fit(others) for fit in fits.values()]
         for model, name in zip(models, names):
             model.name = name
-        feats = meta_features(predict_long(models, held), others, held, names)
+        us, it = _averages(others)
+        feats = _filled(predict_wide(models, held, by_item=[it], by_user=[us]), others, names)
         feats = materialize(feats.withColumn("fold", F.lit(f)), f"fold-{f}")
         out = feats if out is None else out.unionByName(feats)
     return out

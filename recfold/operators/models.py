@@ -68,16 +68,20 @@ class RatingModel:
                          F.col("movie_id") == F.col("_i"), "left").drop("_i")
         else:
             df = df.withColumn("i_term", F.lit(None).cast("double"))
+        keep = [c for c in pairs.columns]
+        return df.select(*keep, self._value("u_term", "i_term", "p", "q").alias(out))
+
+    def _value(self, u_term: str | None, i_term: str | None, p: str, q: str) -> Column:
+        """Finished score from the named columns of joined tables; None: the model has no such table."""
+        term = [F.lit(None).cast("double") if c is None else F.col(c) for c in (u_term, i_term)]
         s = (self._scalar(self.mu)
-             + F.coalesce(F.col("u_term"), self._scalar(self.u_fill))
-             + F.coalesce(F.col("i_term"), self._scalar(self.i_fill)))
+             + F.coalesce(term[0], self._scalar(self.u_fill))
+             + F.coalesce(term[1], self._scalar(self.i_fill)))
         if self.rank > 0:
-            dot = F.aggregate(F.zip_with("p", "q", lambda a, b: a * b), F.lit(0.0),
+            dot = F.aggregate(F.zip_with(p, q, lambda a, b: a * b), F.lit(0.0),
                               lambda acc, x: acc + x)
             s = s + F.coalesce(dot, F.lit(0.0))
-        s = self.finish(s)
-        keep = [c for c in pairs.columns]
-        return df.select(*keep, s.alias(out))
+        return self.finish(s)
 
     def finish(self, s: Column) -> Column:
         if self.lo is not None:
@@ -166,3 +170,26 @@ def predict_long(models: list[RatingModel], pairs: DataFrame) -> DataFrame:
         p = m.score(pairs.select("user_id", "movie_id")).withColumn("model", F.lit(m.name))
         out = p if out is None else out.unionByName(p)
     return out.select("model", "user_id", "movie_id", "predicted_rating")
+
+
+def predict_wide(models: list[RatingModel], pairs: DataFrame, by_item: list[DataFrame] = (),
+                 by_user: list[DataFrame] = ()) -> DataFrame:
+    """The pairs with one column ``pred_<name>`` per model, and the columns of
+    further tables by item and by user. Everything of the items is joined before
+    everything of the users, so a pair is shuffled twice however many models
+    there are (in long form once per model and table, and again for the pivot).
+    The tables hold an id once; a pair with a null id has no prediction."""
+    df = pairs
+    for side, key, letter, vector, more in (("items", "movie_id", "i", "q", by_item), ("users", "user_id", "u", "p", by_user)):
+        for k, m in enumerate(models):
+            table = getattr(m, side)
+            if table is not None:
+                cols = [F.col(f"{letter}_term").alias(f"_{letter}{k}")] + ([F.col(vector).alias(f"_{vector}{k}")] if m.rank > 0 else [])
+                df = df.join(table.select(key, *cols), key, "left")
+        for table in more:
+            df = df.join(table, key, "left")
+    known = F.col("user_id").isNotNull() & F.col("movie_id").isNotNull()
+    preds = [F.when(known, m._value(None if m.users is None else f"_u{k}", None if m.items is None else f"_i{k}", f"_p{k}", f"_q{k}"))
+             .alias(f"pred_{m.name}") for k, m in enumerate(models)]
+    kept = [c for c in df.columns if c not in {f"_{x}{k}" for x in "iupq" for k in range(len(models))}]
+    return df.select(*kept, *preds)

@@ -68,3 +68,24 @@ def test_ridge_solves_its_normal_equations(spark, noise):
     want = np.linalg.solve(xc.T @ xc + np.eye(x.shape[1]), xc.T @ yc)
     assert np.allclose(np.array(model.coefficients), want, atol=1e-5)
     assert np.isclose(model.intercept, y.mean() - x.mean(0) @ want, atol=1e-4)
+
+
+def test_wide_scores_equal_long_ones_with_few_shuffles(spark, noise):
+    models = [f(noise) for f in FITS.values()]
+    for m, name in zip(models, FITS):
+        m.name = name
+    pairs = spark.createDataFrame([(1, 2), (1, 2), (3, 4), (10_000, 4), (3, 10_000), (None, 4), (3, None)], "user_id bigint, movie_id bigint")
+    wide = M.predict_wide(models, pairs)
+    long = E.wide(M.predict_long(models, pairs), list(FITS))
+    want = pairs.join(long, ["user_id", "movie_id"], "left")
+    columns = ["user_id", "movie_id", *[f"pred_{m}" for m in FITS]]
+    assert sorted(map(str, wide.select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+    held = noise.select("user_id", "movie_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.predict_wide(models, held, [noise.groupBy("movie_id").count()], [noise.groupBy("user_id").agg({"rating": "max"})])
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in text.splitlines() if "SortMergeJoin" in line and "LeftOuter" in line]
+    assert len(joins) >= 6 and all("movie_id" in j for j in joins[-3:])
