@@ -20,6 +20,9 @@ from recfold.functions.portable import clip, portable_hash, sql_round
 from recfold.operators.models import predict_wide
 from recfold.session import discard, materialize
 
+#: Rows of a part that boosting reads: a level of a tree then takes a task some 30 ms.
+BOOSTED_ROWS = 100_000
+
 
 def normalise_weights(weights: DataFrame | None, models: list[str] | None = None) -> DataFrame:
     """Weight / sum(weight); a zero sum raises; no weights -> uniform."""
@@ -335,6 +338,11 @@ def fit_stack(feats: DataFrame, truth: DataFrame, models: list[str], kind: str =
     from pyspark.ml.regression import GBTRegressor, LinearRegression
     data = feats.join(truth.select("user_id", "movie_id", F.col("rating").cast("double").alias("label")),
                       ["user_id", "movie_id"])
+    if kind == "gbt":
+        # 300 trees are some 2,000 short jobs: they read rows that are written once, in as few parts as keep a level's
+        # task busy, as a job's time is that of starting its tasks
+        rows = materialize(data.select(*_features(models), "label"), "stack-rows")
+        data = rows.repartition(max(1, -(-rows.count() // BOOSTED_ROWS)))
     va = VectorAssembler(inputCols=_features(models), outputCol="features", handleInvalid="keep")
     d = va.transform(data)
     if kind == "gbt":
@@ -351,7 +359,10 @@ def fit_stack(feats: DataFrame, truth: DataFrame, models: list[str], kind: str =
                                elasticNetParam=0.0, standardization=False)
     else:
         raise ValueError(kind)
-    return va, est.fit(d)
+    model = est.fit(d)
+    if kind == "gbt":
+        discard(rows)
+    return va, model
 
 
 def predict_stack(va, model, feats: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:

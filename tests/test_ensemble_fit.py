@@ -89,3 +89,20 @@ def test_wide_scores_equal_long_ones_with_few_shuffles(spark, noise):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     joins = [line for line in text.splitlines() if "SortMergeJoin" in line and "LeftOuter" in line]
     assert len(joins) >= 6 and all("movie_id" in j for j in joins[-3:])
+
+
+def test_boosting_reads_written_rows_in_few_parts(spark, noise, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+    seen, fit, size = [], GBTRegressor.fit, noise.count()
+
+    def spy(self, data, params=None):
+        seen.append((len(data.inputFiles()) > 0, data.rdd.getNumPartitions(), data.count()))
+        return fit(self, data, params)
+
+    monkeypatch.setattr(GBTRegressor, "fit", spy)
+    feats = E.out_of_fold_features(noise, FITS, folds=2).repartition(6)
+    E.fit_stack(feats, noise, list(FITS), "gbt", max_iter=2)
+    monkeypatch.setattr(E, "BOOSTED_ROWS", -(-size // 3))
+    va, model = E.fit_stack(feats, noise, list(FITS), "gbt", max_iter=2)
+    assert seen == [(True, 1, size), (True, 3, size)]
+    assert model.getNumTrees == 2 and E.predict_stack(va, model, feats).count() == size
