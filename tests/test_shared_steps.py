@@ -38,6 +38,16 @@ def test_both_forms_of_the_ratings_are_equal(spark, tmp_dir):
     assert b.where(F.col("user_id").isNull()).count() > 0
 
 
+def test_the_parts_in_which_users_gather_follow_the_rows(spark, tmp_dir, monkeypatch):
+    _tables(spark, tmp_dir)
+    items = spark.read.parquet(f"{tmp_dir}/lineitem.parquet").count()
+    monkeypatch.setattr(V, "USER_ROWS", -(-items // 5), raising=False)
+    split = split_temporal_per_user(V.ratings(spark, tmp_dir, by_user=True), 0.7, 0.1, 0.2)
+    assert split.rdd.getNumPartitions() == 5  # parts are not merged again by their size
+    parts = split.select("user_id", F.spark_partition_id().alias("part")).distinct()
+    assert parts.count() == split.select("user_id").distinct().count()
+
+
 def test_core_reads_its_input_once_and_leaves_out_null_ids(spark):
     read = spark.sparkContext.accumulator(0)
 
