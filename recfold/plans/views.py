@@ -36,8 +36,9 @@ def ratings(spark: SparkSession, sf_dir: str, by_user: bool = False) -> DataFram
         "l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
     joined = items.join(orders, items.l_orderkey == orders.o_orderkey)
     if by_user:
-        parts = max(2, -(-items.count() // USER_ROWS))
-        joined = joined.select("o_custkey", "l_partkey", "l_quantity", "l_shipdate").repartition(parts, "o_custkey")
+        parts = -(-items.count() // USER_ROWS)
+        dealt = (parts, "o_custkey") if parts > 1 else ("o_custkey",)
+        joined = joined.select("o_custkey", "l_partkey", "l_quantity", "l_shipdate").repartition(*dealt)
     latest = joined.groupBy(
         F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("movie_id")
     ).agg(F.max(F.struct(F.col("l_shipdate").cast("date").alias("date"),
