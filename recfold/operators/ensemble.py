@@ -342,7 +342,7 @@ def fit_stack(feats: DataFrame, truth: DataFrame, models: list[str], kind: str =
         # 300 trees are some 2,000 short jobs: they read rows that are written once, in as few parts as keep a level's
         # task busy, as a job's time is that of starting its tasks
         rows = materialize(data.select(*_features(models), "label"), "stack-rows")
-        data = rows.repartition(max(1, -(-rows.count() // BOOSTED_ROWS)))
+        data = rows.coalesce(max(1, -(-rows.count() // BOOSTED_ROWS)))
     va = VectorAssembler(inputCols=_features(models), outputCol="features", handleInvalid="keep")
     d = va.transform(data)
     if kind == "gbt":
