@@ -37,11 +37,12 @@ REC_SCHEMA = T.StructType([
 ])
 MANY_SCHEMA = T.StructType([T.StructField("component", T.IntegerType())] + REC_SCHEMA.fields)
 
-#: Bytes of ids, terms and factors of one item block.
-BLOCK_BYTES = 64 * 1024 * 1024
+#: Bytes that a task holds of one item block: the table, its sorted columns and the order of its tiles.
+BLOCK_BYTES = 176 * 1024 * 1024
 #: Bytes of one user block (terms, factors, seen items, kept lists), and fewest users where blocks are made for the sake of
-#: parallel tasks. Items are sent once per user block, so blocks are as large as a task can hold.
-USER_BYTES, USERS_LEAST = 256 * 1024 * 1024, 128
+#: parallel tasks. Items are sent once per user block, so blocks are as large as a task can hold if they have factors, and
+#: smaller if an item is an id and a term: an executor keeps the memory of all its Python workers, busy or not.
+USER_BYTES, PLAIN_USER_BYTES, USERS_LEAST = 256 * 1024 * 1024, 64 * 1024 * 1024, 128
 #: Items of a tile, and users scored against it at once (8 MB of scores).
 TILE_ITEMS, TILE_USERS = 1024, 1024
 #: Room for rounding between a score and its bound.
@@ -116,14 +117,15 @@ class _Cell:
     """One block of users against one block of items."""
 
     def __init__(self, left: pa.Table, right: pa.Table, components: list[_Component], k: int):
-        right = right.sort_by("movie_id")
         self.k, self.components = k, components
         self.users = left["user_id"].to_numpy()
-        self.items = right["movie_id"].to_numpy()
+        ids = right["movie_id"].to_numpy()
+        ascending = np.argsort(ids)
+        self.items = ids[ascending]
         self.u = [c.mu + left[f"u{i}"].to_numpy() for i, c in enumerate(components)]
-        self.i = [right[f"i{i}"].to_numpy() for i, _ in enumerate(components)]
+        self.i = [right[f"i{i}"].to_numpy()[ascending] for i, _ in enumerate(components)]
         self.p = [_matrix(left[f"p{i}"], c.rank) if c.rank else None for i, c in enumerate(components)]
-        self.q = [_matrix(right[f"q{i}"], c.rank) if c.rank else None for i, c in enumerate(components)]
+        self.q = [_matrix(right[f"q{i}"], c.rank)[ascending] if c.rank else None for i, c in enumerate(components)]
         self.p_norm = [0.0 if m is None else np.linalg.norm(m, axis=1) for m in self.p]
         self.q_norm = [np.zeros(len(self.items)) if m is None else np.linalg.norm(m, axis=1) for m in self.q]
         # seen pairs as (user row, item position), users ascending
@@ -160,6 +162,7 @@ class _Cell:
         finish = ranked.finish or self.components[ranked.parts[0][0]].finish
         worth = sum(w * (self.i[c] + self.q_norm[c] * np.mean(self.p_norm[c])) for c, w, _ in ranked.parts)
         order = np.argsort(-worth, kind="stable")
+        del worth
         best = np.full((n, k), -np.inf)
         at = np.full((n, k), len(self.items))
         tile_of = np.empty(len(self.items), np.int64)
@@ -255,11 +258,12 @@ def _user_rows(models: list[RatingModel], u: DataFrame, seen: DataFrame | None)
     return u.select(*cols)
 
 
-def _grid(n_users: int, user_bytes: float, n_items: int, item_bytes: int, block_bytes: int, slots: int) -> tuple[int, int]:
-    """Numbers of user blocks and item blocks."""
+def _grid(n_users: int, user_bytes: float, n_items: int, item_bytes: int, block_bytes: int, slots: int,
+          most: int = USER_BYTES) -> tuple[int, int]:
+    """Numbers of user blocks of at most ``most`` bytes and of item blocks."""
     item_blocks = max(1, -(-n_items * item_bytes // block_bytes))
     wanted = -(-2 * slots // item_blocks)
-    return max(1, math.ceil(n_users * user_bytes / USER_BYTES), min(wanted, -(-n_users // USERS_LEAST))), item_blocks
+    return max(1, math.ceil(n_users * user_bytes / most), min(wanted, -(-n_users // USERS_LEAST))), item_blocks
 
 
 def _block(col: str, n: int):
@@ -290,11 +294,14 @@ def top_k(model: RatingModel | Blend | list, users: DataFrame, catalogue: DataFr
     items = materialize(_catalogue_items(models, catalogue.where(F.col("movie_id").isNotNull())), "catalogue")
     asked = users.select(F.col("user_id").cast("bigint").alias("user_id")).where(F.col("user_id").isNotNull()).distinct()
     slots = spark.sparkContext.defaultParallelism
-    width = 8 * (1 + sum(1 + m.rank for m in models))
+    terms = sum(1 + m.rank for m in models)
+    width = 8 * (1 + terms)
     count = asked.count()
     # a user's vectors twice (rows and matrices), seen items as three numbers, best items and the lists given out
     user_bytes = 2 * width + k * (16 + 28 * len(lists)) + (24 * seen.count() / max(count, 1) if seen is not None else 0)
-    n_users, n_items = _grid(count, user_bytes, items.count(), width, block_bytes, slots)
+    # an item's columns as received, joined and in order, and its place among the tiles
+    most = USER_BYTES if any(m.rank for m in models) else PLAIN_USER_BYTES
+    n_users, n_items = _grid(count, user_bytes, items.count(), 64 + 24 * terms, block_bytes, slots, most)
     left = _user_rows(models, asked, seen).withColumn("_u", _block("user_id", n_users))
     left = left.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_items - 1))))
     if n_items > 1:

@@ -200,3 +200,18 @@ def test_items_are_sent_to_few_user_blocks():
     """At 6 GB: 5.4 million users with 28 seen items each, 7.2 million items of a model without factors."""
     users, items = TK._grid(5_400_000, 2 * 16 + 10 * 44 + 24 * 28, 7_200_000, 16, TK.BLOCK_BYTES, 12)
     assert 7_200_000 * 48 * users + 5_400_000 * 300 * items < 15e9
+
+
+def test_all_python_workers_of_an_executor_hold_their_cells(spark, monkeypatch):
+    """At 6 GB eight workers (four cores, a second one a task) keep below 4 GB: blocks count what a cell holds."""
+    asked, grid = [], TK._grid
+    monkeypatch.setattr(TK, "_grid", lambda *a: asked.append(a) or grid(*a))
+    items = spark.createDataFrame([(i, float(i)) for i in range(1, 40)], "movie_id long, i_term double")
+    users = spark.createDataFrame([(1, 2.0), (2, 1.0)], "user_id long, u_term double")
+    seen = spark.createDataFrame([(1, 39), (2, 38)], "user_id long, movie_id long")
+    got = TK.top_k(M.RatingModel("t", users, items, lo=None), users.select("user_id"), items.select("movie_id"), seen=seen, k=2)
+    assert sorted((r.user_id, r["rank"], r.movie_id) for r in got.collect()) == [(1, 1, 38), (1, 2, 37), (2, 1, 39), (2, 2, 37)]
+    _, _, _, item_bytes, block_bytes, _, *most = asked[0]
+    n_users, n_items = grid(5_400_000, 2 * 16 + 10 * 44 + 24 * 28, 7_200_000, item_bytes, block_bytes, 12, *most)
+    # from figures at 60 copies: 112 bytes an item, 1.24 times the estimate for users, 105 MB without either
+    assert 8 * (112 * 7.2e6 / n_items + 1.24 * 5.4e6 * 1144 / n_users + 105e6) < 3.5e9
