@@ -145,3 +145,67 @@ def test_sums_of_neighbours(spark, monkeypatch):
     want = {1: (2 * e[0] + e[3]) / 3 ** 0.5, 3: e[1] / 2 ** 0.5}
     assert set(got) == {(u, d) for u in want for d in range(18)}
     assert all(np.isclose(z, want[u][d]) for (u, d), z in got.items())
+
+
+def test_propagation_in_several_jobs(spark, monkeypatch):
+    """A layer beyond a job's bytes is computed by runs of blocks and of groups of sources; their tables go when a run ends."""
+    import os
+
+    import numpy as np
+
+    from recfold import session
+
+    monkeypatch.setattr(G, "CELL_EDGES", 9)
+    monkeypatch.setattr(G, "SUM_BYTES", 900)
+    rng = np.random.default_rng(7)
+    a, e = np.zeros((14, 14)), rng.standard_normal((14, 40))
+    rows = [(int(s), int(d), float(x)) for s, d, x in zip(rng.integers(0, 14, 50), rng.integers(0, 14, 50), rng.random(50))]
+    for s, d, x in rows:
+        a[s, d] += x
+    w = spark.createDataFrame(rows, "src bigint, dst bigint, weight double")
+    emb = spark.createDataFrame([(n, e[n].tolist()) for n in range(14)], "node bigint, emb array<double>")
+    layer, made = G._layer, []
+    monkeypatch.setattr(G, "_layer", lambda w, cur, rows, cols, blocks, some=None: made.append((blocks, some)) or layer(w, cur, rows, cols, blocks, some))
+    folder = f"{session.ensure_checkpoint_dir(spark).removeprefix('file:').replace('//', '/')}/tables"
+    for most, jobs in ((1, 3 * 6), (2_000, 3), (1 << 40, 1)):
+        monkeypatch.setattr(G, "JOB_BYTES", most)
+        made.clear()
+        before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+        got = G.block_arrays(*G.propagate_blocks(w, emb, 2)).collect()
+        assert len(made) >= 2 * jobs and all(len(b) < 3 for b, _ in made) == (most < 1 << 40)
+        want = (e + a @ e + a @ a @ e) / 3
+        assert len(got) == 14 and all(np.allclose(r["emb"], want[r["node"]]) for r in got)
+        left = [x for x in set(os.listdir(folder)) - before if x.startswith("layer-")]
+        assert len(left) == (1 if most < 1 << 40 else 3)
+
+
+def test_cells_are_bounded_by_their_sums():
+    """Many sources in a cell make more groups of sources, also with few edges; a cell's rows come in small batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows, cols = G._grid(1_000, 8_000_000, 4, 1, 8_000_000)
+    assert 8_000_000 / rows * 8 * (G.BLOCK + 1) <= G.SUM_BYTES and cols == 1
+    n = 150_000
+    edges = pa.table({"src": np.arange(n), "node": np.zeros(n, int), "weight": np.ones(n)})
+    vecs = pa.table({"node": [0], "blk": pa.array([2], pa.int32()), **{c: [float(k)] for k, c in enumerate(G._COLS)}})
+    out = G._cell_sums(edges, vecs)
+    assert out.num_rows == n and max(b.num_rows for b in out.to_batches()) <= 65_536 and set(out["v7"].to_pylist()) == {7.0}
+
+
+def test_inner_products_in_several_jobs(spark, monkeypatch):
+    import numpy as np
+
+    from recfold import session
+
+    monkeypatch.setattr(G, "PAIR_BYTES", 64)
+    monkeypatch.setattr(G, "JOB_BYTES", 1)
+    write, labels = session.materialize, []
+    monkeypatch.setattr(session, "materialize", lambda df, label="table": labels.append(label) or write(df, label))
+    e = np.random.default_rng(4).standard_normal((9, 5))
+    vecs = spark.createDataFrame([(n, e[n].tolist()) for n in range(9)], "node bigint, emb array<double>")
+    pairs = [(i % 4, 4 + i % 5, i) for i in range(30)] + [(0, 4, 0), (0, 77, 1), (None, 4, 2)]
+    got = G.pair_dots(spark.createDataFrame(pairs, "u bigint, i bigint, at int"), vecs, "u", "i").collect()
+    assert labels.count("dots") > 2 and labels.count("named") == 2
+    assert sorted((r["u"], r["i"], r["at"]) for r in got) == sorted(p for p in pairs if p[0] is not None and p[1] != 77)
+    assert all(np.isclose(r["dot"], e[r["u"]] @ e[r["i"]]) for r in got)
